@@ -2,47 +2,316 @@
 
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
 input tables. Computed columns carry the same alias in the Spark plan and in
-the oracle SQL; means are rounded to 6 places on both sides so that the
-comparison does not depend on summation order.
+the oracle SQL; means and other non-exact doubles are rounded to 6 places on
+both sides so the comparison does not depend on summation order.
+
+``lineitem`` stands in for the sample table: its four threshold rules and
+metric lists live in ``alloy.sources.tables``. The laboratory queries build
+their bronze rows from lineitem's keys (``l_orderkey * 8 + l_linenumber``), so
+their work grows with the table and repeated keys become duplicate rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from alloy.functions.columns import interaction, mean_of, ratio
+from alloy.operators import clean as C
+from alloy.operators import model as M
 from alloy.operators import rules as R
 from alloy.operators import stats as S
+from alloy.plans import medallion
+from alloy.plans.report import as_document, from_report, to_report
+from alloy.session import scratch_path
+from alloy.sources.generate import LAB_RULES, measurement_sql, measurements_for
+from alloy.sources.layers import read_report, write_sink
 from alloy.sources.tables import (
+    LINEITEM_LABEL_STYLES,
     LINEITEM_RULES,
     LINEITEM_SPEC,
     read_table,
+    table_path,
 )
+from alloy.streaming.refresh import latest, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = ("l_orderkey", "l_linenumber")
+SAMPLE_KEY_SQL = "l_orderkey * 8 + l_linenumber"
+DEDUP_ORDER = ("l_shipdate",)
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem")
 
 
-def q_flag_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _r6(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+def _lab_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _lineitem(spark, sf_dir)
-    flagged = R.flag(li, LINEITEM_RULES)
+    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("sample_id"))
+
+
+def _inject_gaps(li: DataFrame) -> DataFrame:
+    """Nulls and NaN placed by key arithmetic (the tables have none)."""
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    return li.withColumns(
+        {
+            "l_quantity": F.when(F.pmod(k, F.lit(7)) == 3, F.lit(None)).otherwise(F.col("l_quantity")),
+            "l_discount": F.when(F.pmod(k + ln, F.lit(11)) == 5, F.lit(float("nan"))).otherwise(F.col("l_discount")),
+            "l_tax": F.when(F.pmod(k * 3 + ln, F.lit(17)) == 2, F.lit(float("nan")))
+            .when(F.pmod(k * 3 + ln, F.lit(17)) == 9, F.lit(None))
+            .otherwise(F.col("l_tax")),
+            "l_returnflag": F.when(F.pmod(k, F.lit(13)) == 0, F.lit(None)).otherwise(F.col("l_returnflag")),
+        }
+    )
+
+
+def lineitem_features(df: DataFrame) -> DataFrame:
+    return df.withColumns(
+        {
+            "price_ratio": ratio("l_extendedprice", "l_quantity"),
+            "disc_tax_interaction": interaction("l_discount", "l_tax"),
+            "rate_mean": mean_of(["l_discount", "l_tax", "l_quantity"]),
+        }
+    )
+
+
+LINEITEM_FEATURES = (
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "price_ratio",
+    "disc_tax_interaction",
+    "rate_mean",
+)
+
+# rule-based classifier used to exercise the evaluation: the first two rules only
+PARTIAL_RULES = LINEITEM_RULES[:2]
+
+
+def _rule_predictions(li: DataFrame) -> DataFrame:
+    labelled = R.all_pass_label(li, LINEITEM_RULES)
+    pred = F.when(R.all_pass(PARTIAL_RULES), F.lit(1.0)).otherwise(F.lit(0.0))
+    return labelled.withColumn("prediction", pred)
+
+
+def _split_bucket() -> F.Column:
+    return F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber"), F.lit(10))
+
+
+# --------------------------------------------------------------------------
+# queries
+# --------------------------------------------------------------------------
+
+
+def q_synthetic_bronze(spark, sf_dir):
+    return measurements_for(_lab_keys(spark, sf_dir), "sample_id")
+
+
+def q_synthetic_flags(spark, sf_dir):
+    bronze = measurements_for(_lab_keys(spark, sf_dir), "sample_id")
+    flagged = R.all_pass_label(R.flag(bronze, LAB_RULES), LAB_RULES)
+    return flagged.select("sample_id", *[r.name for r in LAB_RULES], "label")
+
+
+def q_rounding_modes(spark, sf_dir):
+    x = F.col("l_quantity") / F.lit(4.0)
+    return _lineitem(spark, sf_dir).select(
+        *KEY,
+        x.alias("x"),
+        F.round(x, 1).alias("half_up"),
+        F.bround(x, 1).alias("half_even"),
+    )
+
+
+def q_dedup_rows(spark, sf_dir):
+    return C.dedup(_lineitem(spark, sf_dir).select("l_quantity", "l_discount", "l_tax"))
+
+
+def q_dedup_by_key(spark, sf_dir):
+    return C.dedup(_lineitem(spark, sf_dir), keys=KEY, order=DEDUP_ORDER)
+
+
+def q_dropna_any(spark, sf_dir):
+    return C.drop_incomplete(_inject_gaps(_lineitem(spark, sf_dir)))
+
+
+def q_flag_rules(spark, sf_dir):
+    flagged = R.flag(_lineitem(spark, sf_dir), LINEITEM_RULES)
     return flagged.select(*KEY, *[r.name for r in LINEITEM_RULES])
 
 
-def q_compare_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = S.compare(_lineitem(spark, sf_dir), LINEITEM_RULES, LINEITEM_SPEC)
-    return out.withColumn("mean", F.round("mean", 6))
+def q_all_pass_label(spark, sf_dir):
+    return R.all_pass_label(_lineitem(spark, sf_dir), LINEITEM_RULES).select(*KEY, "label")
+
+
+def q_label_flag_identity(spark, sf_dir):
+    df = R.all_pass_label(R.flag(_lineitem(spark, sf_dir), LINEITEM_RULES), LINEITEM_RULES)
+    total = sum((F.col(r.name) for r in LINEITEM_RULES[1:]), F.col(LINEITEM_RULES[0].name))
+    broken = (F.col("label") == 1) != (total == 0)
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(broken).alias("violations"))
+
+
+def q_route_conditions(spark, sf_dir):
+    return R.route_long(_lineitem(spark, sf_dir).select(*KEY, *S_COLS), LINEITEM_RULES).select(*KEY, "condition")
+
+
+S_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def q_route_counts(spark, sf_dir):
+    routed = R.route_long(_lineitem(spark, sf_dir), LINEITEM_RULES)
+    return routed.groupBy("condition").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_compare_one(spark, sf_dir):
+    rule = LINEITEM_RULES[0]
+    out = S.compare_grouped(_lineitem(spark, sf_dir), rule, LINEITEM_SPEC[rule.name])
+    return _r6(out, *[f"avg_{m}" for m in LINEITEM_SPEC[rule.name]])
+
+
+def q_compare_long(spark, sf_dir):
+    return _r6(S.compare(_lineitem(spark, sf_dir), LINEITEM_RULES, LINEITEM_SPEC), "mean")
+
+
+def _pivot(spark, sf_dir):
+    return S.compare_pivot(S.compare(_lineitem(spark, sf_dir), LINEITEM_RULES, LINEITEM_SPEC))
+
+
+def q_compare_pivot(spark, sf_dir):
+    return _r6(_pivot(spark, sf_dir), "without", "with")
+
+
+def q_prevalence(spark, sf_dir):
+    return _r6(S.prevalence(_lineitem(spark, sf_dir), LINEITEM_RULES), "rate")
+
+
+def q_share_of_total(spark, sf_dir):
+    return S.share(S.prevalence(_lineitem(spark, sf_dir), LINEITEM_RULES)).select("condition", "n", "pct")
+
+
+def q_axis_max(spark, sf_dir):
+    return _r6(S.axis_max(_pivot(spark, sf_dir)), "max")
+
+
+def q_labels_display(spark, sf_dir):
+    out = S.display_labels(_pivot(spark, sf_dir), LINEITEM_LABEL_STYLES)
+    return out.select("condition", "metric", "without_label", "with_label")
+
+
+def q_features(spark, sf_dir):
+    out = lineitem_features(_lineitem(spark, sf_dir))
+    return _r6(out.select(*KEY, "price_ratio", "disc_tax_interaction", "rate_mean"),
+               "price_ratio", "disc_tax_interaction", "rate_mean")
+
+
+def q_hash_split(spark, sf_dir):
+    li = _lineitem(spark, sf_dir)
+    train, test = M.hash_split(li, train_pct=70, buckets=10, bucket=_split_bucket())
+    count = lambda df, side: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(side).alias("side"), "n")
+    return count(train, "train").unionByName(count(test, "test"))
+
+
+def q_scale_unit_std(spark, sf_dir):
+    li = _lineitem(spark, sf_dir)
+    vec = VectorAssembler(inputCols=["l_quantity", "l_extendedprice"], outputCol="v").transform(li)
+    scaler = StandardScaler(inputCol="v", outputCol="s", withMean=False, withStd=True).fit(vec)
+    arr = vector_to_array(F.col("s"))
+    out = scaler.transform(vec).select(*KEY, arr[0].alias("quantity_scaled"), arr[1].alias("price_scaled"))
+    return _r6(out, "quantity_scaled", "price_scaled")
+
+
+def q_confusion_matrix(spark, sf_dir):
+    pred = _rule_predictions(_lineitem(spark, sf_dir))
+    return pred.groupBy(F.col("label").alias("label"), F.col("prediction").cast("int").alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def q_confusion_f1(spark, sf_dir):
+    ev = M.evaluate(_rule_predictions(_lineitem(spark, sf_dir)))
+    return ev.withColumns({"f1": F.round("f1", 9), "accuracy": F.round("accuracy", 9)})
+
+
+def q_evaluator_f1(spark, sf_dir):
+    f1, acc = M.evaluate_mllib(_rule_predictions(_lineitem(spark, sf_dir)))
+    schema = StructType([StructField("f1", DoubleType()), StructField("accuracy", DoubleType())])
+    return spark.createDataFrame([(round(f1, 9), round(acc, 9))], schema)
+
+
+def _report(spark, sf_dir) -> DataFrame:
+    li = _lineitem(spark, sf_dir)
+    long = S.compare(li, LINEITEM_RULES, LINEITEM_SPEC)
+    counts = S.prevalence(li, LINEITEM_RULES)
+    return to_report(long, counts, LINEITEM_RULES)
+
+
+def q_report_document(spark, sf_dir):
+    return _report(spark, sf_dir)
+
+
+def q_report_json(spark, sf_dir):
+    path = scratch_path(spark, "report")
+    write_sink(as_document(_report(spark, sf_dir)), "json", path, mode="overwrite")
+    stored = read_report(spark, "json", path, schema=as_document_schema())
+    return _r6(from_report(stored), "value")
+
+
+def as_document_schema() -> StructType:
+    from alloy.plans.report import REPORT_TYPE
+
+    return StructType([StructField("report", REPORT_TYPE)])
+
+
+def q_rf_gate(spark, sf_dir):
+    li = _lineitem(spark, sf_dir)
+    frame = R.all_pass_label(lineitem_features(li), LINEITEM_RULES)
+    train, test = M.hash_split(frame, train_pct=70, buckets=10, bucket=_split_bucket())
+    registry = scratch_path(spark, "registry")
+    results = []
+    for attempt in (1, 2):
+        fitted = M.train(train, LINEITEM_FEATURES, "label", trees=100, depth=6, seed=42)
+        results.append(M.gate(spark, fitted, registry, test, f"attempt-{attempt}"))
+    out = results[0].unionByName(results[1])
+    return out.withColumns({c: F.round(c, 6) for c in ("challenger_f1", "champion_f1", "challenger_accuracy", "champion_accuracy")})
+
+
+def _run_chain(spark, sf_dir, stages=("extract", "transform", "load")):
+    paths = medallion.Paths(scratch_path(spark, "medallion"))
+    medallion.run(spark, _lab_keys(spark, sf_dir), "sample_id", paths, medallion.RunConfig(), stages)
+    return paths
+
+
+def q_medallion_run(spark, sf_dir):
+    paths = _run_chain(spark, sf_dir)
+    return medallion.layer_counts(spark, paths, LAB_RULES)
+
 
+def q_audit_log(spark, sf_dir):
+    from alloy.plans.audit import AuditLog
 
-def q_prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = S.prevalence(_lineitem(spark, sf_dir), LINEITEM_RULES)
-    return out.withColumn("rate", F.round("rate", 6))
+    paths = _run_chain(spark, sf_dir)
+    return AuditLog(spark, paths.audit).read().select("level", "source", "message")
+
+
+def q_refresh_metrics(spark, sf_dir):
+    root = scratch_path(spark, "refresh")
+    schema = spark.read.parquet(table_path(sf_dir, "lineitem")).schema
+    q = refresh(
+        spark, sf_dir, schema, LINEITEM_RULES, LINEITEM_SPEC,
+        dst=f"{root}/out", checkpoint=f"{root}/checkpoint", glob="lineitem.parquet",
+    )
+    q.awaitTermination()
+    return _r6(latest(spark, f"{root}/out"), "mean")
 
 
 # --------------------------------------------------------------------------
@@ -51,7 +320,8 @@ def q_prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lit(x: float) -> str:
-    return repr(float(x)) + "e0" if "e" not in repr(float(x)) else repr(float(x))
+    r = repr(float(x))
+    return r if "e" in r else r + "e0"
 
 
 def _hit_sql(rule: R.Rule) -> str:
@@ -59,48 +329,353 @@ def _hit_sql(rule: R.Rule) -> str:
     return f"{rule.column} {op} {_lit(rule.threshold)}"
 
 
+def _pass_sql(rule: R.Rule) -> str:
+    from alloy.operators.rules import _NEGATED
+
+    neg = _NEGATED[rule.op]
+    return f"{rule.column} {'=' if neg == '==' else neg} {_lit(rule.threshold)}"
+
+
 def _flag_sql(rule: R.Rule) -> str:
     return f"(CASE WHEN {_hit_sql(rule)} THEN 1 ELSE 0 END)"
 
 
-def _flags_select(rules=LINEITEM_RULES) -> str:
+def _label_sql(rules) -> str:
+    return f"(CASE WHEN {' AND '.join(_pass_sql(r) for r in rules)} THEN 1 ELSE 0 END)"
+
+
+def _flags_select(rules) -> str:
     return ", ".join(f"{_flag_sql(r)}::INTEGER AS {r.name}" for r in rules)
 
 
-def sql_flag_rules() -> str:
-    return f"SELECT l_orderkey, l_linenumber, {_flags_select()} FROM lineitem"
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _bronze_sql() -> str:
+    return f"SELECT {measurement_sql(SAMPLE_KEY_SQL)} FROM lineitem"
+
+
+def sql_synthetic_bronze():
+    return _bronze_sql()
+
+
+def sql_synthetic_flags():
+    return (
+        f"SELECT sample_id, {_flags_select(LAB_RULES)}, {_label_sql(LAB_RULES)}::INTEGER AS label "
+        f"FROM ({_bronze_sql()}) b"
+    )
+
+
+def sql_rounding_modes():
+    return (
+        "SELECT l_orderkey, l_linenumber, l_quantity / 4.0e0 AS x, "
+        "round(l_quantity / 4.0e0, 1) AS half_up, round_even(l_quantity / 4.0e0, 1) AS half_even FROM lineitem"
+    )
+
+
+def sql_dedup_rows():
+    return "SELECT DISTINCT l_quantity, l_discount, l_tax FROM lineitem"
+
+
+def sql_dedup_by_key():
+    cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    rest = [c for c in cols if c not in KEY and c not in DEDUP_ORDER]
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in (*DEDUP_ORDER, *rest))
+    return (
+        f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) AS rn FROM lineitem) t WHERE rn = 1"
+    )
+
 
+def sql_dropna_any():
+    return """
+WITH g AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+    CASE WHEN l_orderkey % 7 = 3 THEN NULL ELSE l_quantity END AS l_quantity,
+    l_extendedprice,
+    CASE WHEN (l_orderkey + l_linenumber) % 11 = 5 THEN 'NaN'::DOUBLE ELSE l_discount END AS l_discount,
+    CASE WHEN (l_orderkey * 3 + l_linenumber) % 17 = 2 THEN 'NaN'::DOUBLE
+         WHEN (l_orderkey * 3 + l_linenumber) % 17 = 9 THEN NULL ELSE l_tax END AS l_tax,
+    CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag,
+    l_linestatus, l_shipdate
+  FROM lineitem)
+SELECT * FROM g WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL AND l_suppkey IS NOT NULL
+  AND l_linenumber IS NOT NULL AND l_quantity IS NOT NULL AND NOT isnan(l_quantity)
+  AND l_extendedprice IS NOT NULL AND NOT isnan(l_extendedprice)
+  AND l_discount IS NOT NULL AND NOT isnan(l_discount) AND l_tax IS NOT NULL AND NOT isnan(l_tax)
+  AND l_returnflag IS NOT NULL AND l_linestatus IS NOT NULL AND l_shipdate IS NOT NULL"""
 
-def sql_compare_long() -> str:
+
+def sql_flag_rules():
+    return f"SELECT l_orderkey, l_linenumber, {_flags_select(LINEITEM_RULES)} FROM lineitem"
+
+
+def sql_all_pass_label():
+    return f"SELECT l_orderkey, l_linenumber, {_label_sql(LINEITEM_RULES)}::INTEGER AS label FROM lineitem"
+
+
+def sql_label_flag_identity():
+    total = " + ".join(_flag_sql(r) for r in LINEITEM_RULES)
+    return (
+        "SELECT count(*)::BIGINT AS n_rows, "
+        f"count(*) FILTER (WHERE ({_label_sql(LINEITEM_RULES)} = 1) <> (({total}) = 0))::BIGINT AS violations "
+        "FROM lineitem"
+    )
+
+
+def sql_route_conditions():
+    return _union(
+        f"SELECT l_orderkey, l_linenumber, '{r.name}' AS condition FROM lineitem WHERE {_hit_sql(r)}"
+        for r in LINEITEM_RULES
+    )
+
+
+def sql_route_counts():
+    return _union(
+        f"SELECT '{r.name}' AS condition, count(*)::BIGINT AS n FROM lineitem WHERE {_hit_sql(r)} HAVING count(*) > 0"
+        for r in LINEITEM_RULES
+    )
+
+
+def sql_compare_one():
+    r = LINEITEM_RULES[0]
+    avgs = ", ".join(f"round(avg({m}), 6) AS avg_{m}" for m in LINEITEM_SPEC[r.name])
+    return f"SELECT {_flag_sql(r)}::INTEGER AS {r.name}, count(*)::BIGINT AS n, {avgs} FROM lineitem GROUP BY 1"
+
+
+def _compare_long_sql(rounded: bool = True) -> str:
     parts = []
     for r in LINEITEM_RULES:
         for v in (0, 1):
             for m in LINEITEM_SPEC[r.name]:
+                mean = f"avg({m}) FILTER (WHERE {_flag_sql(r)} = {v})"
                 parts.append(
                     f"SELECT '{r.name}' AS condition, {v}::INTEGER AS flag, '{m}' AS metric, "
                     f"count(*) FILTER (WHERE {_flag_sql(r)} = {v})::BIGINT AS n, "
-                    f"round(avg({m}) FILTER (WHERE {_flag_sql(r)} = {v}), 6) AS mean FROM lineitem"
+                    f"{f'round({mean}, 6)' if rounded else mean} AS mean FROM lineitem"
                 )
-    return "\nUNION ALL\n".join(parts)
+    return _union(parts)
 
 
-def sql_prevalence() -> str:
-    parts = [
+def sql_compare_long():
+    return _compare_long_sql()
+
+
+def _pivot_sql() -> str:
+    return (
+        "SELECT condition, metric, max(CASE WHEN flag = 0 THEN mean END) AS without, "
+        f"max(CASE WHEN flag = 1 THEN mean END) AS with FROM ({_compare_long_sql(False)}) c GROUP BY condition, metric"
+    )
+
+
+def sql_compare_pivot():
+    return f'SELECT condition, metric, round(without, 6) AS without, round("with", 6) AS "with" FROM ({_pivot_sql()}) p'
+
+
+def _prevalence_sql() -> str:
+    return _union(
         f"SELECT '{r.name}' AS condition, count(*) FILTER (WHERE {_hit_sql(r)})::BIGINT AS n, "
-        f"round(count(*) FILTER (WHERE {_hit_sql(r)}) / count(*)::DOUBLE, 6) AS rate FROM lineitem"
+        f"count(*) FILTER (WHERE {_hit_sql(r)}) / count(*)::DOUBLE AS rate FROM lineitem"
         for r in LINEITEM_RULES
+    )
+
+
+def sql_prevalence():
+    return f"SELECT condition, n, round(rate, 6) AS rate FROM ({_prevalence_sql()}) p"
+
+
+def sql_share_of_total():
+    return (
+        "SELECT condition, n, round(n * 100.0e0 / sum(n) OVER (), 1) AS pct "
+        f"FROM ({_prevalence_sql()}) p"
+    )
+
+
+def sql_axis_max():
+    return f'SELECT condition, round(max(greatest(without, "with")), 6) AS max FROM ({_pivot_sql()}) p GROUP BY condition'
+
+
+def sql_labels_display():
+    def label(col: str) -> str:
+        whens = []
+        for cond, style in LINEITEM_LABEL_STYLES.items():
+            if style == "int":
+                text = f'CAST(trunc({col})::BIGINT AS VARCHAR)'
+            else:
+                text = f"printf('%.1f%%', round({col}, 1))"
+            whens.append(f"WHEN condition = '{cond}' THEN {text}")
+        return f"CASE {' '.join(whens)} END"
+
+    return (
+        f'SELECT condition, metric, {label("without")} AS without_label, {label(chr(34) + "with" + chr(34))} AS with_label '
+        f"FROM ({_pivot_sql()}) p"
+    )
+
+
+def sql_features():
+    return (
+        "SELECT l_orderkey, l_linenumber, "
+        "round(l_extendedprice / (l_quantity + 1e-6), 6) AS price_ratio, "
+        "round(l_discount * l_tax, 6) AS disc_tax_interaction, "
+        "round((l_discount + l_tax + l_quantity) / 3.0e0, 6) AS rate_mean FROM lineitem"
+    )
+
+
+def sql_hash_split():
+    b = "((l_orderkey * 31 + l_linenumber) % 10)"
+    return (
+        f"SELECT 'train' AS side, count(*) FILTER (WHERE {b} < 7)::BIGINT AS n FROM lineitem "
+        f"UNION ALL SELECT 'test' AS side, count(*) FILTER (WHERE {b} >= 7)::BIGINT AS n FROM lineitem"
+    )
+
+
+def sql_scale_unit_std():
+    return (
+        "SELECT l_orderkey, l_linenumber, "
+        "round(l_quantity / stddev_samp(l_quantity) OVER (), 6) AS quantity_scaled, "
+        "round(l_extendedprice / stddev_samp(l_extendedprice) OVER (), 6) AS price_scaled FROM lineitem"
+    )
+
+
+def _pred_sql() -> str:
+    pred = f"(CASE WHEN {' AND '.join(_pass_sql(r) for r in PARTIAL_RULES)} THEN 1 ELSE 0 END)"
+    return f"SELECT {_label_sql(LINEITEM_RULES)} AS label, {pred} AS prediction FROM lineitem"
+
+
+def sql_confusion_matrix():
+    return (
+        "SELECT label::INTEGER AS label, prediction::INTEGER AS prediction, count(*)::BIGINT AS n "
+        f"FROM ({_pred_sql()}) p GROUP BY 1, 2"
+    )
+
+
+def _f1_sql() -> str:
+    return f"""
+WITH p AS ({_pred_sql()}),
+c AS (SELECT cls,
+        sum(support) AS support, sum(predicted) AS predicted, sum(tp) AS tp
+      FROM (SELECT label AS cls, 1 AS support, 0 AS predicted, CASE WHEN label = prediction THEN 1 ELSE 0 END AS tp FROM p
+            UNION ALL SELECT prediction AS cls, 0, 1, 0 FROM p) x GROUP BY cls),
+m AS (SELECT *, CASE WHEN predicted = 0 THEN 0.0e0 ELSE tp / predicted::DOUBLE END AS prec,
+               CASE WHEN support = 0 THEN 0.0e0 ELSE tp / support::DOUBLE END AS rec FROM c),
+f AS (SELECT *, CASE WHEN prec + rec = 0 THEN 0.0e0 ELSE 2 * prec * rec / (prec + rec) END AS f1 FROM m)
+SELECT round(sum(f1 * support) / sum(support), 9) AS f1, round(sum(tp) / sum(support)::DOUBLE, 9) AS accuracy"""
+
+
+def sql_confusion_f1():
+    return _f1_sql() + ", sum(support)::BIGINT AS n FROM f"
+
+
+def sql_evaluator_f1():
+    return _f1_sql() + " FROM f"
+
+
+def sql_report_json():
+    analysis = (
+        "SELECT condition || '_Analysis' AS section, flag::VARCHAR AS key, metric AS field, round(mean, 6) AS value "
+        f"FROM ({_compare_long_sql(False)}) c"
+    )
+    counts = f"SELECT 'Diseases_Count' AS section, condition AS key, 'Count' AS field, n::DOUBLE AS value FROM ({_prevalence_sql()}) p"
+    return _union([analysis, counts])
+
+
+def _lab_silver_sql() -> str:
+    return f"SELECT DISTINCT * FROM ({_bronze_sql()}) b"
+
+
+def sql_medallion_run():
+    silver = _lab_silver_sql()
+    parts = [
+        "SELECT 'bronze' AS layer, count(*)::BIGINT AS n FROM lineitem",
+        f"SELECT 'silver' AS layer, count(*)::BIGINT AS n FROM ({silver}) s",
     ]
-    return "\nUNION ALL\n".join(parts)
+    parts += [
+        f"SELECT 'gold_{r.name}' AS layer, count(*)::BIGINT AS n FROM ({silver}) s WHERE {_hit_sql(r)} HAVING count(*) > 0"
+        for r in LAB_RULES
+    ]
+    parts.append(f"SELECT 'sink_rows' AS layer, count(*)::BIGINT AS n FROM ({silver}) s")
+    return _union(parts)
+
+
+def sql_audit_log():
+    silver = _lab_silver_sql()
+    hits = " + ".join(_flag_sql(r) for r in LAB_RULES)
+    return _union(
+        [
+            "SELECT 'INFO' AS level, 'extract' AS source, 'bronze rows written: ' || count(*) AS message FROM lineitem",
+            f"SELECT 'INFO', 'transform', 'silver rows written: ' || count(*) FROM ({silver}) s",
+            f"SELECT 'INFO', 'transform', 'gold rows written: ' || sum({hits})::BIGINT FROM ({silver}) s",
+            f"SELECT 'INFO', 'load', 'report sections written: {len(LAB_RULES) + 1}'",
+        ]
+    )
+
+
+def sql_refresh_metrics():
+    return _compare_long_sql()
 
 
 QUERIES: dict[str, Query] = {
+    "synthetic_bronze": q_synthetic_bronze,
+    "synthetic_flags": q_synthetic_flags,
+    "rounding_modes": q_rounding_modes,
+    "dedup_rows": q_dedup_rows,
+    "dedup_by_key": q_dedup_by_key,
+    "dropna_any": q_dropna_any,
     "flag_rules": q_flag_rules,
+    "all_pass_label": q_all_pass_label,
+    "label_flag_identity": q_label_flag_identity,
+    "route_conditions": q_route_conditions,
+    "route_counts": q_route_counts,
+    "compare_one": q_compare_one,
     "compare_long": q_compare_long,
+    "compare_pivot": q_compare_pivot,
     "prevalence": q_prevalence,
+    "share_of_total": q_share_of_total,
+    "axis_max": q_axis_max,
+    "labels_display": q_labels_display,
+    "features": q_features,
+    "hash_split": q_hash_split,
+    "scale_unit_std": q_scale_unit_std,
+    "confusion_matrix": q_confusion_matrix,
+    "confusion_f1": q_confusion_f1,
+    "evaluator_f1": q_evaluator_f1,
+    "report_json": q_report_json,
+    "report_document": q_report_document,
+    "rf_gate": q_rf_gate,
+    "audit_log": q_audit_log,
+    "refresh_metrics": q_refresh_metrics,
+    "medallion_run": q_medallion_run,
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
+    "synthetic_bronze": sql_synthetic_bronze,
+    "synthetic_flags": sql_synthetic_flags,
+    "rounding_modes": sql_rounding_modes,
+    "dedup_rows": sql_dedup_rows,
+    "dedup_by_key": sql_dedup_by_key,
+    "dropna_any": sql_dropna_any,
     "flag_rules": sql_flag_rules,
+    "all_pass_label": sql_all_pass_label,
+    "label_flag_identity": sql_label_flag_identity,
+    "route_conditions": sql_route_conditions,
+    "route_counts": sql_route_counts,
+    "compare_one": sql_compare_one,
     "compare_long": sql_compare_long,
+    "compare_pivot": sql_compare_pivot,
     "prevalence": sql_prevalence,
+    "share_of_total": sql_share_of_total,
+    "axis_max": sql_axis_max,
+    "labels_display": sql_labels_display,
+    "features": sql_features,
+    "hash_split": sql_hash_split,
+    "scale_unit_std": sql_scale_unit_std,
+    "confusion_matrix": sql_confusion_matrix,
+    "confusion_f1": sql_confusion_f1,
+    "evaluator_f1": sql_evaluator_f1,
+    "report_json": sql_report_json,
+    "audit_log": sql_audit_log,
+    "refresh_metrics": sql_refresh_metrics,
+    "medallion_run": sql_medallion_run,
 }

@@ -28,7 +28,7 @@ _FAMILY = {
     "FloatType": "float32", "FLOAT": "float32",
     "StringType": "string", "VARCHAR": "string",
     "BooleanType": "bool", "BOOLEAN": "bool",
-    "TimestampType": "timestamp", "TIMESTAMP": "timestamp",
+    "TimestampType": "timestamp", "TIMESTAMP": "timestamp", "TimestampNTZType": "timestamp",
     "DateType": "date", "DATE": "date",
 }
 
