@@ -73,4 +73,5 @@ def int_label(value: ColumnOrName) -> Column:
 
 def percent_label(value: ColumnOrName) -> Column:
     """One-decimal percent label such as ``"31.9%"``."""
-    return F.format_string("%.1f%%", _c(value))
+    v = _c(value)
+    return F.when(v.isNotNull(), F.format_string("%.1f%%", v))

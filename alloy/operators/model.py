@@ -20,6 +20,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 from pyspark.errors import AnalysisException
+from pyspark import StorageLevel
 
 from alloy.functions.columns import interaction, mean_of, ratio
 
@@ -83,13 +84,28 @@ def train(
     depth: int = 6,
     seed: int = 42,
 ) -> PipelineModel:
-    """Assemble, scale to unit sample std without centring, random forest."""
+    """Assemble, scale to unit sample std without centring, random forest.
+
+    Tree induction parallelises over input partitions. A large table already
+    has many; a small one (a single parquet row group is a single split) is
+    spread over the cluster's default parallelism first, and that shuffled
+    copy is kept for the fit's several passes (scaler summary, split
+    candidates, binned points) and released afterwards.
+    """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_vec")
     scaler = StandardScaler(inputCol="features_vec", outputCol="features", withMean=False, withStd=True)
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
     )
-    return Pipeline(stages=[assembler, scaler, forest]).fit(train_df)
+    pipeline = Pipeline(stages=[assembler, scaler, forest])
+    parallelism = train_df.sparkSession.sparkContext.defaultParallelism
+    if train_df.rdd.getNumPartitions() >= parallelism:
+        return pipeline.fit(train_df)
+    spread = train_df.select(*features, label).repartition(parallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(spread)
+    finally:
+        spread.unpersist()
 
 
 def evaluate(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -198,12 +214,19 @@ def gate(
     """Promote the challenger if there is no champion or its weighted F1 is
     strictly greater on the same test rows (a tie keeps the champion).
 
-    Models are written to versioned folders and promotion is an append to a
-    small log, so the old champion is never deleted before the new one is
-    complete; a failed write leaves the previous champion in force.
+    Every candidate is written to its own versioned folder and promotion is
+    an append to a small log, so the old champion is never deleted or
+    overwritten; a failed write leaves the previous champion in force.
     Returns one row (GATE_SCHEMA).
     """
-    ch = evaluate(challenger.transform(test), label).first()
+    # The candidate is written first and scored from its stored copy: the
+    # stored model is exactly what a promotion would serve, and a freshly fit
+    # forest carries a training summary bound to the session, which cannot be
+    # shipped to executors once the session has used an Observation.
+    path = f"{registry}/models/{run_id}"
+    challenger.write().overwrite().save(path)
+    stored = PipelineModel.load(path)
+    ch = evaluate(stored.transform(test), label).first()
     champ = current_champion(spark, registry)
     champ_f1 = champ_acc = None
     if champ is not None:
@@ -212,8 +235,6 @@ def gate(
         champ_f1, champ_acc = row["f1"], row["accuracy"]
     promote = champ is None or (ch["f1"] is not None and champ_f1 is not None and ch["f1"] > champ_f1)
     if promote:
-        path = f"{registry}/models/{run_id}"
-        challenger.write().overwrite().save(path)
         entry = [(run_id, path, ch["f1"], ch["accuracy"], dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
         spark.createDataFrame(entry, PROMOTION_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{registry}/promotions"

@@ -129,6 +129,19 @@ def prevalence(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
+def prevalence_from(long: DataFrame) -> DataFrame:
+    """Prevalence derived from ``compare`` output (n of class 1 over both classes).
+
+    Lets a report reuse the single statistics scan instead of a second pass.
+    """
+    per = long.groupBy("condition").agg(
+        F.max(F.when(F.col("flag") == 1, F.col("n"))).alias("n"),
+        F.max(F.when(F.col("flag") == 0, F.col("n"))).alias("_n0"),
+    )
+    rate = F.try_divide(F.col("n").cast("double"), (F.col("n") + F.col("_n0")).cast("double"))
+    return per.select("condition", F.col("n"), rate.alias("rate"))
+
+
 def share(prev: DataFrame, digits: int = 1) -> DataFrame:
     """Add ``pct`` = n / sum(n) * 100 rounded to ``digits`` (a pie chart's labels).
 
@@ -158,7 +171,8 @@ def display_labels(pivot: DataFrame, styles: Mapping[str, str], digits: int = 1)
             if style == "int":
                 text = F.col(col).cast("bigint").cast("string")
             elif style == "percent":
-                text = F.format_string("%.1f%%", F.round(F.col(col), digits))
+                value = F.round(F.col(col), digits)
+                text = F.when(value.isNotNull(), F.format_string("%.1f%%", value))
             else:
                 raise ValueError(f"unknown label style {style!r}")
             hit = F.col("condition") == F.lit(cond)

@@ -110,7 +110,7 @@ def load(spark: SparkSession, paths: Paths, cfg: RunConfig, log: AuditLog) -> di
     silver = read_layer(spark, paths.silver, SILVER_SCHEMA)
     write_sink(silver, cfg.sink_format, paths.rows_sink, cfg.sink_options, run_id=cfg.run_id)
     long = stats.compare(silver, cfg.rules, cfg.spec)
-    counts = stats.prevalence(silver, cfg.rules)
+    counts = stats.prevalence_from(long)
     report = as_document(to_report(long, counts, cfg.rules))
     write_sink(report, "json", paths.report_sink, mode="overwrite")
     n_sections = len(cfg.rules) + 1
