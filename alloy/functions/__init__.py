@@ -7,6 +7,7 @@ from alloy.functions.columns import (
     keyed_uniform,
     int_label,
     percent_label,
+    dated_title,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "keyed_uniform",
     "int_label",
     "percent_label",
+    "dated_title",
 ]

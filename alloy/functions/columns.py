@@ -63,7 +63,8 @@ def keyed_uniform(key: ColumnOrName, k: int, m: int) -> Column:
     """
     key = _c(key).cast("bigint")
     x = F.pmod(key * F.lit(k) + F.lit(m), F.lit(PRIME))
-    return F.pmod(F.pmod(x * F.lit(MULTIPLIER), F.lit(PRIME)), F.lit(m))
+    # x is non-negative from here on, so plain remainder equals pmod
+    return ((x * F.lit(MULTIPLIER)) % F.lit(PRIME)) % F.lit(m)
 
 
 def int_label(value: ColumnOrName) -> Column:
@@ -75,3 +76,8 @@ def percent_label(value: ColumnOrName) -> Column:
     """One-decimal percent label such as ``"31.9%"``."""
     v = _c(value)
     return F.when(v.isNotNull(), F.format_string("%.1f%%", v))
+
+
+def dated_title(text: str, fmt: str = "dd-MM-yyyy") -> Column:
+    """``"<text> dd-MM-yyyy"`` with today's date (constant within one query)."""
+    return F.concat(F.lit(f"{text} "), F.date_format(F.current_date(), fmt))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from alloy.functions.columns import interaction, mean_of, ratio
+from alloy.functions.columns import dated_title, interaction, mean_of, ratio
 from alloy.operators import clean as C
 from alloy.operators import model as M
 from alloy.operators import rules as R
@@ -29,7 +29,7 @@ from alloy.operators import stats as S
 from alloy.plans import medallion
 from alloy.plans.report import as_document, from_report, to_report
 from alloy.session import scratch_path
-from alloy.sources.generate import LAB_RULES, measurement_sql, measurements_for
+from alloy.sources.generate import LAB_LABEL_STYLES, LAB_RULES, LAB_SPEC, measurement_sql, measurements_for
 from alloy.sources.layers import read_report, write_sink
 from alloy.sources.tables import (
     LINEITEM_LABEL_STYLES,
@@ -123,6 +123,34 @@ def q_synthetic_flags(spark, sf_dir):
     return flagged.select("sample_id", *[r.name for r in LAB_RULES], "label")
 
 
+def _lab_silver(spark, sf_dir) -> DataFrame:
+    """bronze (from lineitem keys) -> whole-row dedup -> drop incomplete -> flags."""
+    bronze = measurements_for(_lab_keys(spark, sf_dir), "sample_id")
+    return R.flag(C.drop_incomplete(C.dedup(bronze)), LAB_RULES)
+
+
+def q_lab_compare_long(spark, sf_dir):
+    return _r6(S.compare(_lab_silver(spark, sf_dir), LAB_RULES, LAB_SPEC), "mean")
+
+
+def q_lab_prevalence(spark, sf_dir):
+    prev = S.share(S.prevalence(_lab_silver(spark, sf_dir), LAB_RULES))
+    return _r6(prev, "rate")
+
+
+def q_lab_pivot_labels(spark, sf_dir):
+    pivot = S.compare_pivot(S.compare(_lab_silver(spark, sf_dir), LAB_RULES, LAB_SPEC))
+    out = S.display_labels(pivot, LAB_LABEL_STYLES)
+    return _r6(out, "without", "with")
+
+
+def q_lab_features(spark, sf_dir):
+    silver = _lab_silver(spark, sf_dir)
+    out = R.all_pass_label(M.lab_features(silver), LAB_RULES)
+    derived = ["total_motility", "motility_ratio", "motility_vitality_interaction", "defect_ratio", "health_index"]
+    return _r6(out.select("sample_id", *derived, "label"), *derived)
+
+
 def q_rounding_modes(spark, sf_dir):
     x = F.col("l_quantity") / F.lit(4.0)
     return _lineitem(spark, sf_dir).select(
@@ -256,7 +284,7 @@ def _report(spark, sf_dir) -> DataFrame:
 
 
 def q_report_document(spark, sf_dir):
-    return _report(spark, sf_dir)
+    return _report(spark, sf_dir).withColumn("title", dated_title("Statistics report"))
 
 
 def q_report_json(spark, sf_dir):
@@ -367,6 +395,71 @@ def sql_synthetic_flags():
     )
 
 
+def _lab_flagged_sql() -> str:
+    return f"SELECT *, {_flags_select(LAB_RULES)} FROM ({_lab_silver_sql()}) s"
+
+
+def _lab_compare_sql(rounded: bool = True) -> str:
+    parts = []
+    for r in LAB_RULES:
+        for v in (0, 1):
+            for m in LAB_SPEC[r.name]:
+                mean = f"avg({m}) FILTER (WHERE {r.name} = {v})"
+                parts.append(
+                    f"SELECT '{r.name}' AS condition, {v}::INTEGER AS flag, '{m}' AS metric, "
+                    f"count(*) FILTER (WHERE {r.name} = {v})::BIGINT AS n, "
+                    f"{f'round({mean}, 6)' if rounded else mean} AS mean FROM lab"
+                )
+    return f"WITH lab AS ({_lab_flagged_sql()})\n" + _union(parts)
+
+
+def sql_lab_compare_long():
+    return _lab_compare_sql()
+
+
+def sql_lab_prevalence():
+    parts = [
+        f"SELECT '{r.name}' AS condition, count(*) FILTER (WHERE {r.name} = 1)::BIGINT AS n, "
+        f"count(*) FILTER (WHERE {r.name} = 1) / count(*)::DOUBLE AS rate FROM lab"
+        for r in LAB_RULES
+    ]
+    return (
+        f"WITH lab AS ({_lab_flagged_sql()}), p AS ({_union(parts)})\n"
+        "SELECT condition, n, round(rate, 6) AS rate, round(n * 100.0e0 / sum(n) OVER (), 1) AS pct FROM p"
+    )
+
+
+def sql_lab_pivot_labels():
+    def label(col: str) -> str:
+        whens = []
+        for cond, style in LAB_LABEL_STYLES.items():
+            text = (f"CAST(trunc({col})::BIGINT AS VARCHAR)" if style == "int"
+                    else f"printf('%.1f%%', round({col}, 1))")
+            whens.append(f"WHEN condition = '{cond}' THEN {text}")
+        return f"CASE {' '.join(whens)} END"
+
+    pivot = (
+        "SELECT condition, metric, max(CASE WHEN flag = 0 THEN mean END) AS without, "
+        f"max(CASE WHEN flag = 1 THEN mean END) AS with FROM ({_lab_compare_sql(False)}) c GROUP BY condition, metric"
+    )
+    return (
+        f'SELECT condition, metric, round(without, 6) AS without, round("with", 6) AS "with", '
+        f'{label("without")} AS without_label, {label(chr(34) + "with" + chr(34))} AS with_label FROM ({pivot}) p'
+    )
+
+
+def sql_lab_features():
+    return f"""
+SELECT sample_id,
+  round(motility_progressive + motility_non_progressive, 6) AS total_motility,
+  round(motility_progressive / ((motility_progressive + motility_non_progressive) + 1e-6), 6) AS motility_ratio,
+  round(motility_progressive * vitality, 6) AS motility_vitality_interaction,
+  round((head_defects + midpiece_defects + tail_defects) / 3.0e0, 6) AS defect_ratio,
+  round((vitality + motility_progressive + normal_forms) / 3.0e0, 6) AS health_index,
+  {_label_sql(LAB_RULES)}::INTEGER AS label
+FROM ({_lab_silver_sql()}) s"""
+
+
 def sql_rounding_modes():
     return (
         "SELECT l_orderkey, l_linenumber, l_quantity / 4.0e0 AS x, "
@@ -619,6 +712,10 @@ def sql_refresh_metrics():
 QUERIES: dict[str, Query] = {
     "synthetic_bronze": q_synthetic_bronze,
     "synthetic_flags": q_synthetic_flags,
+    "lab_compare_long": q_lab_compare_long,
+    "lab_prevalence": q_lab_prevalence,
+    "lab_pivot_labels": q_lab_pivot_labels,
+    "lab_features": q_lab_features,
     "rounding_modes": q_rounding_modes,
     "dedup_rows": q_dedup_rows,
     "dedup_by_key": q_dedup_by_key,
@@ -652,6 +749,10 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, Callable[[], str]] = {
     "synthetic_bronze": sql_synthetic_bronze,
     "synthetic_flags": sql_synthetic_flags,
+    "lab_compare_long": sql_lab_compare_long,
+    "lab_prevalence": sql_lab_prevalence,
+    "lab_pivot_labels": sql_lab_pivot_labels,
+    "lab_features": sql_lab_features,
     "rounding_modes": sql_rounding_modes,
     "dedup_rows": sql_dedup_rows,
     "dedup_by_key": sql_dedup_by_key,

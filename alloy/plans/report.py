@@ -107,3 +107,16 @@ def report_long(cells: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Dat
         .select(name.alias("condition"), F.col("value").cast("bigint").alias("n"))
     )
     return analysis, counts
+
+
+def report_section(doc: DataFrame, section: str, column: str = "report") -> DataFrame:
+    """One section of a stored report as (key, field, value) rows.
+
+    ``element_at`` on the nested map -- the dashboard's ``doc[section]`` --
+    then two bounded explodes.
+    """
+    dtype = doc.schema[column].dataType
+    m = F.from_json(F.col(column), REPORT_TYPE) if isinstance(dtype, StringType) else F.col(column)
+    sec = doc.select(F.element_at(m, F.lit(section)).alias("s"))
+    lvl = sec.select(F.explode("s").alias("key", "m2"))
+    return lvl.select("key", F.explode("m2").alias("field", "value"))

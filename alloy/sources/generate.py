@@ -71,17 +71,27 @@ GEN = {
 SEED_STRIDE = 1 << 32
 
 
-def _idiv(a: Column, b: Column) -> Column:
-    """Exact integer division for non-negative bigints."""
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
-
-
 def _tenths(x: Column) -> Column:
     return x.cast("double") / F.lit(10.0)
 
 
+def _intdiv(a: Column, b: Column) -> Column:
+    """Integer division of non-negative bigints with each operand written once.
+
+    ``floor(a / b)`` is exact here: operands stay below 2^27, so a non-integer
+    quotient is at least 1/a away from the next integer, far above the double
+    rounding error (2^-52 relative).
+    """
+    return F.floor(a / b)
+
+
 def measurement_columns(key: Column) -> dict[str, Column]:
-    """The bronze measurement columns as expressions of a bigint key."""
+    """The bronze measurement columns as expressions of a bigint key.
+
+    Each operand of a division appears once, so the expressions stay small
+    when the optimizer inlines them into a pushed-down filter (for example
+    ``drop_incomplete`` above ``dedup`` checks all 13 columns at once).
+    """
     u = {name: keyed_uniform(key, k, m) for name, (k, m) in GEN.items()}
     v = F.lit(13) + u["volume"]
     conc = F.lit(3) + u["concentration"]
@@ -89,12 +99,12 @@ def measurement_columns(key: Column) -> dict[str, Column]:
     s = a + b + c
 
     def share(x: Column) -> Column:
-        return _tenths(_idiv(F.lit(2000) * x + s, F.lit(2) * s))
+        return _tenths(_intdiv(F.lit(2000) * x + s, F.lit(2) * s))
 
     h = F.lit(857) + u["head"]
     m = F.lit(73) + u["midpiece"]
     t = F.lit(25) + u["tail"]
-    normal = _idiv((F.lit(1000) - h) * (F.lit(1000) - m) * (F.lit(1000) - t) + F.lit(500000), F.lit(1000000))
+    normal = _intdiv((F.lit(1000) - h) * (F.lit(1000) - m) * (F.lit(1000) - t) + F.lit(500000), F.lit(1000000))
     return {
         "volume_ml": _tenths(v),
         "concentration": conc.cast("int"),

@@ -108,3 +108,15 @@ def test_refresh_restart_equals_batch(spark, tmp_dir):
     assert got.keys() == exp.keys()
     for k in exp:
         assert got[k][0] == exp[k][0] and math.isclose(got[k][1], exp[k][1], rel_tol=1e-12)
+
+
+def test_report_section_access(spark):
+    from alloy.plans.report import report_section
+
+    df = measurements(spark, 2000)
+    rep = to_report(S.compare(df, LAB_RULES, LAB_SPEC), S.prevalence(df, LAB_RULES), LAB_RULES)
+    counts = {r["key"]: r["value"] for r in report_section(rep, "Diseases_Count").collect()}
+    prev = {r.label: n for r in LAB_RULES for c, n in [(x["condition"], x["n"]) for x in S.prevalence(df, LAB_RULES).collect()] if c == r.name}
+    assert counts == {k: float(v) for k, v in prev.items()}
+    cells = report_section(rep, "Necrospermia_Analysis").collect()
+    assert sorted({c["key"] for c in cells}) == ["0", "1"] and {c["field"] for c in cells} == {"vitality"}
