@@ -9,8 +9,21 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "alloy") -> SparkSession:
-    """A local session for tests and the bench (UI off, AQE on, UTC)."""
+# JVM option recommended for every driver and executor running these plans.
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "alloy",
+    jit_huge_methods: bool = False,
+) -> SparkSession:
+    """A local session for tests and the bench (UI off, AQE on, UTC).
+
+    ``jit_huge_methods`` adds ``JIT_OPTIONS``: worth it for long-running jobs
+    (the compile cost is amortised), a net loss for short queries.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -24,6 +37,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("ALLOY_DRIVER_MEMORY", "8g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
+    if jit_huge_methods:
+        # Whole-stage codegen emits one method per stage; a wide projection
+        # (the keyed generator with a pushed-down completeness filter) exceeds
+        # the JVM's 8000-bytecode JIT limit and otherwise runs interpreted.
+        builder = builder.config("spark.driver.extraJavaOptions", JIT_OPTIONS).config(
+            "spark.executor.extraJavaOptions", JIT_OPTIONS
+        )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -99,7 +99,10 @@ def measurement_columns(key: Column) -> dict[str, Column]:
     s = a + b + c
 
     def share(x: Column) -> Column:
-        return _tenths(_intdiv(F.lit(2000) * x + s, F.lit(2) * s))
+        # (2000x + s) div (2s) == floor(1000x/s + 1/2); the right-hand form
+        # names s once. Exact in doubles: a tie (1000x/s = k - 1/2) is
+        # representable, any other quotient is >= 1/(2s) from the boundary.
+        return _tenths(F.floor(F.lit(1000.0) * x / s + F.lit(0.5)))
 
     h = F.lit(857) + u["head"]
     m = F.lit(73) + u["midpiece"]
