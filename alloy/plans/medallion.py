@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from alloy.operators import clean, model, rules as R, stats
 from alloy.plans.audit import AuditLog
 from alloy.plans.report import as_document, to_report
-from alloy.sources.generate import LAB_RULES, LAB_SPEC, measurements_for
+from alloy.sources.generate import LAB_METRIC_LABELS, LAB_RULES, LAB_SPEC, measurements_for
 from alloy.sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, read_layer, write_layer, write_sink
 
 STAGES = ("extract", "transform", "model", "load")
@@ -68,6 +68,7 @@ class RunConfig:
     depth: int = 6
     seed: int = 42
     train_pct: int = 70
+    metric_labels: Mapping[str, str] = field(default_factory=lambda: dict(LAB_METRIC_LABELS))
 
 
 def extract(spark: SparkSession, keys: DataFrame, key: str, paths: Paths, cfg: RunConfig, log: AuditLog) -> int:
@@ -111,7 +112,7 @@ def load(spark: SparkSession, paths: Paths, cfg: RunConfig, log: AuditLog) -> di
     write_sink(silver, cfg.sink_format, paths.rows_sink, cfg.sink_options, run_id=cfg.run_id)
     long = stats.compare(silver, cfg.rules, cfg.spec)
     counts = stats.prevalence_from(long)
-    report = as_document(to_report(long, counts, cfg.rules))
+    report = as_document(to_report(long, counts, cfg.rules, cfg.metric_labels))
     write_sink(report, "json", paths.report_sink, mode="overwrite")
     n_sections = len(cfg.rules) + 1
     log.info("load", f"report sections written: {n_sections}")

@@ -8,7 +8,7 @@ with an explicit schema parses it back.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,16 +51,30 @@ def _nest(cells: DataFrame, value_type: str) -> DataFrame:
     return outer.select("section", F.to_json("m").alias("body"))
 
 
-def to_report(long: DataFrame, counts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def _relabel(col: str, labels: Mapping[str, str] | None) -> Column:
+    expr = F.col(col)
+    for key, text in (labels or {}).items():
+        expr = F.when(F.col(col) == key, F.lit(text)).otherwise(expr)
+    return expr
+
+
+def to_report(
+    long: DataFrame,
+    counts: DataFrame,
+    rules: Sequence[Rule],
+    metric_labels: Mapping[str, str] | None = None,
+) -> DataFrame:
     """One row, one column ``report``: a JSON document with a
     ``<Condition>_Analysis`` section per condition ({class: {metric: mean}})
-    and a ``Diseases_Count`` section ({condition: {"Count": n}}). Keys are
-    sorted; non-ASCII text is kept. Input sizes are bounded by the rule set.
+    and a ``Diseases_Count`` section ({condition: {"Count": n}}). Metric keys
+    are renamed through ``metric_labels`` when given (e.g. ``"Avg pH"``).
+    Keys are sorted; non-ASCII text is kept. Input sizes are bounded by the
+    rule set.
     """
     analysis = long.select(
         F.concat(_display(rules), F.lit(ANALYSIS_SUFFIX)).alias("section"),
         F.col("flag").cast("string").alias("k1"),
-        F.col("metric").alias("k2"),
+        _relabel("metric", metric_labels).alias("k2"),
         F.col("mean").alias("value"),
     )
     count_cells = counts.select(
@@ -89,8 +103,11 @@ def from_report(doc: DataFrame, column: str = "report") -> DataFrame:
     return lvl2.select("section", "key", F.explode("m2").alias("field", "value"))
 
 
-def report_long(cells: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+def report_long(
+    cells: DataFrame, rules: Sequence[Rule], metric_labels: Mapping[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Split unpacked cells back into (condition, flag, metric, mean) and (condition, n)."""
+    inverse = {text: key for key, text in (metric_labels or {}).items()}
     back = {(r.label or r.name): r.name for r in rules}
     name = F.col("cond_display")
     for disp, rule_name in back.items():
@@ -99,7 +116,7 @@ def report_long(cells: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Dat
         cells.filter(F.col("section").endswith(ANALYSIS_SUFFIX))
         .withColumn("cond_display", F.expr(f"substring(section, 1, length(section) - {len(ANALYSIS_SUFFIX)})"))
         .select(name.alias("condition"), F.col("key").cast("int").alias("flag"),
-                F.col("field").alias("metric"), F.col("value").alias("mean"))
+                _relabel("field", inverse).alias("metric"), F.col("value").alias("mean"))
     )
     counts = (
         cells.filter(F.col("section") == COUNT_SECTION)

@@ -71,3 +71,31 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared root, unique per call."""
     return f"{shared_root(spark)}/alloy/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Settings sized for a large cluster run over ``input_bytes`` of input.
+
+    * Scan splits and shuffle partitions target ~``target_partition_bytes``
+      (512 MB by default: 100 TB gives ~200k scan tasks and as many initial
+      shuffle partitions, which AQE coalesces when the data shrinks, e.g.
+      after map-side dedup or the one-row statistics aggregate).
+    * Concurrent output writers let the routed gold write (``partitionBy``
+      on a handful of conditions) skip the per-task sort.
+    * Huge generated methods are JIT-compiled on long-running executors.
+    ``spark.checkpoint.dir`` is expected to be set by the cluster (shared
+    storage) and is deliberately not set here.
+    """
+    parts = max(200, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.maxConcurrentOutputFileWriters": "8",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.executor.extraJavaOptions": JIT_OPTIONS,
+        "spark.driver.extraJavaOptions": JIT_OPTIONS,
+    }

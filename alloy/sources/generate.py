@@ -55,6 +55,33 @@ LAB_LABEL_STYLES = {
     "hypospermia": "int",
 }
 
+# The original display names of the bronze columns, and the
+# report's metric keys ("Avg " + display name).
+LAB_DISPLAY_NAMES = {
+    "volume_ml": "Ejaculate volume (mL)",
+    "concentration": "Sperm concentration (x10⁶/mL)",
+    "total_count": "Total sperm count (x10⁶)",
+    "ph": "pH",
+    "motility_progressive": "Progressive motility (%)",
+    "motility_non_progressive": "Non progressive sperm motility (%)",
+    "motility_immotile": "Immotile sperm (%)",
+    "vitality": "Sperm vitality (%)",
+    "head_defects": "Head defects (%)",
+    "midpiece_defects": "Midpiece and neck defects (%)",
+    "tail_defects": "Tail defects (%)",
+    "normal_forms": "Normal spermatozoa (%)",
+}
+LAB_METRIC_LABELS = {c: f"Avg {name}" for c, name in LAB_DISPLAY_NAMES.items()}
+
+
+def with_display_names(df: DataFrame) -> DataFrame:
+    """Rename snake_case lab columns to their display names (for export);
+    flag columns take their rule labels."""
+    names = dict(LAB_DISPLAY_NAMES)
+    names.update({r.name: r.display for r in LAB_RULES})
+    return df.withColumnsRenamed({c: n for c, n in names.items() if c in df.columns})
+
+
 # Per-column (multiplier, modulus) pairs of the keyed generator.
 GEN = {
     "volume": (48271, 88),
@@ -181,3 +208,59 @@ def measurement_sql(key: str) -> str:
             f"{normal} AS normal_forms",
         ]
     )
+
+
+# --------------------------------------------------------------------------
+# Uniform generator with the original's distributions (seeded ``rand``).
+# --------------------------------------------------------------------------
+
+# Fixed values: (low, high) of each uniformly drawn measurement.
+UNIFORM_RANGES = {
+    "volume_ml": (1.3, 10.0),
+    "concentration": (3.8, 350.0),
+    "ph": (7.0, 8.0),
+    "vitality": (40.0, 100.0),
+    "head_defects": (85.7, 100.0),
+    "midpiece_defects": (7.3, 50.5),
+    "tail_defects": (2.5, 51.7),
+}
+MOTILITY_COLUMNS = ("motility_progressive", "motility_non_progressive", "motility_immotile")
+
+
+def _uniform(lo: float, hi: float, seed: int) -> Column:
+    return F.rand(seed) * F.lit(hi - lo) + F.lit(lo)
+
+
+def measurements_uniform(spark: SparkSession, n: int, seed: int = 0, partitions: int | None = None) -> DataFrame:
+    """The original generator's distributions with seeded ``rand``.
+
+    Independent uniform draws, one decimal (HALF_UP), a truncated integer
+    concentration, three motility shares of one total, and normal forms as
+    the product of the three defect complements. Reproducible for a fixed
+    ``seed`` and partition count only (``rand`` is seeded per partition);
+    prefer ``measurements`` when a table must be rebuilt exactly.
+    """
+    from alloy.functions.columns import product_of_complements, share_of
+
+    ids = spark.range(1, n + 1, numPartitions=partitions).withColumnRenamed("id", "sample_id")
+    draws = {c: _uniform(lo, hi, seed * 100 + i) for i, (c, (lo, hi)) in enumerate(UNIFORM_RANGES.items())}
+    raw = [F.rand(seed * 100 + 50 + i) for i in range(3)]
+    cols = {
+        "volume_ml": F.round(draws["volume_ml"], 1),
+        "concentration": draws["concentration"].cast("int"),
+        "ph": F.round(draws["ph"], 1),
+    }
+    for name, r in zip(MOTILITY_COLUMNS, raw):
+        cols[name] = F.round(share_of(r, raw), 1)
+    for name in ("vitality", "head_defects", "midpiece_defects", "tail_defects"):
+        cols[name] = F.round(draws[name], 1)
+    df = ids.select("sample_id", *[e.alias(k) for k, e in cols.items()])
+    df = df.withColumns(
+        {
+            "total_count": F.bround(F.col("volume_ml") * F.col("concentration"), 1),
+            "normal_forms": F.round(
+                product_of_complements(["head_defects", "midpiece_defects", "tail_defects"]), 1
+            ),
+        }
+    )
+    return df.select(*BRONZE_COLUMNS)

@@ -71,3 +71,40 @@ def test_label_iff_no_flag_and_route_sizes(bronze):
     per_route = {r["condition"]: r["count"] for r in routed.groupBy("condition").count().collect()}
     prev = {r["condition"]: r["n"] for r in S.prevalence(df, LAB_RULES).collect()}
     assert per_route == prev
+
+
+# Expected flag rates of the uniform generator on 2,000,000 rows (fixed values).
+EXPECTED_UNIFORM = {
+    "oligospermia": 0.0324,
+    "asthenozoospermia": 0.4693,
+    "teratozoospermia": 0.5720,
+    "necrospermia": 0.2997,
+    "hypospermia": 0.0171,
+}
+EXPECTED_UNIFORM_LABEL = 0.1509
+
+
+def test_uniform_generator_distribution(spark):
+    from alloy.sources.generate import measurements_uniform
+
+    df = measurements_uniform(spark, 200_000, seed=5, partitions=8)
+    assert df.columns == [f.name for f in BRONZE_SCHEMA]
+    assert [f.dataType for f in df.schema] == [f.dataType for f in BRONZE_SCHEMA]
+    prev = {r["condition"]: r["rate"] for r in S.prevalence(df, LAB_RULES).collect()}
+    for name, rate in EXPECTED_UNIFORM.items():
+        assert abs(prev[name] - rate) <= 0.005, (name, prev[name])
+    label = R.all_pass_label(df, LAB_RULES).agg(F.avg("label")).first()[0]
+    assert abs(label - EXPECTED_UNIFORM_LABEL) <= 0.005
+    total = F.col("motility_progressive") + F.col("motility_non_progressive") + F.col("motility_immotile")
+    lo, hi, cmin, cmax = df.agg(F.min(total), F.max(total), F.min("concentration"), F.max("concentration")).first()
+    assert 99.85 <= lo and hi <= 100.15 and 3 <= cmin and cmax <= 349
+    again = measurements_uniform(spark, 2000, seed=5, partitions=8).collect()
+    assert again == measurements_uniform(spark, 2000, seed=5, partitions=8).collect()
+
+
+def test_display_names(spark):
+    from alloy.sources.generate import with_display_names
+
+    df = with_display_names(R.flag(measurements(spark, 10), LAB_RULES))
+    assert "Sperm concentration (x10⁶/mL)" in df.columns and "Oligospermia" in df.columns
+    assert "sample_id" in df.columns

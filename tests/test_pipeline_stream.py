@@ -120,3 +120,16 @@ def test_report_section_access(spark):
     assert counts == {k: float(v) for k, v in prev.items()}
     cells = report_section(rep, "Necrospermia_Analysis").collect()
     assert sorted({c["key"] for c in cells}) == ["0", "1"] and {c["field"] for c in cells} == {"vitality"}
+
+
+def test_report_metric_labels_round_trip(spark):
+    from alloy.sources.generate import LAB_METRIC_LABELS
+
+    df = measurements(spark, 1500)
+    long = S.compare(df, LAB_RULES, LAB_SPEC)
+    rep = to_report(long, S.prevalence_from(long), LAB_RULES, LAB_METRIC_LABELS)
+    text = rep.first()["report"]
+    assert '"Avg Sperm concentration (x10⁶/mL)":' in text and '"Oligospermia_Analysis":{"0":{' in text
+    back, _ = report_long(from_report(rep), LAB_RULES, LAB_METRIC_LABELS)
+    got = {(r["condition"], r["flag"], r["metric"]) for r in back.collect()}
+    assert got == {(r["condition"], r["flag"], r["metric"]) for r in long.collect()}
