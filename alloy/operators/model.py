@@ -23,6 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark import StorageLevel
 
 from alloy.functions.columns import interaction, mean_of, ratio
+from alloy.operators.partitioning import spread
 
 # Feature columns of the laboratory model, in the original order.
 LAB_FEATURES = (
@@ -88,9 +89,9 @@ def train(
 
     Tree induction parallelises over input partitions. A large table already
     has many; a small one (a single parquet row group is a single split) is
-    spread over the cluster's default parallelism first, and that shuffled
-    copy is kept for the fit's several passes (scaler summary, split
-    candidates, binned points) and released afterwards.
+    spread over the cluster's default parallelism first (``spread``), and
+    that shuffled copy is kept for the fit's several passes (scaler summary,
+    split candidates, binned points) and released afterwards.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_vec")
     scaler = StandardScaler(inputCol="features_vec", outputCol="features", withMean=False, withStd=True)
@@ -98,14 +99,15 @@ def train(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
     )
     pipeline = Pipeline(stages=[assembler, scaler, forest])
-    parallelism = train_df.sparkSession.sparkContext.defaultParallelism
-    if train_df.rdd.getNumPartitions() >= parallelism:
+    narrow = train_df.select(*features, label)
+    wide = spread(narrow)
+    if wide is narrow:
         return pipeline.fit(train_df)
-    spread = train_df.select(*features, label).repartition(parallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return pipeline.fit(spread)
+        return pipeline.fit(wide)
     finally:
-        spread.unpersist()
+        wide.unpersist()
 
 
 def evaluate(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -226,13 +228,22 @@ def gate(
     path = f"{registry}/models/{run_id}"
     challenger.write().overwrite().save(path)
     stored = PipelineModel.load(path)
-    ch = evaluate(stored.transform(test), label).first()
-    champ = current_champion(spark, registry)
-    champ_f1 = champ_acc = None
-    if champ is not None:
-        cm = PipelineModel.load(champ[1])
-        row = evaluate(cm.transform(test), label).first()
-        champ_f1, champ_acc = row["f1"], row["accuracy"]
+    # scoring 100 trees per row is CPU-bound: keep the test rows spread over
+    # the cluster for the (up to) two scoring passes
+    scored = spread(test)
+    if scored is not test:
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ch = evaluate(stored.transform(scored), label).first()
+        champ = current_champion(spark, registry)
+        champ_f1 = champ_acc = None
+        if champ is not None:
+            cm = PipelineModel.load(champ[1])
+            row = evaluate(cm.transform(scored), label).first()
+            champ_f1, champ_acc = row["f1"], row["accuracy"]
+    finally:
+        if scored is not test:
+            scored.unpersist()
     promote = champ is None or (ch["f1"] is not None and champ_f1 is not None and ch["f1"] > champ_f1)
     if promote:
         entry = [(run_id, path, ch["f1"], ch["accuracy"], dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]

@@ -1,0 +1,21 @@
+"""Parallelism guard for inputs that arrive in too few partitions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the default parallelism when it has fewer
+    partitions than that; otherwise return it unchanged.
+
+    A large table already arrives in thousands of splits, so this is a no-op
+    at scale. A small file that is a single parquet row group arrives as one
+    split and would leave CPU-heavy steps (row generation, tree scoring) to a
+    single task. Spark sorts before a round-robin repartition, so a retried
+    task sees the same rows.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alloy.operators import clean, model, rules as R, stats
+from alloy.operators.partitioning import spread
 from alloy.plans.audit import AuditLog
 from alloy.plans.report import as_document, to_report
 from alloy.sources.generate import LAB_METRIC_LABELS, LAB_RULES, LAB_SPEC, measurements_for
@@ -72,8 +73,12 @@ class RunConfig:
 
 
 def extract(spark: SparkSession, keys: DataFrame, key: str, paths: Paths, cfg: RunConfig, log: AuditLog) -> int:
-    """Generate bronze rows for every key of ``keys`` and write the layer."""
-    bronze = measurements_for(keys, key)
+    """Generate bronze rows for every key of ``keys`` and write the layer.
+
+    Generation is CPU-bound arithmetic; keys that arrive in fewer splits than
+    the cluster has cores are spread first (a no-op for a large key table).
+    """
+    bronze = measurements_for(spread(keys.select(key)), key)
     n = write_layer(bronze, paths.bronze, partitions=cfg.partitions)
     log.info("extract", f"bronze rows written: {n}")
     return n
