@@ -102,12 +102,15 @@ def compare_pivot(long: DataFrame) -> DataFrame:
     """Metrics as rows, classes as fixed columns: condition, metric, without, with.
 
     The pivot values are fixed, so an empty class gives a null cell rather
-    than a missing column. Input is the bounded output of ``compare``.
+    than a missing column. Input is the bounded output of ``compare`` (one
+    row per condition x class x metric), so the explicit ordering by
+    (condition, metric) sorts a handful of rows.
     """
-    return long.groupBy("condition", "metric").agg(
+    pivot = long.groupBy("condition", "metric").agg(
         F.max(F.when(F.col("flag") == 0, F.col("mean"))).alias("without"),
         F.max(F.when(F.col("flag") == 1, F.col("mean"))).alias("with"),
     )
+    return pivot.orderBy("condition", "metric")
 
 
 def prevalence(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
