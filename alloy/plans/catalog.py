@@ -30,7 +30,7 @@ from alloy.plans import medallion
 from alloy.plans.report import as_document, from_report, to_report
 from alloy.session import scratch_path
 from alloy.sources.generate import LAB_LABEL_STYLES, LAB_RULES, LAB_SPEC, measurement_sql, measurements_for
-from alloy.sources.layers import read_report, write_sink
+from alloy.sources.layers import read_report, write_layer, write_sink
 from alloy.sources.tables import (
     LINEITEM_LABEL_STYLES,
     LINEITEM_RULES,
@@ -294,6 +294,29 @@ def q_report_json(spark, sf_dir):
     return _r6(from_report(stored), "value")
 
 
+def q_report_section(spark, sf_dir):
+    from alloy.plans.report import report_section
+
+    return _r6(report_section(_report(spark, sf_dir), f"{LINEITEM_RULES[0].name}_Analysis"), "value")
+
+
+GOLD_READ = ("low_qty", "low_tax")
+
+
+def q_gold_partition_read(spark, sf_dir):
+    """Routed rows written once partitioned by condition, then two conditions
+    read back: the filter becomes a partition filter (no other folder is listed
+    or scanned)."""
+    path = scratch_path(spark, "gold")
+    li = _lineitem(spark, sf_dir).select(*KEY, *S_COLS)
+    write_layer(R.route_long(li, LINEITEM_RULES), path, partition_by=["condition"])
+    gold = spark.read.parquet(path).filter(F.col("condition").isin(*GOLD_READ))
+    out = gold.groupBy("condition").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty"), F.max("l_orderkey").alias("max_orderkey")
+    )
+    return out
+
+
 def as_document_schema() -> StructType:
     from alloy.plans.report import REPORT_TYPE
 
@@ -674,6 +697,23 @@ def sql_report_json():
     return _union([analysis, counts])
 
 
+def sql_report_section():
+    r = LINEITEM_RULES[0]
+    return (
+        "SELECT flag::VARCHAR AS key, metric AS field, round(mean, 6) AS value "
+        f"FROM ({_compare_long_sql(False)}) c WHERE condition = '{r.name}'"
+    )
+
+
+def sql_gold_partition_read():
+    rules = [r for r in LINEITEM_RULES if r.name in GOLD_READ]
+    return _union(
+        f"SELECT '{r.name}' AS condition, count(*)::BIGINT AS n, sum(l_quantity) AS sum_qty, "
+        f"max(l_orderkey) AS max_orderkey FROM lineitem WHERE {_hit_sql(r)} HAVING count(*) > 0"
+        for r in rules
+    )
+
+
 def _lab_silver_sql() -> str:
     return f"SELECT DISTINCT * FROM ({_bronze_sql()}) b"
 
@@ -740,6 +780,8 @@ QUERIES: dict[str, Query] = {
     "evaluator_f1": q_evaluator_f1,
     "report_json": q_report_json,
     "report_document": q_report_document,
+    "report_section": q_report_section,
+    "gold_partition_read": q_gold_partition_read,
     "rf_gate": q_rf_gate,
     "audit_log": q_audit_log,
     "refresh_metrics": q_refresh_metrics,
@@ -776,6 +818,8 @@ ORACLE: dict[str, Callable[[], str]] = {
     "confusion_f1": sql_confusion_f1,
     "evaluator_f1": sql_evaluator_f1,
     "report_json": sql_report_json,
+    "report_section": sql_report_section,
+    "gold_partition_read": sql_gold_partition_read,
     "audit_log": sql_audit_log,
     "refresh_metrics": sql_refresh_metrics,
     "medallion_run": sql_medallion_run,
