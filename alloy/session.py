@@ -9,21 +9,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-# JVM option recommended for every driver and executor running these plans.
-JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+# Whole-stage codegen emits one Java method per stage. HotSpot does not JIT
+# methods above 8000 bytes of bytecode, so a wide stage (the keyed generator
+# with a pushed-down completeness filter) would run interpreted, ~5x slower.
+# At this limit Spark falls back to per-operator codegen for such a stage,
+# whose methods are split small enough to compile.
+HUGE_METHOD_LIMIT = "8000"
 
 
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,
     app: str = "alloy",
-    jit_huge_methods: bool = False,
 ) -> SparkSession:
-    """A local session for tests and the bench (UI off, AQE on, UTC).
-
-    ``jit_huge_methods`` adds ``JIT_OPTIONS``: worth it for long-running jobs
-    (the compile cost is amortised), a net loss for short queries.
-    """
+    """A local session for tests and the bench (UI off, AQE on, UTC)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -36,14 +35,8 @@ def local_session(
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("ALLOY_DRIVER_MEMORY", "8g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD_LIMIT)
     )
-    if jit_huge_methods:
-        # Whole-stage codegen emits one method per stage; a wide projection
-        # (the keyed generator with a pushed-down completeness filter) exceeds
-        # the JVM's 8000-bytecode JIT limit and otherwise runs interpreted.
-        builder = builder.config("spark.driver.extraJavaOptions", JIT_OPTIONS).config(
-            "spark.executor.extraJavaOptions", JIT_OPTIONS
-        )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -82,7 +75,8 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 512 << 20) -> d
       after map-side dedup or the one-row statistics aggregate).
     * Concurrent output writers let the routed gold write (``partitionBy``
       on a handful of conditions) skip the per-task sort.
-    * Huge generated methods are JIT-compiled on long-running executors.
+    * Stages whose generated method would be too large to JIT fall back to
+      per-operator codegen (``HUGE_METHOD_LIMIT``).
     ``spark.checkpoint.dir`` is expected to be set by the cluster (shared
     storage) and is deliberately not set here.
     """
@@ -96,6 +90,5 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 512 << 20) -> d
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.maxConcurrentOutputFileWriters": "8",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.executor.extraJavaOptions": JIT_OPTIONS,
-        "spark.driver.extraJavaOptions": JIT_OPTIONS,
+        "spark.sql.codegen.hugeMethodLimit": HUGE_METHOD_LIMIT,
     }
