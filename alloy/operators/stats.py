@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from alloy.operators.rules import Rule, flag_column
@@ -87,6 +87,29 @@ def compare(df: DataFrame, rules: Sequence[Rule], spec: Mapping[str, Sequence[st
     return compare_finish(wide, rules, spec)
 
 
+def observe_compare(
+    df: DataFrame, rules: Sequence[Rule], spec: Mapping[str, Sequence[str]], name: str = "statistics"
+):
+    """Attach the ``compare`` aggregates to whatever action runs next on ``df``.
+
+    Returns ``(observed_df, result)``; after an action on ``observed_df``
+    (typically a write that has to scan the table anyway) ``result(spark)``
+    gives the same frame as ``compare(df, ...)`` without a second scan. The
+    merged metrics are one bounded row. Use it on a shuffle-free action: each
+    task's metrics are then merged exactly once, even under retries.
+    """
+    aggs = compare_aggregates(df, rules, spec)
+    schema = df.agg(*aggs).schema  # analysis only, nothing runs
+    obs = Observation(name)
+
+    def result(spark) -> DataFrame:
+        row = obs.get
+        wide = spark.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)
+        return compare_finish(wide, rules, spec)
+
+    return df.observe(obs, *aggs), result
+
+
 def compare_grouped(df: DataFrame, rule: Rule, metrics: Sequence[str]) -> DataFrame:
     """The per-condition form: ``groupBy(flag).agg(avg(metric)...)`` for one rule.
 

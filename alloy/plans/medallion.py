@@ -112,10 +112,17 @@ def train_and_gate(spark: SparkSession, paths: Paths, cfg: RunConfig, log: Audit
 
 
 def load(spark: SparkSession, paths: Paths, cfg: RunConfig, log: AuditLog) -> dict[str, int]:
-    """Append silver rows to the row sink (keyed by run) and overwrite the report."""
+    """Append silver rows to the row sink (keyed by run) and overwrite the report.
+
+    One pass over silver serves both: the statistics are observed during the
+    append instead of being computed by a second scan.
+    """
     silver = read_layer(spark, paths.silver, SILVER_SCHEMA)
-    write_sink(silver, cfg.sink_format, paths.rows_sink, cfg.sink_options, run_id=cfg.run_id)
-    long = stats.compare(silver, cfg.rules, cfg.spec)
+    # the append scans every silver row anyway: the statistics ride along on
+    # that scan (shuffle-free, so each task's metrics merge exactly once)
+    observed, statistics = stats.observe_compare(silver, cfg.rules, cfg.spec)
+    write_sink(observed, cfg.sink_format, paths.rows_sink, cfg.sink_options, run_id=cfg.run_id)
+    long = statistics(spark)
     counts = stats.prevalence_from(long)
     report = as_document(to_report(long, counts, cfg.rules, cfg.metric_labels))
     write_sink(report, "json", paths.report_sink, mode="overwrite")

@@ -133,3 +133,35 @@ def test_report_metric_labels_round_trip(spark):
     back, _ = report_long(from_report(rep), LAB_RULES, LAB_METRIC_LABELS)
     got = {(r["condition"], r["flag"], r["metric"]) for r in back.collect()}
     assert got == {(r["condition"], r["flag"], r["metric"]) for r in long.collect()}
+
+
+def test_observed_statistics_equal_compare(spark, tmp_dir):
+    df = measurements(spark, 3000, partitions=4)
+    observed, result = S.observe_compare(df, LAB_RULES, LAB_SPEC)
+    observed.write.mode("overwrite").parquet(f"{tmp_dir}/obs")
+    got = {(r["condition"], r["flag"], r["metric"]): (r["n"], r["mean"]) for r in result(spark).collect()}
+    exp = {(r["condition"], r["flag"], r["metric"]): (r["n"], r["mean"]) for r in S.compare(df, LAB_RULES, LAB_SPEC).collect()}
+    assert got.keys() == exp.keys()
+    for k in exp:
+        assert got[k][0] == exp[k][0]
+        assert (got[k][1] is None and exp[k][1] is None) or math.isclose(got[k][1], exp[k][1], rel_tol=1e-12)
+
+
+def test_medallion_report_matches_silver_statistics(spark, tmp_dir):
+    from alloy.plans.report import REPORT_TYPE
+    from alloy.sources.generate import LAB_METRIC_LABELS
+    from alloy.sources.layers import SILVER_SCHEMA
+    from pyspark.sql.types import StructField, StructType
+
+    keys = read_table(spark, SF_SMALL, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
+    paths = medallion.Paths(f"{tmp_dir}/chain")
+    medallion.run(spark, keys, "k", paths, medallion.RunConfig(run_id="d1"), stages=("extract", "transform", "load"))
+    stored = read_report(spark, "json", paths.report_sink, schema=StructType([StructField("report", REPORT_TYPE)]))
+    back, counts = report_long(from_report(stored), LAB_RULES, LAB_METRIC_LABELS)
+    silver = read_layer(spark, paths.silver, SILVER_SCHEMA)
+    exp = {(r["condition"], r["flag"], r["metric"]): r["mean"] for r in S.compare(silver, LAB_RULES, LAB_SPEC).collect()}
+    got = {(r["condition"], r["flag"], r["metric"]): r["mean"] for r in back.collect()}
+    assert got.keys() == exp.keys() and all(math.isclose(got[k], exp[k], rel_tol=1e-12) for k in exp)
+    assert {r["condition"]: r["n"] for r in counts.collect()} == {
+        r["condition"]: r["n"] for r in S.prevalence(silver, LAB_RULES).collect()
+    }
