@@ -40,11 +40,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = bool(os.environ.get("ORACLE_EXACT"))
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     return v
 
 
