@@ -165,3 +165,12 @@ def test_medallion_report_matches_silver_statistics(spark, tmp_dir):
     assert {r["condition"]: r["n"] for r in counts.collect()} == {
         r["condition"]: r["n"] for r in S.prevalence(silver, LAB_RULES).collect()
     }
+
+
+def test_command_line_runs_stages(spark, tmp_dir):
+    from alloy.__main__ import main
+
+    out = main(["--root", f"{tmp_dir}/cli", "--rows", "3000", "--stages", "extract,transform,model,load",
+                "--trees", "3", "--depth", "3", "--run-id", "cli-1"], spark=spark)
+    assert out["extract"] == 3000 and out["transform"]["silver"] == 3000
+    assert out["model"]["promoted"] is True and out["load"]["report_sections"] == 6
