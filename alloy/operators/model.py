@@ -110,16 +110,20 @@ def train(
         wide.unpersist()
 
 
-def evaluate(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def evaluate(
+    pred: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None
+) -> DataFrame:
     """One row: f1 (support-weighted), accuracy, n.
 
     The confusion matrix is aggregated first (partial aggregation per task,
     at most classes^2 rows after), then per-class precision / recall are
-    folded. A class never predicted scores precision 0, as in MLlib.
+    folded. A class never predicted scores precision 0, as in MLlib. With
+    ``weight`` each input row counts that many times (a pre-counted cube).
     """
     y = F.col(label).cast("double")
     p = F.col(prediction).cast("double")
-    conf = pred.groupBy(y.alias("y"), p.alias("p")).agg(F.count(F.lit(1)).alias("cnt"))
+    cnt = F.sum(F.col(weight)).cast("bigint") if weight else F.count(F.lit(1))
+    conf = pred.groupBy(y.alias("y"), p.alias("p")).agg(cnt.alias("cnt"))
     hit = F.when(F.col("y") == F.col("p"), F.col("cnt")).otherwise(F.lit(0))
     contrib = conf.select(
         F.inline(
@@ -146,6 +150,27 @@ def evaluate(pred: DataFrame, label: str = "label", prediction: str = "predictio
     )
 
 
+def evaluate_pair(pred: DataFrame, label: str, first: str, second: str) -> tuple:
+    """Scores of two prediction columns from ONE pass over ``pred``.
+
+    The rows are counted per (label, first, second) -- at most classes^3
+    cells, so the cube is brought to the driver -- and each column's
+    confusion matrix is folded from it. Returns two rows (f1, accuracy, n).
+    """
+    cube = pred.groupBy(
+        F.col(label).cast("double").alias("y"),
+        F.col(first).cast("double").alias("p1"),
+        F.col(second).cast("double").alias("p2"),
+    ).agg(F.count(F.lit(1)).alias("w"))
+    cells = cube.collect()
+    spark = pred.sparkSession
+    small = spark.createDataFrame(cells, cube.schema)
+    return (
+        evaluate(small, "y", "p1", weight="w").first(),
+        evaluate(small, "y", "p2", weight="w").first(),
+    )
+
+
 def evaluate_mllib(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> tuple[float, float]:
     """The same two scores through MLlib's evaluator (two scalar actions)."""
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -229,18 +254,24 @@ def gate(
     challenger.write().overwrite().save(path)
     stored = PipelineModel.load(path)
     # scoring 100 trees per row is CPU-bound: keep the test rows spread over
-    # the cluster for the (up to) two scoring passes
+    # the cluster (a no-op when the test set is already in many splits)
     scored = spread(test)
     if scored is not test:
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ch = evaluate(stored.transform(scored), label).first()
+        # score the challenger, keep only its prediction, then let the champion
+        # score the same rows: both are evaluated from a single pass
+        out = stored.transform(scored)
+        extra = [c for c in out.columns if c not in scored.columns and c != "prediction"]
+        frame = out.drop(*extra).withColumnRenamed("prediction", "_challenger")
         champ = current_champion(spark, registry)
         champ_f1 = champ_acc = None
-        if champ is not None:
-            cm = PipelineModel.load(champ[1])
-            row = evaluate(cm.transform(scored), label).first()
-            champ_f1, champ_acc = row["f1"], row["accuracy"]
+        if champ is None:
+            ch = evaluate(frame, label, "_challenger").first()
+        else:
+            frame = PipelineModel.load(champ[1]).transform(frame).withColumnRenamed("prediction", "_champion")
+            ch, cp = evaluate_pair(frame, label, "_challenger", "_champion")
+            champ_f1, champ_acc = cp["f1"], cp["accuracy"]
     finally:
         if scored is not test:
             scored.unpersist()

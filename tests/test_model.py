@@ -73,3 +73,17 @@ def test_gate_raises_on_corrupt_champion(spark, frame, tmp_dir):
     bogus.write.mode("append").parquet(f"{reg}/promotions")
     with pytest.raises(Exception):
         M.gate(spark, model, reg, test, "second")
+
+
+def test_evaluate_pair_matches_separate_evaluations(frame):
+    pred = frame.withColumns(
+        {
+            "p1": F.when(F.col("vitality") >= 58, 1.0).otherwise(0.0),
+            "p2": F.when(F.col("ph") >= 7.5, 1.0).otherwise(0.0),
+        }
+    )
+    a, b = M.evaluate_pair(pred, "label", "p1", "p2")
+    ea, eb = M.evaluate(pred, "label", "p1").first(), M.evaluate(pred, "label", "p2").first()
+    for got, exp in ((a, ea), (b, eb)):
+        assert got["n"] == exp["n"]
+        assert math.isclose(got["f1"], exp["f1"], rel_tol=1e-12) and math.isclose(got["accuracy"], exp["accuracy"], rel_tol=1e-12)
