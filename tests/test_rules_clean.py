@@ -2,7 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from alloy.operators import clean as C
