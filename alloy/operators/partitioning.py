@@ -14,7 +14,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     split and would leave CPU-heavy steps (row generation, tree scoring) to a
     single task. Spark sorts before a round-robin repartition, so a retried
     task sees the same rows.
+
+    Meant for frames read straight from files (scan, filter, projection):
+    counting their partitions plans the scan without running anything. On a
+    frame with a shuffle upstream, adaptive execution would run that shuffle
+    to answer, so such frames are passed through unchanged.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
