@@ -37,6 +37,15 @@ class AuditLog:
         self.options = dict(options or {})
         self._rows: list[tuple] = []
 
+    def ensure(self) -> None:
+        """Create the log table if it is absent (append of an empty frame
+        with the non-null schema; through JDBC this creates NOT NULL columns)."""
+        if self.path is None and not self.options:
+            return
+        empty = self.spark.createDataFrame([], AUDIT_SCHEMA).coalesce(1)
+        writer = empty.write.format(self.fmt).options(**self.options).mode("append")
+        writer.save(self.path) if self.path is not None else writer.save()
+
     def add(self, level: str, source: str, message: str) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         self._rows.append((now, str(level), str(source), str(message)))

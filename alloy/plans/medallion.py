@@ -143,6 +143,7 @@ def run(
     also on failure, then re-raise the first error."""
     cfg = cfg or RunConfig()
     log = AuditLog(spark, paths.audit)
+    log.ensure()
     out: dict[str, object] = {}
     steps: dict[str, Callable[[], object]] = {
         "extract": lambda: extract(spark, keys, key, paths, cfg, log),

@@ -174,3 +174,16 @@ def test_command_line_runs_stages(spark, tmp_dir):
                 "--trees", "3", "--depth", "3", "--run-id", "cli-1"], spark=spark)
     assert out["extract"] == 3000 and out["transform"]["silver"] == 3000
     assert out["model"]["promoted"] is True and out["load"]["report_sections"] == 6
+
+
+def test_audit_table_created_before_any_event(spark, tmp_dir):
+    log = AuditLog(spark, f"{tmp_dir}/audit")
+    log.ensure()
+    df = log.read()
+    # parquet reads report every column as nullable; NOT NULL is checked when rows are written
+    assert df.count() == 0 and [(f.name, f.dataType.simpleString()) for f in df.schema] == [
+        ("ts", "timestamp"), ("level", "string"), ("source", "string"), ("message", "string")
+    ]
+    log.info("x", "hello")
+    log.ensure()
+    assert log.flush() == 1 and log.read().count() == 1
