@@ -61,6 +61,12 @@ def hash_bucket(keys: Sequence[str], buckets: int = 100) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
 
 
+def split_side(bucket: Column, train_pct: int = 70, buckets: int = 100) -> Column:
+    """``"train"`` / ``"test"`` label of a row from its key bucket (the same
+    cut as ``hash_split``), for one-scan summaries of both sides."""
+    return F.when(bucket < F.lit(train_pct * buckets // 100), F.lit("train")).otherwise(F.lit("test"))
+
+
 def hash_split(
     df: DataFrame,
     keys: Sequence[str] | None = None,
