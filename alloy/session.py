@@ -21,6 +21,7 @@ def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,
     app: str = "alloy",
+    extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on, UTC)."""
     builder = (
@@ -37,6 +38,8 @@ def local_session(
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD_LIMIT)
     )
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
