@@ -27,12 +27,13 @@ from alloy.operators import model as M
 from alloy.operators import rules as R
 from alloy.operators import stats as S
 from alloy.plans import medallion
-from alloy.plans.report import as_document, from_report, to_report
+from alloy.plans.report import REPORT_TYPE, as_document, from_report, to_report
 from alloy.session import scratch_path
 from alloy.sources.generate import LAB_LABEL_STYLES, LAB_RULES, LAB_SPEC, measurement_sql, measurements_for
 from alloy.sources.layers import read_report, write_layer, write_sink
 from alloy.sources.tables import (
     LINEITEM_LABEL_STYLES,
+    LINEITEM_METRICS,
     LINEITEM_RULES,
     LINEITEM_SPEC,
     read_table,
@@ -44,7 +45,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEY = ("l_orderkey", "l_linenumber")
 SAMPLE_KEY_SQL = "l_orderkey * 8 + l_linenumber"
 DEDUP_ORDER = ("l_shipdate",)
-S_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +191,7 @@ def q_label_flag_identity(spark, sf_dir):
 
 
 def q_route_conditions(spark, sf_dir):
-    return R.route_long(_lineitem(spark, sf_dir).select(*KEY, *S_COLS), LINEITEM_RULES).select(*KEY, "condition")
+    return R.route_long(_lineitem(spark, sf_dir).select(*KEY, *LINEITEM_METRICS), LINEITEM_RULES).select(*KEY, "condition")
 
 
 
@@ -305,7 +305,7 @@ def q_gold_partition_read(spark, sf_dir):
     read back: the filter becomes a partition filter (no other folder is listed
     or scanned)."""
     path = scratch_path(spark, "gold")
-    li = _lineitem(spark, sf_dir).select(*KEY, *S_COLS)
+    li = _lineitem(spark, sf_dir).select(*KEY, *LINEITEM_METRICS)
     write_layer(R.route_long(li, LINEITEM_RULES), path, partition_by=["condition"])
     gold = spark.read.parquet(path).filter(F.col("condition").isin(*GOLD_READ))
     out = gold.groupBy("condition").agg(
@@ -315,8 +315,6 @@ def q_gold_partition_read(spark, sf_dir):
 
 
 def as_document_schema() -> StructType:
-    from alloy.plans.report import REPORT_TYPE
-
     return StructType([StructField("report", REPORT_TYPE)])
 
 
