@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
@@ -23,6 +24,11 @@ AUDIT_SCHEMA = StructType(
 )
 
 
+def _missing(e: AnalysisException) -> bool:
+    cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
+    return (cond() if cond else None) == "PATH_NOT_FOUND"
+
+
 class AuditLog:
     def __init__(
         self,
@@ -42,6 +48,13 @@ class AuditLog:
         with the non-null schema; through JDBC this creates NOT NULL columns)."""
         if self.path is None and not self.options:
             return
+        if self.path is not None:
+            try:  # an existing table is left alone (a listing, no write)
+                self.spark.read.schema(AUDIT_SCHEMA).format(self.fmt).options(**self.options).load(self.path)
+                return
+            except AnalysisException as e:
+                if not _missing(e):
+                    raise
         empty = self.spark.createDataFrame([], AUDIT_SCHEMA).coalesce(1)
         writer = empty.write.format(self.fmt).options(**self.options).mode("append")
         writer.save(self.path) if self.path is not None else writer.save()

@@ -187,3 +187,14 @@ def test_audit_table_created_before_any_event(spark, tmp_dir):
     log.info("x", "hello")
     log.ensure()
     assert log.flush() == 1 and log.read().count() == 1
+
+
+def test_audit_ensure_does_not_rewrite_existing_table(spark, tmp_dir):
+    import os
+
+    path = f"{tmp_dir}/audit2"
+    log = AuditLog(spark, path)
+    log.ensure()
+    before = sorted(os.listdir(path))
+    log.ensure()
+    assert sorted(os.listdir(path)) == before
