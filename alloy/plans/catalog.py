@@ -314,6 +314,17 @@ def q_gold_partition_read(spark, sf_dir):
     return out
 
 
+def q_dashboard_bars(spark, sf_dir):
+    """Bar-chart frame rebuilt from the stored report, as the dashboard reads it."""
+    from alloy.plans.dashboard import dashboard
+
+    path = scratch_path(spark, "dashboard")
+    write_sink(as_document(_report(spark, sf_dir)), "json", path, mode="overwrite")
+    doc = read_report(spark, "json", path, schema=as_document_schema())
+    bars = dashboard(doc, LINEITEM_RULES, LINEITEM_LABEL_STYLES)["bars"]
+    return _r6(bars, "without", "with")
+
+
 def as_document_schema() -> StructType:
     return StructType([StructField("report", REPORT_TYPE)])
 
@@ -709,6 +720,14 @@ def sql_gold_partition_read():
     )
 
 
+def sql_dashboard_bars():
+    return sql_labels_display().replace(
+        "SELECT condition, metric, ",
+        'SELECT condition, metric, round(without, 6) AS without, round("with", 6) AS "with", ',
+        1,
+    )
+
+
 def _lab_silver_sql() -> str:
     return f"SELECT DISTINCT * FROM ({_bronze_sql()}) b"
 
@@ -777,6 +796,7 @@ QUERIES: dict[str, Query] = {
     "report_document": q_report_document,
     "report_section": q_report_section,
     "gold_partition_read": q_gold_partition_read,
+    "dashboard_bars": q_dashboard_bars,
     "rf_gate": q_rf_gate,
     "audit_log": q_audit_log,
     "refresh_metrics": q_refresh_metrics,
@@ -815,6 +835,7 @@ ORACLE: dict[str, Callable[[], str]] = {
     "report_json": sql_report_json,
     "report_section": sql_report_section,
     "gold_partition_read": sql_gold_partition_read,
+    "dashboard_bars": sql_dashboard_bars,
     "audit_log": sql_audit_log,
     "refresh_metrics": sql_refresh_metrics,
     "medallion_run": sql_medallion_run,

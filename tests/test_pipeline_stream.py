@@ -198,3 +198,19 @@ def test_audit_ensure_does_not_rewrite_existing_table(spark, tmp_dir):
     before = sorted(os.listdir(path))
     log.ensure()
     assert sorted(os.listdir(path)) == before
+
+
+def test_dashboard_frames_and_empty_section_guard(spark):
+    from alloy.plans.dashboard import dashboard, section_available
+    from alloy.sources.generate import LAB_LABEL_STYLES
+
+    df = measurements(spark, 2000)
+    long = S.compare(df, LAB_RULES, LAB_SPEC)
+    rep = to_report(long, S.prevalence_from(long), LAB_RULES)
+    frames = dashboard(rep, LAB_RULES, LAB_LABEL_STYLES)
+    assert abs(sum(r["pct"] for r in frames["pie"].collect()) - 100.0) <= 0.5
+    assert frames["bars"].count() == 11 and frames["axis"].count() == 5
+    flags = rep.select(
+        section_available(rep, "Oligospermia_Analysis").alias("a"), section_available(rep, "Missing_Analysis").alias("b")
+    ).first()
+    assert flags["a"] is True and flags["b"] is False
