@@ -74,12 +74,14 @@ LAB_DISPLAY_NAMES = {
 LAB_METRIC_LABELS = {c: f"Avg {name}" for c, name in LAB_DISPLAY_NAMES.items()}
 
 
-def with_display_names(df: DataFrame) -> DataFrame:
+def with_display_names(df: DataFrame, keep_key: bool = True) -> DataFrame:
     """Rename snake_case lab columns to their display names (for export);
-    flag columns take their rule labels."""
+    flag columns take their rule labels. ``keep_key=False`` also drops
+    ``sample_id``, which gives the original layout without a surrogate key."""
     names = dict(LAB_DISPLAY_NAMES)
     names.update({r.name: r.display for r in LAB_RULES})
-    return df.withColumnsRenamed({c: n for c, n in names.items() if c in df.columns})
+    out = df.withColumnsRenamed({c: n for c, n in names.items() if c in df.columns})
+    return out if keep_key else out.drop("sample_id")
 
 
 # Per-column (multiplier, modulus) pairs of the keyed generator.

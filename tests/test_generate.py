@@ -108,3 +108,5 @@ def test_display_names(spark):
     df = with_display_names(R.flag(measurements(spark, 10), LAB_RULES))
     assert "Sperm concentration (x10⁶/mL)" in df.columns and "Oligospermia" in df.columns
     assert "sample_id" in df.columns
+    bare = with_display_names(measurements(spark, 10), keep_key=False)
+    assert len(bare.columns) == 12 and "sample_id" not in bare.columns and bare.columns[0] == "Ejaculate volume (mL)"
