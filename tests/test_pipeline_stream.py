@@ -214,3 +214,16 @@ def test_dashboard_frames_and_empty_section_guard(spark):
         section_available(rep, "Oligospermia_Analysis").alias("a"), section_available(rep, "Missing_Analysis").alias("b")
     ).first()
     assert flags["a"] is True and flags["b"] is False
+
+
+def test_command_line_with_keys_table(spark, tmp_dir):
+    from alloy.__main__ import main
+
+    keys_path = f"{tmp_dir}/keys"
+    read_table(spark, SF_SMALL, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k")
+    ).write.parquet(keys_path)
+    out = main(["--root", f"{tmp_dir}/cli2", "--keys-table", keys_path, "--key", "k",
+                "--stages", "extract,transform"], spark=spark)
+    keys = spark.read.parquet(keys_path)
+    assert out["extract"] == keys.count() and out["transform"]["silver"] == keys.distinct().count()
