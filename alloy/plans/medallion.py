@@ -70,6 +70,9 @@ class RunConfig:
     seed: int = 42
     train_pct: int = 70
     metric_labels: Mapping[str, str] = field(default_factory=lambda: dict(LAB_METRIC_LABELS))
+    # "copy": gold rows written again, partitioned by condition (the original layout);
+    # "view": silver written sorted by its flags within each task, gold read from it
+    gold_mode: str = "copy"
 
 
 def extract(spark: SparkSession, keys: DataFrame, key: str, paths: Paths, cfg: RunConfig, log: AuditLog) -> int:
@@ -88,12 +91,22 @@ def transform(spark: SparkSession, paths: Paths, cfg: RunConfig, log: AuditLog)
     """bronze -> dedup -> drop incomplete -> flag -> silver; silver -> gold by condition.
 
     Gold is written in one pass partitioned by ``condition`` from the
-    re-read silver layer (no cache, no per-condition jobs).
+    re-read silver layer (no cache, no per-condition jobs). With
+    ``gold_mode="view"`` no gold copy is written; ``gold()`` reads each
+    condition from silver, whose rows are sorted by flags within each file.
     """
+    if cfg.gold_mode not in ("copy", "view"):
+        raise ValueError(f"unknown gold_mode {cfg.gold_mode!r}")
     bronze = read_layer(spark, paths.bronze, BRONZE_SCHEMA)
     silver = R.flag(clean.drop_incomplete(clean.dedup(bronze)), cfg.rules)
+    if cfg.gold_mode == "view":
+        # rows of equal flags share row groups, whose min/max statistics let a
+        # flag filter skip the rest: gold needs no second copy
+        silver = silver.sortWithinPartitions(*[r.name for r in cfg.rules])
     n_silver = write_layer(silver, paths.silver, partitions=cfg.partitions)
     log.info("transform", f"silver rows written: {n_silver}")
+    if cfg.gold_mode == "view":
+        return {"silver": n_silver, "gold": 0}
     gold = R.route_long(read_layer(spark, paths.silver, SILVER_SCHEMA), cfg.rules)
     n_gold = write_layer(gold, paths.gold, partition_by=["condition"])
     log.info("transform", f"gold rows written: {n_gold}")
@@ -162,6 +175,16 @@ def run(
     return out
 
 
+def gold(spark: SparkSession, paths: Paths, rule: R.Rule, cfg: RunConfig | None = None) -> DataFrame:
+    """The gold rows of one condition with the silver columns, in either layout:
+    a partition-pruned read of the gold copy, or a flag-filtered read of silver."""
+    cfg = cfg or RunConfig()
+    if cfg.gold_mode == "view":
+        return read_layer(spark, paths.silver, SILVER_SCHEMA).filter(F.col(rule.name) == 1)
+    routed = spark.read.parquet(paths.gold).filter(F.col("condition") == rule.name)
+    return routed.select(*[f.name for f in SILVER_SCHEMA.fields])
+
+
 def layer_counts(spark: SparkSession, paths: Paths, rules: Sequence[R.Rule]) -> DataFrame:
     """(layer, n) for bronze, silver and every gold condition, read back from storage."""
     def count_of(path: str, name: str) -> DataFrame:

@@ -227,3 +227,18 @@ def test_command_line_with_keys_table(spark, tmp_dir):
                 "--stages", "extract,transform"], spark=spark)
     keys = spark.read.parquet(keys_path)
     assert out["extract"] == keys.count() and out["transform"]["silver"] == keys.distinct().count()
+
+
+def test_gold_view_equals_gold_copy(spark, tmp_dir):
+    keys = read_table(spark, SF_SMALL, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
+    copy_paths, view_paths = medallion.Paths(f"{tmp_dir}/copy"), medallion.Paths(f"{tmp_dir}/view")
+    copy_cfg, view_cfg = medallion.RunConfig(), medallion.RunConfig(gold_mode="view")
+    medallion.run(spark, keys, "k", copy_paths, copy_cfg, stages=("extract", "transform"))
+    out = medallion.run(spark, keys, "k", view_paths, view_cfg, stages=("extract", "transform"))
+    assert out["transform"]["gold"] == 0
+    for rule in LAB_RULES:
+        a = sorted(medallion.gold(spark, copy_paths, rule, copy_cfg).collect())
+        b = sorted(medallion.gold(spark, view_paths, rule, view_cfg).collect())
+        assert a == b and len(a) > 0
+    text = medallion.gold(spark, view_paths, LAB_RULES[0], view_cfg)._jdf.queryExecution().toString()
+    assert "EqualTo(oligospermia,1)" in text  # the flag filter reaches the parquet reader
