@@ -30,6 +30,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--trees", type=int, default=100)
     p.add_argument("--depth", type=int, default=6)
     p.add_argument("--sink-format", default="parquet")
+    p.add_argument("--gold-mode", choices=("copy", "view"), default="copy",
+                   help="copy: write gold partitioned by condition; view: read gold from flag-sorted silver")
     return p.parse_args(argv)
 
 
@@ -48,6 +50,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         trees=args.trees,
         depth=args.depth,
         sink_format=args.sink_format,
+        gold_mode=args.gold_mode,
     )
     stages = [s.strip() for s in args.stages.split(",") if s.strip()]
     unknown = set(stages) - set(medallion.STAGES)
