@@ -73,6 +73,8 @@ class RunConfig:
     # "copy": gold rows written again, partitioned by condition (the original layout);
     # "view": silver written sorted by its flags within each task, gold read from it
     gold_mode: str = "copy"
+    # sort order of the flags in view mode (rarest first skips the most); rule order when unset
+    view_order: Sequence[str] | None = None
 
 
 def extract(spark: SparkSession, keys: DataFrame, key: str, paths: Paths, cfg: RunConfig, log: AuditLog) -> int:
@@ -102,7 +104,7 @@ def transform(spark: SparkSession, paths: Paths, cfg: RunConfig, log: AuditLog)
     if cfg.gold_mode == "view":
         # rows of equal flags share row groups, whose min/max statistics let a
         # flag filter skip the rest: gold needs no second copy
-        silver = silver.sortWithinPartitions(*[r.name for r in cfg.rules])
+        silver = silver.sortWithinPartitions(*(cfg.view_order or [r.name for r in cfg.rules]))
     n_silver = write_layer(silver, paths.silver, partitions=cfg.partitions)
     log.info("transform", f"silver rows written: {n_silver}")
     if cfg.gold_mode == "view":
