@@ -53,6 +53,17 @@ def compare_aggregates(
     return aggs
 
 
+def compare_aggregate_names(rules: Sequence[Rule], spec: Mapping[str, Sequence[str]]) -> list[str]:
+    """Column names of ``compare_aggregates``, in the same order; all are additive."""
+    names: list[str] = []
+    for i, r in enumerate(rules):
+        for v in CLASSES:
+            names.append(_n_name(i, v))
+            for j, _ in enumerate(spec[r.name]):
+                names += [_sum_name(i, v, j), _cnt_name(i, v, j)]
+    return names
+
+
 def compare_finish(
     wide: DataFrame, rules: Sequence[Rule], spec: Mapping[str, Sequence[str]]
 ) -> DataFrame:

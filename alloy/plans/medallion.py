@@ -8,6 +8,7 @@ failing stage is logged and re-raised, so a scheduler's retry sees it.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -136,7 +137,8 @@ def load(spark: SparkSession, paths: Paths, cfg: RunConfig, log: AuditLog) -> di
     # the append scans every silver row anyway: the statistics ride along on
     # that scan (shuffle-free, so each task's metrics merge exactly once)
     observed, statistics = stats.observe_compare(silver, cfg.rules, cfg.spec)
-    write_sink(observed, cfg.sink_format, paths.rows_sink, cfg.sink_options, run_id=cfg.run_id)
+    attempt = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
+    write_sink(observed, cfg.sink_format, paths.rows_sink, cfg.sink_options, run_id=cfg.run_id, attempt=attempt)
     long = statistics(spark)
     counts = stats.prevalence_from(long)
     report = as_document(to_report(long, counts, cfg.rules, cfg.metric_labels))

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from alloy.operators.rules import Rule
-from alloy.operators.stats import compare_aggregates, compare_finish
+from alloy.operators.stats import compare_aggregate_names, compare_aggregates, compare_finish
 
 
 def refresh(
@@ -65,6 +65,60 @@ def refresh(
     return writer.start()
 
 
+def refresh_runs(
+    spark: SparkSession,
+    src: str,
+    schema: StructType,
+    rules: Sequence[Rule],
+    spec: Mapping[str, Sequence[str]],
+    dst: str,
+    checkpoint: str,
+    max_files_per_trigger: int | None = None,
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Statistics over a run-keyed sink (``write_sink(..., run_id, attempt)``)
+    that stay exact when a run is re-written.
+
+    The state holds the mergeable sums per (run_id, attempt): one row per
+    write of a run, so it grows with the number of runs, not rows. Each
+    publication keeps the latest attempt of every run and adds the runs up,
+    so a re-run replaces its earlier contribution instead of adding to it.
+    ``schema`` must include the ``attempt`` and ``run_id`` columns.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.parquet(src)
+    names = compare_aggregate_names(rules, spec)
+    state = stream.groupBy("run_id", "attempt").agg(*compare_aggregates(stream, rules, spec))
+
+    def publish(batch: DataFrame, epoch_id: int) -> None:
+        # bounded: one row per (run, attempt)
+        newest = batch.groupBy("run_id").agg(F.max("attempt").alias("attempt"))
+        current = batch.join(newest, ["run_id", "attempt"])
+        total = current.agg(*[F.sum(c).alias(c) for c in names])
+        out = compare_finish(total, rules, spec).withColumn("epoch", F.lit(epoch_id).cast("bigint"))
+        (
+            out.coalesce(1)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("epoch")
+            .parquet(dst)
+        )
+
+    writer = (
+        state.writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(publish)
+    )
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    elif available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def latest(spark: SparkSession, dst: str) -> DataFrame:
     """The statistics of the most recent epoch (condition, flag, metric, n, mean)."""
     df = spark.read.parquet(dst)
