@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -103,14 +103,15 @@ def write_sink(
     path: str | None = None,
     options: Mapping[str, str] | None = None,
     mode: str = "append",
-    run_id: str | None = None,
+    run_id: str | Column | None = None,
     attempt: str | None = None,
 ) -> None:
     """Write to any Spark data source (parquet, json, jdbc, a document store ...).
 
     With ``run_id`` the rows are tagged and written into a ``run_id``
     partition with dynamic partition overwrite, so re-running the same run
-    replaces its own rows instead of appending them twice. ``attempt`` (an
+    replaces its own rows instead of appending them twice. ``run_id`` may be
+    a column, so one write can hold several runs. ``attempt`` (an
     increasing stamp, e.g. the UTC write time) is stored as a column so that
     a stream over the sink can tell a re-run from new data.
     """
@@ -118,7 +119,7 @@ def write_sink(
     if attempt is not None:
         writer_df = writer_df.withColumn("attempt", F.lit(attempt))
     if run_id is not None:
-        writer_df = writer_df.withColumn("run_id", F.lit(run_id))
+        writer_df = writer_df.withColumn("run_id", run_id if isinstance(run_id, Column) else F.lit(run_id))
     writer = writer_df.write.format(fmt).options(**dict(options or {}))
     if run_id is not None:
         writer = writer.partitionBy("run_id").option("partitionOverwriteMode", "dynamic")
