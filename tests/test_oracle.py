@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from alloy.plans import catalog
 from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
@@ -14,7 +15,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n not in SLOW])
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, SF_SMALL, name, con)
     if name in entry.oracle_sql():
@@ -30,5 +31,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_documented():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(catalog.QUERIES) - set(entry.oracle_sql())
     assert missing == {"rf_gate", "report_document"}
