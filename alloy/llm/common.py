@@ -8,11 +8,13 @@ batch or the longest document is.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from alloy.session import scratch_path
 
@@ -33,6 +35,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remainder(id_col: str, modulus: int) -> Column:
+    """crc32 of the id as text, modulo ``modulus``: the fixed split into learning and held-out rows."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 
@@ -62,13 +69,14 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def byte_slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Consecutive row slices of at most ``max_bytes`` of text (one row at least)."""
+def byte_slices(batch: pa.RecordBatch, column: str, max_bytes: int, max_rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Consecutive row slices of at most ``max_bytes`` of text and ``max_rows`` rows (one row at least)."""
     col = batch.column(batch.schema.get_field_index(column))
     _, off = text_bytes(col)
     row, n = 0, len(col)
     while row < n:
         end = max(row + 1, int(np.searchsorted(off, off[row] + max_bytes, side="right")) - 1)
+        end = min(end, row + max_rows)
         yield batch.slice(row, end - row)
         row = end
 
@@ -145,6 +153,25 @@ class WordHasher:
             return mix((run[e] - run[s]) * self.unpower[s] + (e - s).astype(np.uint64)), s
 
 
+def span_hashes(data: np.ndarray, bounds: np.ndarray, hasher: "WordHasher") -> np.ndarray:
+    """64-bit hash of each stretch ``data[bounds[i]:bounds[i + 1]]`` (bytes taken as they are)."""
+    out = np.empty(max(0, len(bounds) - 1), np.uint64)
+    i = 0
+    while i < len(out):
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + PIECE, side="right")) - 1)
+        piece = data[bounds[i] : bounds[j]]
+        if len(piece) > PIECE:  # one stretch longer than a piece
+            out[i] = int.from_bytes(hashlib.blake2b(piece.tobytes(), digest_size=8).digest(), "little")
+        else:
+            s, e = bounds[i:j] - bounds[i], bounds[i + 1 : j + 1] - bounds[i]
+            with np.errstate(over="ignore"):
+                run = np.zeros(len(piece) + 1, np.uint64)
+                np.cumsum(hasher.values[piece] * hasher.power[: len(piece)], out=run[1:])
+                out[i:j] = mix((run[e] - run[s]) * hasher.unpower[s] + (e - s).astype(np.uint64))
+        i = j
+    return out
+
+
 def windows(hashes: np.ndarray, rows: np.ndarray, width: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every ``width`` consecutive words of one row: (hash, index of first word)."""
     n = len(hashes) - width + 1
@@ -179,7 +206,3 @@ def shingle_sets(hashes: np.ndarray, rows: np.ndarray, n_rows: int, width: int)
         else:
             out.append(np.unique(grams[ends[i] : ends[i + 1]]))
     return out
-
-
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from alloy.llm.language import languages
 from alloy.llm.neardup import near_duplicates
+from alloy.llm.tokens import token_counts, tokenizer_path
+from alloy.llm.toxicity import toxicity
 from alloy.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +23,23 @@ def op4_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(_documents(spark, sf_dir), percent=85)
 
 
+def op5_token_counts(spark, sf_dir):
+    return token_counts(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op7_toxicity(spark, sf_dir):
+    return toxicity(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark, sf_dir):
+    return languages(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_token_counts": op5_token_counts,
+    "op7_toxicity": op7_toxicity,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLE: dict[str, str] = {}
