@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from alloy.llm.language import languages
+from alloy.llm.licenses import known_licenses, licenses_sql, scan_licenses
+from alloy.llm.lines import dedup_lines, lines_sql
 from alloy.llm.neardup import near_duplicates
+from alloy.llm.quality import quality
 from alloy.llm.tokens import token_counts, tokenizer_path
 from alloy.llm.toxicity import toxicity
 from alloy.sources.tables import read_table
@@ -19,6 +23,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op1_quality_rules(spark, sf_dir):
+    return quality(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(_documents(spark, sf_dir), percent=85)
 
@@ -27,6 +35,10 @@ def op5_token_counts(spark, sf_dir):
     return token_counts(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_license_scan(spark, sf_dir):
+    return scan_licenses(_documents(spark, sf_dir), known_licenses(spark))
+
+
 def op7_toxicity(spark, sf_dir):
     return toxicity(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
@@ -35,11 +47,25 @@ def op8_language_id(spark, sf_dir):
     return languages(_documents(spark, sf_dir))
 
 
+def op9_line_dedup(spark, sf_dir):
+    """Each document's text without boilerplate lines, and how many characters went."""
+    before = _documents(spark, sf_dir)
+    return dedup_lines(before.withColumn("before", F.length("text"))).select(
+        "doc_id", (F.col("before") - F.length("text")).alias("n_cut"), "text"
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_license_scan": op6_license_scan,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
+    "op9_line_dedup": op9_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_license_scan": licenses_sql(),
+    "op9_line_dedup": lines_sql(),
+}
