@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,11 +59,13 @@ def constants(n: int, seed: int) -> np.ndarray:
         return mix(steps) | np.uint64(1)
 
 
-def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; a null counts as an empty text."""
+def text_bytes(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a string column, in lower case if wanted; a null counts as an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
+    if lower:
+        column = pc.utf8_lower(column)
     _, offsets, data = column.buffers()
     off = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)

@@ -63,7 +63,7 @@ def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _texts_presence(texts: list[str]) -> np.ndarray:
-    return np.vstack([presence(*text_bytes(pa.array(texts[i : i + ROWS], pa.large_string()))) for i in range(0, len(texts), ROWS)])
+    return np.vstack([presence(*text_bytes(pa.array(texts[i : i + ROWS], pa.large_string()), lower=True)) for i in range(0, len(texts), ROWS)])
 
 
 def fit(texts: list[str], labels: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -92,7 +92,7 @@ def _scorer(names, weights, constant):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in byte_slices(whole, "text", 4 * PIECE, ROWS):
-                flags = presence(*text_bytes(batch.column(1))).astype(np.float32)
+                flags = presence(*text_bytes(batch.column(1), lower=True)).astype(np.float32)
                 size = np.maximum(np.sqrt(flags.sum(1)), 1)
                 out = (flags @ weights) / size[:, None] + constant
                 best = out.argmax(1) if len(names) else np.zeros(len(flags), np.int64)

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alloy.llm.decontaminate import contaminated
 from alloy.llm.language import languages
 from alloy.llm.licenses import known_licenses, licenses_sql, scan_licenses
 from alloy.llm.lines import dedup_lines, lines_sql
 from alloy.llm.neardup import near_duplicates
+from alloy.llm.pieces import encode_sampled, model_path, with_decoded_hash
 from alloy.llm.quality import quality
 from alloy.llm.tokens import token_counts, tokenizer_path
 from alloy.llm.toxicity import toxicity
@@ -27,6 +29,10 @@ def op1_quality_rules(spark, sf_dir):
     return quality(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op2_benchmark_decontamination(spark, sf_dir):
+    return contaminated(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(_documents(spark, sf_dir), percent=85)
 
@@ -55,14 +61,22 @@ def op9_line_dedup(spark, sf_dir):
     )
 
 
+def op10_sentencepiece(spark, sf_dir):
+    """Every document's sampled ids, with the hash of the text that they decode to."""
+    documents, path = _documents(spark, sf_dir), model_path("piece_bpe_32k.model")
+    return with_decoded_hash(encode_sampled(documents, path), path)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_license_scan": op6_license_scan,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {

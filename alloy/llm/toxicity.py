@@ -201,7 +201,7 @@ def _sums(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 def _text_grams(text: str):
     """(slot, word, share) of a text's n-grams and its number of words with n-grams."""
-    data, offsets = text_bytes(pa.array([text], pa.large_string()))
+    data, offsets = text_bytes(pa.array([text], pa.large_string()), lower=True)
     slots, words, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     for letters, _ in _pieces(data, offsets):
         starts, sizes = word_grams(letters)
@@ -247,7 +247,7 @@ def _scorer(model: Trained):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in byte_slices(whole, "text", PIECE):
-                score = model.scores(*text_bytes(batch.column(1)))
+                score = model.scores(*text_bytes(batch.column(1), lower=True))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc", "score"])
 
     return run
