@@ -62,6 +62,9 @@ class Vocabulary:
                 normal[piece] = i
         if (self.byte_id < 0).any():
             raise ValueError("a model with byte fallback is needed for lossless encoding")
+        self.raw_size = np.array([len(r) for r in self.raw], np.int64)
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
         scores = np.array([model.get_score(i) for i in range(model.vocab_size())])
         own = np.array(list(normal.values()))
         if (scores[own] == np.round(scores[own])).all():  # merge ranks of a BPE model: weigh them by Zipf's law
@@ -254,9 +257,13 @@ def _part_names(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return mix((run[bounds[1:]] - run[bounds[:-1]]) * unpower[bounds[:-1]] + size.astype(np.uint64))
 
 
-def decode_ids(v: Vocabulary, ids) -> str:
-    """The text that a list of ids stands for."""
-    return b"".join([v.raw[i] for i in ids]).decode("utf-8", "surrogatepass")[1:]
+def decode_batch(v: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The UTF-8 texts that stretches of ids stand for."""
+    size = v.raw_size[ids]
+    ends = np.cumsum(size)
+    data = v.raw_bytes[np.repeat(v.raw_start[ids] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+    at = np.r_[0, ends][offsets]
+    return [data[s + 1 : e] if e > s else b"" for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 def _encoder(path: str, sharpness: float, seed: int):
@@ -292,17 +299,35 @@ def encode_sampled(
     return rows.mapInArrow(_encoder(model, sharpness, seed), "doc long, ids array<int>").withColumnRenamed("doc", id_col)
 
 
+def _id_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Row slices of at most ``STRETCH`` ids (one row at least); a null list counts as an empty one."""
+    lists = batch.column(1)
+    if lists.null_count:
+        lists = pa.array([x or [] for x in lists.to_pylist()], pa.list_(pa.int32()))
+        batch = pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc", "ids"])
+    ends = lists.offsets.to_numpy()
+    row = 0
+    while row < len(lists):
+        end = max(row + 1, int(np.searchsorted(ends, ends[row] + STRETCH, side="right")) - 1)
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def _decoder(path: str, digest: bool):
     def run(batches):
         v = vocabulary(path, 1.0)
         for batch in batches:
-            texts = [decode_ids(v, ids) if ids is not None else "" for ids in batch.column(1).to_pylist()]
-            if digest:
-                names = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
-                sizes = pa.array([len(ids or ()) for ids in batch.column(1).to_pylist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, pa.array(names)], names=["doc", "ids", "n_pieces", "text_sha256"])
-            else:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc", "text"])
+            for part in _id_slices(batch):
+                lists = part.column(1)
+                offsets = lists.offsets.to_numpy()
+                ids = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+                texts = decode_batch(v, ids, offsets - offsets[0])
+                if digest:
+                    names = [hashlib.sha256(t).hexdigest() for t in texts]
+                    arrays = [part.column(0), lists, pa.array(np.diff(offsets).astype(np.int64)), pa.array(names, pa.string())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["doc", "ids", "n_pieces", "text_sha256"])
+                else:
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([t.decode() for t in texts], pa.string())], names=["doc", "text"])
 
     return run
 
