@@ -41,6 +41,39 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
 
 
+def row_name(id_col: str, text_col: str) -> Column:
+    """A hash of a row's id and text, never null."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
+
+
+BROADCAST_IDS = 1_000_000  # 8-byte ids: a few tens of MB
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """A table of ids, marked for broadcast if it is small enough; otherwise a join shuffles both sides."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def bit_table(names: DataFrame, column: str, bits: int) -> np.ndarray:
+    """One bit per hash slot that a long column's values fall in.
+
+    ``bits`` divides 2**64. The table's size does not depend on how many
+    values there are: at most ``bits / 32`` rows come to the driver.
+    """
+    slot = F.pmod(F.col(column), F.lit(bits))
+    words = names.select((slot / 32).cast("long").alias("word"), F.pmod(slot, F.lit(32)).cast("int").alias("bit"))
+    table = np.zeros(bits // 32, np.uint32)
+    for row in words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect():
+        table[row["word"]] = row["bits"]
+    return table.view(np.uint8)
+
+
+def in_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes fall in a slot whose bit is set (all that are in the table, and some others)."""
+    slot = hashes % np.uint64(8 * len(table))
+    return (table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, byte_slices, constants, cut, text_bytes, windows
+from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, constants, cut, in_table, text_bytes, windows
 
 TILE = 4
 COVERAGE = 0.6
@@ -131,8 +131,7 @@ def _hits(bits: np.ndarray, least: int):
         for whole in batches:
             for batch in byte_slices(whole, "text", PIECE):
                 _, _, seeds, owner = _seeds_of(batch.column(1), hasher)
-                slot = seeds % np.uint64(FILTER_BITS)
-                hit = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                hit = in_table(bits, seeds)
                 pairs = np.unique(np.stack([owner[hit], seeds[hit].view(np.int64)], 1), axis=0)
                 rows, first, count = np.unique(pairs[:, 0], return_index=True, return_counts=True)
                 keep = count >= least
@@ -195,7 +194,7 @@ def contaminated(
     if least is None:
         return _named(docs.sparkSession.createDataFrame([], _RESULT), id_col, item_id_col)
 
-    hits = cut(docs.mapInArrow(_hits(_filter_bits(seeds), max(1, least)), "doc long, text string, seeds array<long>"), "hits")
+    hits = cut(docs.mapInArrow(_hits(bit_table(seeds, "seed", FILTER_BITS), max(1, least)), "doc long, text string, seeds array<long>"), "hits")
     pairs = (
         hits.select("doc", F.explode("seeds").alias("seed")).distinct().join(seeds, "seed")
         .groupBy("doc", "item").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need")).where("n >= need")
@@ -209,14 +208,3 @@ def contaminated(
 
 def _named(found: DataFrame, id_col: str, item_id_col: str) -> DataFrame:
     return found.withColumnsRenamed({"doc": id_col, "item": item_id_col})
-
-
-def _filter_bits(seeds: DataFrame) -> np.ndarray:
-    """A bit per hash slot that a benchmark seed falls in; its size does not depend on the benchmark's."""
-    slot = F.pmod(F.col("seed"), F.lit(FILTER_BITS))  # FILTER_BITS divides 2**64: the same as unsigned
-    words = seeds.select((slot / 32).cast("long").alias("word"), F.pmod(slot, F.lit(32)).cast("int").alias("bit"))
-    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    bits = np.zeros(FILTER_BITS // 32, np.uint32)
-    for row in words.collect():  # at most FILTER_BITS / 32 rows
-        bits[row["word"]] = row["bits"]
-    return bits.view(np.uint8)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, byte_slices, remainder, text_bytes
+from alloy.llm.common import PIECE, byte_slices, remainder, row_name, text_bytes
 
 SLOTS = 1 << 16
 LONGEST = 4
@@ -99,10 +99,10 @@ def _scorer(names, weights, constant):
                 score = np.clip((out[np.arange(len(flags)), best] + 1) / 2, 0, 1) if len(names) else np.zeros(len(flags))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0), pa.array([names[b] if names else UNKNOWN for b in best], pa.string()),
+                        batch.column(0), batch.column(3), pa.array([names[b] if names else UNKNOWN for b in best], pa.string()),
                         pa.array(score.astype(np.float64)), batch.column(2),
                     ],
-                    names=["doc", "lang_pred", "score", "letters"],
+                    names=["doc", "row", "lang_pred", "score", "letters"],
                 )
 
     return run
@@ -133,7 +133,9 @@ def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> tu
 
 
 def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``(id, held_out, lang_pred, score)`` of every row, one output row per input row.
+    """``(id, held_out, row, lang_pred, score)`` of every row, one output row per input row.
+
+    ``row`` is a hash of id and text, by which rows can be found again.
 
     Learned from texts and non-null labels of rows whose crc32(id as text)
     mod 4 is not 2; those with 2 are held out. ``lang_pred`` is a learned
@@ -146,12 +148,13 @@ def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names, weights, constant = learn(documents, id_col, text_col, lang_col)
     rows = documents.select(
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"),
-        F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"),
+        F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"), row_name(id_col, text_col).alias("row"),
     )
-    scored = rows.mapInArrow(_scorer(names, weights, constant), "doc long, lang_pred string, score double, letters boolean")
+    scored = rows.mapInArrow(_scorer(names, weights, constant), "doc long, row long, lang_pred string, score double, letters boolean")
     return scored.select(
         F.col("doc").alias(id_col),
         F.coalesce(remainder("doc", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
+        "row",
         F.when(F.col("letters"), F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"),
     )

@@ -13,6 +13,7 @@ from alloy.llm.licenses import known_licenses, licenses_sql, scan_licenses
 from alloy.llm.lines import dedup_lines, lines_sql
 from alloy.llm.neardup import near_duplicates
 from alloy.llm.pieces import encode_sampled, model_path, with_decoded_hash
+from alloy.llm.pii import personal_data, span_digest
 from alloy.llm.quality import quality
 from alloy.llm.tokens import token_counts, tokenizer_path
 from alloy.llm.toxicity import toxicity
@@ -33,6 +34,10 @@ def op2_benchmark_decontamination(spark, sf_dir):
     return contaminated(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
+def op3_personal_data(spark, sf_dir):
+    return span_digest(personal_data(_documents(spark, sf_dir)))
+
+
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(_documents(spark, sf_dir), percent=85)
 
@@ -50,7 +55,7 @@ def op7_toxicity(spark, sf_dir):
 
 
 def op8_language_id(spark, sf_dir):
-    return languages(_documents(spark, sf_dir))
+    return languages(_documents(spark, sf_dir)).drop("row")
 
 
 def op9_line_dedup(spark, sf_dir):
@@ -70,6 +75,7 @@ def op10_sentencepiece(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_personal_data": op3_personal_data,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_license_scan": op6_license_scan,

@@ -1,10 +1,84 @@
-"""The corpus pipeline: language ID, line dedup, near-dedup, decontamination, sampled encoding."""
+"""The corpus pipeline: five stages over ``documents``, each on all that its predecessor kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
+as Parquet and read again as the next one's ``docs``. All stages but the last
+return the columns of ``documents``. Empty tables pass through as empty ones;
+extra columns stay where the columns of ``documents`` do.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from alloy.llm.common import cut, few, row_name
+from alloy.llm.decontaminate import contaminated
+from alloy.llm.language import UNKNOWN, languages
+from alloy.llm.lines import dedup_lines
+from alloy.llm.neardup import near_duplicates
+from alloy.llm.pieces import encode_sampled, model_path, with_decoded_hash
+from alloy.sources.tables import read_table
+
+MIN_LANGUAGE_SCORE = 0.25  # less than this is like no learned language at all
+NEAR_PERCENT = 80
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects rows without a letter (null and empty texts too) and rows that resemble no learned language."""
+    judged = languages(docs)
+    rejected = judged.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE))
+    rejected = cut(rejected.select(F.col("row").alias("rejected_row")).distinct(), "rejected")
+    return docs.join(few(rejected), row_name("doc_id", "text") == F.col("rejected_row"), "left_anti")
+
+
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes lines out that are on many pages of their source; ``n_chars`` follows the text."""
+    out = dedup_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near-duplicates.
+
+    Of rows that repeat an id one stays. Rows with a null id are kept.
+    """
+    removed = cut(near_duplicates(docs, percent=NEAR_PERCENT).where(~F.col("kept")).select("doc_id"), "removed")
+    kept = docs.join(few(removed), "doc_id", "left_anti").select(*docs.columns)
+    seen = docs.where("doc_id IS NOT NULL").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("d")).first()
+    if seen["n"] == seen["d"]:
+        return kept
+    return kept.where("doc_id IS NULL").union(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that give a benchmark item away. Rows with a null id are kept."""
+    found = contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    leaks = cut(found.select("doc_id").distinct(), "leaks")
+    return docs.join(few(leaks), "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``(doc_id, ids, n_pieces, text_sha256)``: sampled pieces, and a digest of the text they decode to."""
+    path = model_path("piece_bpe_32k.model")
+    return with_decoded_hash(encode_sampled(docs, path), path)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_boilerplate),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("sentencepiece", encode),
+]
+
+# language identification and sampled encoding have no SQL form: tests/llm holds run() against brute force
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = cut(docs, name)
+    return docs
