@@ -17,6 +17,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from alloy.session import HUGE_METHOD_LIMIT
+
 
 def parse(argv: list[str]) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="alloy")
@@ -24,22 +26,32 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--rows", type=int, default=2_000_000, help="generate ids 1..rows (ignored with --keys-table)")
     p.add_argument("--keys-table", help="parquet path whose key column seeds the bronze rows")
     p.add_argument("--key", default="sample_id", help="bigint key column of --keys-table")
-    p.add_argument("--run-id", default="run-0")
+    p.add_argument("--run-id", required=True, help="names the run: a repeated one replaces its own rows")
     p.add_argument("--stages", default="extract,transform,model,load")
     p.add_argument("--partitions", type=int, default=None, help="fixed file count per layer (default: follow upstream)")
     p.add_argument("--trees", type=int, default=100)
     p.add_argument("--depth", type=int, default=6)
+    p.add_argument("--dedup", choices=("rows", "measurements"), default="rows")
     p.add_argument("--sink-format", default="parquet")
+    for name in ("sink", "report", "audit"):
+        p.add_argument(f"--{name}-option", action="append", default=[], metavar="KEY=VALUE",
+                       help=f"option of the {name} sink; with any, the sink is named by its options alone")
+    p.add_argument("--report-format", default="json")
+    p.add_argument("--audit-format", default="parquet")
     p.add_argument("--gold-mode", choices=("copy", "view"), default="copy",
                    help="copy: write gold partitioned by condition; view: read gold from flag-sorted silver")
     return p.parse_args(argv)
 
 
+def options(pairs: list[str]) -> dict[str, str]:
+    return dict(p.split("=", 1) for p in pairs)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     from alloy.plans import medallion
 
     args = parse(sys.argv[1:] if argv is None else argv)
-    spark = spark or SparkSession.builder.appName("alloy").getOrCreate()
+    spark = spark or SparkSession.builder.appName("alloy").config("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD_LIMIT).getOrCreate()
     if args.keys_table:
         keys, key = spark.read.parquet(args.keys_table), args.key
     else:
@@ -49,7 +61,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         partitions=args.partitions,
         trees=args.trees,
         depth=args.depth,
+        dedup=args.dedup,
         sink_format=args.sink_format,
+        sink_options=options(args.sink_option),
+        sink_path="" if args.sink_option else None,
+        report_format=args.report_format,
+        report_options=options(args.report_option),
+        audit_format=args.audit_format,
+        audit_options=options(args.audit_option),
         gold_mode=args.gold_mode,
     )
     stages = [s.strip() for s in args.stages.split(",") if s.strip()]

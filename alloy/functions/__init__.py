@@ -5,8 +5,6 @@ from alloy.functions.columns import (
     share_of,
     product_of_complements,
     keyed_uniform,
-    int_label,
-    percent_label,
     dated_title,
 )
 
@@ -17,7 +15,5 @@ __all__ = [
     "share_of",
     "product_of_complements",
     "keyed_uniform",
-    "int_label",
-    "percent_label",
     "dated_title",
 ]

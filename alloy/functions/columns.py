@@ -67,17 +67,6 @@ def keyed_uniform(key: ColumnOrName, k: int, m: int) -> Column:
     return ((x * F.lit(MULTIPLIER)) % F.lit(PRIME)) % F.lit(m)
 
 
-def int_label(value: ColumnOrName) -> Column:
-    """Integer-truncated display label (``7.5`` shows as ``"7"``)."""
-    return _c(value).cast("bigint").cast("string")
-
-
-def percent_label(value: ColumnOrName) -> Column:
-    """One-decimal percent label such as ``"31.9%"``."""
-    v = _c(value)
-    return F.when(v.isNotNull(), F.format_string("%.1f%%", v))
-
-
 def dated_title(text: str, fmt: str = "dd-MM-yyyy") -> Column:
     """``"<text> dd-MM-yyyy"`` with today's date (constant within one query)."""
     return F.concat(F.lit(f"{text} "), F.date_format(F.current_date(), fmt))

@@ -1,15 +1,16 @@
 """Near-duplicate documents by a chosen-path similarity join.
 
 A document is the set of its five-word shingles. Each of several independent
-trees sends a document down paths: a tree node (named by its hash) picks
-``BRANCH`` of the document's min-hash coordinates, and each picked value leads
-to a child. Two sets of similarity ``s`` share a child with probability ``s``
-for each pick, so they stay together somewhere in a tree with a probability
-bounded by the fixed point of ``q = 1 - (1 - s q)**BRANCH``; the number of
-trees follows from that and the wanted recall. Nodes with few members are
-compared exhaustively; larger ones branch on, and nodes that are still large
-at the last level are compared with a centre, then whatever that left
-unconnected is compared with all members of its node, in blocks.
+trees sends a document down a path: a node picks a min-wise shingle of the
+set, and the picked value leads to a child. Two sets of similarity ``s`` take
+the same turn with probability ``s``. The upper levels pick once and separate
+what merely shares a passage; nodes that still have many members below them
+branch on with ``BRANCH`` picks each, where two sets stay together somewhere
+with a probability bounded by the fixed point of ``q = 1 - (1 - s q)**BRANCH``.
+The number of trees follows from both and the wanted recall. Nodes with few
+members are compared exhaustively; those that are still large at the last
+level are compared with a centre, then whatever that left unconnected is
+compared with all members of its node, in blocks.
 
 The comparison inside a node uses a sample of the shingle hashes (all of them
 for sets of up to ``SAMPLE`` shingles). It only nominates pairs; each nominated
@@ -29,30 +30,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, byte_slices, constants, cut, is_empty, mix, shingle_sets, text_bytes
+from alloy.llm.common import PIECE, WordHasher, byte_slices, constants, cut, few, is_empty, mix, shingle_sets, text_bytes
 from alloy.llm.components import connected_components
 
 WIDTH = 5
-COORDINATES = 48  # min-hash coordinates that nodes choose from
+COORDINATES = 48  # min-wise shingles that the lower levels pick from
 SAMPLE = 256  # a set's sample holds every 2**-level-th hash; up to this many expected
 BRANCH = 2
-FIRST_DEPTH = 3
-LAST_DEPTH = 6
-SMALL_NODE = 128
+UPPER = 0.32  # the upper levels end where a pair at the threshold is together with this probability
+LOWER_LEVELS = 2
+SMALL_NODE = 256  # members that one task compares with each other
+COLUMNS = 4096  # sample hashes multiplied at a time within a node
+REST_BLOCK = 64
 RECALL = 0.9999
 SLACK = 4.5  # standard deviations between the threshold and a pair that is dropped unseen
 
-_SKETCH = "doc long, n_shingles long, digest binary, coords binary, level int, sample binary"
+_SKETCH = "doc long, n_shingles long, digest binary, paths array<long>, coords binary, level int, sample binary"
 
 
-def trees_for(similarity: float, recall: float) -> int:
-    """Independent trees needed for a pair at ``similarity`` to meet with probability ``recall``."""
+def trees_for(similarity: float, recall: float) -> tuple[int, int]:
+    """(upper levels, independent trees): a pair at ``similarity`` meets with probability ``recall`` at least."""
+    depth = max(1, round(math.log(UPPER) / math.log(similarity)))
     q = 1.0
     for _ in range(200):
         q = 1 - (1 - similarity * q) ** BRANCH
-    if q <= 1e-9:
+    meet = similarity**depth * q
+    if meet <= 1e-9:
         raise ValueError("similarity too low for this branching")
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - q)))
+    return depth, max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
 
 
 def _sets_of(texts: pa.Array, hasher: WordHasher, width: int) -> list[np.ndarray]:
@@ -61,23 +66,24 @@ def _sets_of(texts: pa.Array, hasher: WordHasher, width: int) -> list[np.ndarray
     return shingle_sets(words, rows, len(texts), width)
 
 
-def _sketches(width: int):
+def _sketches(width: int, depth: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(lower=True)
-        factors = constants(COORDINATES, 101)
+        factors = constants(COORDINATES + depth * trees, 101)  # every turn of every tree has its own
         for whole in batches:
             for batch in byte_slices(whole, "text", PIECE):
                 ids = batch.column(0).to_pylist()
-                out: dict[str, list] = {k: [] for k in ("doc", "n", "digest", "coords", "level", "sample")}
+                out: dict[str, list] = {k: [] for k in ("doc", "n", "digest", "paths", "coords", "level", "sample")}
                 sets = _sets_of(batch.column(1), hasher, width)
                 filled = [s for s in sets if len(s)]
                 mins = _minima(filled, factors)
+                paths = _leaves(mins[:, COORDINATES:], depth, trees)
                 k = 0
                 for doc, s in zip(ids, sets):
                     out["doc"].append(doc)
                     out["n"].append(len(s))
                     if not len(s):
-                        for c in ("digest", "coords", "sample"):
+                        for c in ("digest", "paths", "coords", "sample"):
                             out[c].append(None)
                         out["level"].append(0)
                         continue
@@ -86,16 +92,18 @@ def _sketches(width: int):
                     if level:
                         low = low[low < np.uint32(1 << (32 - level))]
                     out["digest"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    out["coords"].append(mins[k].tobytes())
+                    out["paths"].append(paths[k].view(np.int64))
+                    out["coords"].append(mins[k, :COORDINATES].tobytes())
                     out["level"].append(level)
                     out["sample"].append(low.tobytes())
                     k += 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(out["doc"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["digest"], pa.binary()),
-                        pa.array(out["coords"], pa.binary()), pa.array(out["level"], pa.int32()), pa.array(out["sample"], pa.binary()),
+                        pa.array(out["paths"], pa.list_(pa.int64())), pa.array(out["coords"], pa.binary()),
+                        pa.array(out["level"], pa.int32()), pa.array(out["sample"], pa.binary()),
                     ],
-                    names=["doc", "n_shingles", "digest", "coords", "level", "sample"],
+                    names=["doc", "n_shingles", "digest", "paths", "coords", "level", "sample"],
                 )
 
     return run
@@ -113,6 +121,15 @@ def _minima(sets: list[np.ndarray], factors: np.ndarray) -> np.ndarray:
     return out
 
 
+def _leaves(turns: np.ndarray, depth: int, trees: int) -> np.ndarray:
+    """(rows, trees) names of the nodes at the end of the upper levels."""
+    out = np.tile(constants(trees, 307), (len(turns), 1))
+    with np.errstate(over="ignore"):
+        for j in range(depth):
+            out = mix(out ^ (turns[:, j * trees : (j + 1) * trees].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    return out
+
+
 def _children(nodes: np.ndarray, coords: np.ndarray, branch: int) -> np.ndarray:
     """(len(nodes), branch) names of the children that each row's node sends it to."""
     out = np.empty((len(nodes), branch), np.uint64)
@@ -129,25 +146,6 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
 
 
-def _first_paths(trees: int):
-    """(node, doc) at ``FIRST_DEPTH`` of every tree."""
-
-    def run(batches):
-        roots = constants(trees, 307)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            coords = _matrix(batch.column(1))
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
-            for root in roots:
-                nodes = np.full((len(docs), 1), root)
-                for _ in range(FIRST_DEPTH):
-                    nodes = np.hstack([_children(nodes[:, c], coords, BRANCH) for c in range(nodes.shape[1])])
-                yield _members(nodes, docs)
-
-    return run
-
-
 def _members(nodes: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(nodes.ravel().view(np.int64)), pa.array(np.repeat(docs, nodes.shape[1]))], names=["node", "doc"]
@@ -170,10 +168,16 @@ def _overlaps(samples: list[np.ndarray], levels: np.ndarray) -> tuple[np.ndarray
         bound = np.uint64(1 << (32 - int(level)))
         kept = [samples[i][samples[i] < bound] if levels[i] < level else samples[i] for i in use]
         sizes = np.array([len(k) for k in kept], np.float32)
-        _, inverse = np.unique(np.concatenate(kept), return_inverse=True)
-        present = np.zeros((len(use), int(inverse.max()) + 1 if len(inverse) else 1), np.float32)
-        present[np.repeat(np.arange(len(use)), sizes.astype(np.int64)), inverse] = 1
-        shared = present @ present.T
+        owner = np.repeat(np.arange(len(use)), sizes.astype(np.int64))
+        _, inverse, count = np.unique(np.concatenate(kept), return_inverse=True, return_counts=True)
+        inverse = (np.cumsum(count > 1) - 1)[inverse][count[inverse] > 1], owner[count[inverse] > 1]
+        shared = np.zeros((len(use), len(use)), np.float32)
+        for at in range(0, int((count > 1).sum()), COLUMNS):  # hashes of one member only share nothing
+            here = (inverse[0] >= at) & (inverse[0] < at + COLUMNS)
+            present = np.zeros((len(use), COLUMNS), np.float32)
+            present[inverse[1][here], inverse[0][here] - at] = 1
+            shared += present @ present.T
+        shared[np.diag_indices(len(use))] = sizes
         pick = np.maximum(levels[use][:, None], levels[use][None, :]) == level
         grid = np.ix_(use, use)
         both[grid] = np.where(pick, shared, both[grid])
@@ -293,7 +297,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> Dat
     """The nominated pairs that hold on full sets, written out."""
     pairs = cut(pairs.distinct(), "nominated")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("doc")).distinct()
-    texts = cut(docs.join(wanted, "doc", "left_semi"), "texts")
+    texts = cut(docs.join(few(wanted), "doc", "left_semi"), "texts")
     rows = pairs.join(texts.select(F.col("doc").alias("u"), F.col("text").alias("text_u")), "u").join(
         texts.select(F.col("doc").alias("v"), F.col("text").alias("text_v")), "v"
     )
@@ -331,10 +335,10 @@ def near_duplicates(
     docs = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where(
         "doc IS NOT NULL"
     )
-    sketches = cut(docs.mapInArrow(_sketches(width), _SKETCH), "sketches")
+    sketches = cut(docs.mapInArrow(_sketches(width, *trees_for(similarity, recall)), _SKETCH), "sketches")
     seen = sketches.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc").alias("d")).first()
     if seen["n"] != seen["d"]:
-        best = F.max_by(F.struct("n_shingles", "digest", "coords", "level", "sample"), F.struct("n_shingles", "digest"))
+        best = F.max_by(F.struct("n_shingles", "digest", "paths", "coords", "level", "sample"), F.struct("n_shingles", "digest"))
         sketches = cut(sketches.groupBy("doc").agg(best.alias("s")).select("doc", "s.*"), "one-per-id")
         docs = docs.groupBy("doc").agg(F.max_by("text", F.length("text")).alias("text"))
 
@@ -342,10 +346,9 @@ def near_duplicates(
     classes = cut(
         sketches.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc").alias("rep")), "classes"
     )
-    reps = sketches.join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi")
-    small, large = _nodes(reps, trees_for(similarity, recall))
+    small, large = _nodes(sketches, classes)
 
-    sketch = reps.select("doc", "n_shingles", "level", "sample")
+    sketch = sketches.select("doc", "n_shingles", "level", "sample")
     width_of = ("doc", "n_shingles", "level", "sample")
     pairs = (
         small.join(sketch, "doc")
@@ -373,22 +376,23 @@ def near_duplicates(
     )
 
 
-def _nodes(reps: DataFrame, trees: int) -> tuple[DataFrame, DataFrame | None]:
+def _nodes(sketches: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Members (node, doc) of nodes small enough to compare, and of those still large at the last level."""
-    coords = reps.select("doc", "coords")
-    paths = coords.mapInArrow(_first_paths(trees), "node long, doc long")
+    reps = sketches.select("doc", "paths").join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi")
+    paths = reps.select(F.explode("paths").alias("node"), "doc")
     small = None
-    for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
+    for level in range(LOWER_LEVELS):
         counts = paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        members = cut(paths.join(counts, "node"), f"nodes-{depth}")
+        members = cut(paths.join(counts, "node"), f"nodes-{level}")
         done = members.where(F.col("n") <= SMALL_NODE).select("node", "doc")
         small = done if small is None else small.union(done)
         large = members.where(F.col("n") > SMALL_NODE)
         if is_empty(large):
             return small, None
-        if depth == LAST_DEPTH:
+        if level == LOWER_LEVELS - 1:
             return small, large
-        paths = large.join(coords, "doc").select("node", "doc", "coords").mapInArrow(_next_paths, "node long, doc long")
+        rows = large.join(sketches.select("doc", "coords"), "doc").select("node", "doc", "coords")
+        paths = cut(rows.mapInArrow(_next_paths, "node long, doc long"), "branches")
     raise AssertionError("unreachable")
 
 
@@ -426,12 +430,11 @@ def _rest_pairs(large: DataFrame, found: DataFrame, sketch: DataFrame, similarit
         F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main")
     )
     nodes = nodes.where("n > n_main")
-    half = SMALL_NODE // 2
-    block = lambda c: F.ceil(F.col(c) / half).cast("long")
+    block = lambda c: F.ceil(F.col(c) / REST_BLOCK).cast("long")
     tagged = cut(
         members.join(nodes, "node").select(
             "node", "doc", (F.col("component") != F.col("main")).alias("rest"),
-            block("n").alias("blocks"), F.ceil((F.col("n") - F.col("n_main")) / half).cast("long").alias("rest_blocks"),
+            block("n").alias("blocks"), F.ceil((F.col("n") - F.col("n_main")) / REST_BLOCK).cast("long").alias("rest_blocks"),
         ),
         "rest",
     )

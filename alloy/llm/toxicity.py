@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, byte_slices, remainder, text_bytes
+from alloy.llm.common import PIECE, WordHasher, byte_slices, remainder, text_bytes
 
 SLOTS = 1 << 17
 SIZES = (3, 4, 5, 6)
@@ -149,10 +149,10 @@ def fit(texts: list[str], toxic: list[int], seed: int = 5) -> Trained:
     bias = np.zeros(2)
     held, held_softmax, held_bias = (np.full(n, 1e-6) for n in (SLOTS, 2, 2))  # Adagrad, one rate per row
     weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
-    grams = [_text_grams(t) for t in texts]
+    sample = _Sample(texts)
     seen = np.zeros(SLOTS, np.int64)
-    for slot, *_ in grams:
-        seen[np.unique(slot)] += 1
+    for words in sample.texts:
+        seen[np.unique(sample.grams(words)[0])] += 1
     common = seen >= np.clip(int(RARE[0] * labels.sum()), *RARE[1:])
     vectors[~common] = 0
     each = -(-len(texts) // STEP_TEXTS)
@@ -162,7 +162,9 @@ def fit(texts: list[str], toxic: list[int], seed: int = 5) -> Trained:
         order = rng.permutation(len(texts))
         for pos in range(0, len(order), STEP_TEXTS):
             chosen = order[pos : pos + STEP_TEXTS]
-            slots, words, rows, share = _together([grams[i] for i in chosen])
+            sequence = [sample.texts[i] for i in chosen]
+            slots, words, share = sample.grams(np.concatenate(sequence))
+            rows = np.repeat(np.arange(len(chosen)), [len(q) for q in sequence])
             along = vectors @ (softmax[1] - softmax[0])
             values = np.bincount(words, along[slots] * share, len(rows))
             _, at, size = _best_windows(values, rows, len(chosen), window)
@@ -199,28 +201,44 @@ def _sums(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(index, rows[:, d], n) for d in range(rows.shape[1])], axis=1)
 
 
-def _text_grams(text: str):
-    """(slot, word, share) of a text's n-grams and its number of words with n-grams."""
-    data, offsets = text_bytes(pa.array([text], pa.large_string()), lower=True)
-    slots, words, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-    for letters, _ in _pieces(data, offsets):
-        starts, sizes = word_grams(letters)
-        for word, slot in sizes:
-            slots.append(slot)
-            words.append(word + n)
-        n += len(starts)
-    slot, word = np.concatenate(slots), np.concatenate(words)
-    count = np.bincount(word, minlength=n)
-    number = np.cumsum(count > 0) - 1
-    return slot, number[word] if len(word) else word, 1 / np.maximum(count, 1)[word], int((count > 0).sum())
-
-
-def _together(parts):
-    base = np.r_[0, np.cumsum([p[3] for p in parts])]
-    return (
-        np.concatenate([p[0] for p in parts]), np.concatenate([p[1] + b for p, b in zip(parts, base)]),
-        np.repeat(np.arange(len(parts)), [p[3] for p in parts]), np.concatenate([p[2] for p in parts]),
-    )
+class _Sample:
+    """The sample's texts as numbers of distinct words, and the n-gram slots of each distinct word."""
+
+    def __init__(self, texts: list[str]):
+        hasher, number = WordHasher(_ALPHABET == 0), {}
+        self.texts: list[np.ndarray] = []
+        counts, slots = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
+        for part in byte_slices(batch, "text", PIECE):
+            data, offsets = text_bytes(part.column(0), lower=True)
+            hashes, rows = hasher(data, offsets)
+            known = len(number)
+            words = np.array([number.setdefault(h, len(number)) for h in hashes.tolist()], np.int32)
+            self.texts += np.split(words, np.searchsorted(rows, np.arange(1, part.num_rows)))
+            first = np.zeros(len(words), bool)  # where a word stands for the first time of all
+            at = np.unique(words, return_index=True)[1]
+            first[at] = words[at] >= known
+            base, owner, slot = 0, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for letters, _ in _pieces(data, offsets):
+                starts, sizes = word_grams(letters)
+                for w, g in sizes:
+                    use = first[base + w]
+                    owner.append(words[base + w[use]].astype(np.int64) - known)
+                    slot.append(g[use])
+                base += len(starts)
+            owner, slot = np.concatenate(owner), np.concatenate(slot)
+            counts.append(np.bincount(owner, minlength=len(number) - known))
+            slots.append(slot[np.argsort(owner, kind="stable")].astype(np.int32))
+        self.count = np.concatenate(counts)
+        self.start = np.cumsum(self.count) - self.count
+        self.slot = np.concatenate(slots)
+
+    def grams(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(slot, index of the word, share in the word's mean) of all n-grams of a sequence of words."""
+        count = self.count[words]
+        lead = np.cumsum(count) - count
+        at = np.repeat(self.start[words] - lead, count) + np.arange(count.sum())
+        return self.slot[at].astype(np.int64), np.repeat(np.arange(len(words)), count), np.repeat(1 / np.maximum(count, 1), count)
 
 
 def learn(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> Trained:

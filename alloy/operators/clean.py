@@ -43,19 +43,3 @@ def dedup(
 def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop a row if any (subset) column is null, or NaN for float/double columns."""
     return df.dropna(how="any", subset=list(subset) if subset else None)
-
-
-def nan_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
-
-
-def is_complete(df: DataFrame, subset: Sequence[str] | None = None):
-    """Column that is true when no (subset) column is null or NaN."""
-    cols = list(subset) if subset else df.columns
-    floats = set(nan_columns(df))
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-        if c in floats:
-            cond = cond & ~F.isnan(F.col(c))
-    return cond

@@ -73,13 +73,16 @@ class AuditLog:
         return self.spark.createDataFrame(list(self._rows), AUDIT_SCHEMA)
 
     def flush(self) -> int:
-        """Append buffered events to the sink (if any) in one write."""
+        """Append buffered events to the sink in one write; they stay buffered if it fails."""
         n = len(self._rows)
-        if n and self.path is not None:
+        if n:
+            if self.path is None and not self.options:
+                raise ValueError("the audit log has neither a path nor options to write to")
             writer = self.pending().coalesce(1).write.format(self.fmt).options(**self.options).mode("append")
-            writer.save(self.path)
+            writer.save(self.path) if self.path is not None else writer.save()
         self._rows.clear()
         return n
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(AUDIT_SCHEMA).format(self.fmt).options(**self.options).load(self.path)
+        reader = self.spark.read.schema(AUDIT_SCHEMA).format(self.fmt).options(**self.options)
+        return reader.load(self.path) if self.path is not None else reader.load()

@@ -281,7 +281,11 @@ def _report(spark, sf_dir) -> DataFrame:
 
 
 def q_report_document(spark, sf_dir):
-    return _report(spark, sf_dir).withColumn("title", dated_title("Statistics report"))
+    """The dated document: whether its title has the day's form, and its sections in order."""
+    doc = _report(spark, sf_dir).withColumn("title", dated_title("Statistics report"))
+    return doc.select(
+        F.col("title").rlike(r"^Statistics report [0-3]\d-[01]\d-\d{4}$").alias("titled"), F.json_object_keys("report").alias("sections")
+    )
 
 
 def q_report_json(spark, sf_dir):
@@ -366,18 +370,78 @@ def q_rf_gate(spark, sf_dir):
     # an identical challenger, whose tie keeps the champion
     results = [M.gate(spark, fitted, registry, test, f"attempt-{attempt}") for attempt in (1, 2)]
     out = results[0].unionByName(results[1])
-    return out.withColumns({c: F.round(c, 6) for c in ("challenger_f1", "champion_f1", "challenger_accuracy", "champion_accuracy")})
+    same = (F.col("challenger_f1") == F.col("champion_f1")) & (F.col("challenger_accuracy") == F.col("champion_accuracy"))
+    return out.select(
+        "run_id", "promoted", F.col("champion_f1").isNotNull().alias("had_champion"),
+        F.coalesce(same, F.lit(False)).alias("scores_equal"), "n_test",
+    )
+
+
+CHAIN = medallion.RunConfig(run_id="run-1")
 
 
 def _run_chain(spark, sf_dir, stages=("extract", "transform", "load")):
     paths = medallion.Paths(scratch_path(spark, "medallion"))
-    medallion.run(spark, _lab_keys(spark, sf_dir), "sample_id", paths, medallion.RunConfig(), stages)
+    medallion.run(spark, _lab_keys(spark, sf_dir), "sample_id", paths, CHAIN, stages)
     return paths
 
 
 def q_medallion_run(spark, sf_dir):
     paths = _run_chain(spark, sf_dir)
-    return medallion.layer_counts(spark, paths, LAB_RULES)
+    return medallion.layer_counts(spark, paths, CHAIN)
+
+
+def _runs_of(spark, sf_dir):
+    keys = _lab_keys(spark, sf_dir)
+    return (("day-1", keys.filter("sample_id % 2 = 0")), ("day-2", keys.filter("sample_id % 2 = 1")))
+
+
+def q_medallion_rerun(spark, sf_dir):
+    """Two runs of different keys, then the first again under its own id: the
+    layers hold the last run, the sink holds each run once."""
+    paths = medallion.Paths(scratch_path(spark, "rerun"))
+    days = _runs_of(spark, sf_dir)
+    for run_id, keys in (*days, days[0]):
+        cfg = medallion.RunConfig(run_id=run_id)
+        medallion.run(spark, keys, "sample_id", paths, cfg, ("extract", "transform", "load"))
+    runs = spark.read.parquet(paths.rows_sink).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+    layers = medallion.layer_counts(spark, paths, medallion.RunConfig(run_id="day-1"))
+    return layers.unionByName(runs.select(F.concat(F.lit("sink_"), F.col("run_id")).alias("layer"), "n"))
+
+
+MORE_RULES = (*LAB_RULES, R.Rule("acid", "ph", "<", 7.2))
+
+
+def q_medallion_custom_rules(spark, sf_dir):
+    """The chain with three and with six rules: rows per flag in the sink."""
+    out = None
+    for rules in (LAB_RULES[:3], MORE_RULES):
+        paths = medallion.Paths(scratch_path(spark, "rules"))
+        cfg = medallion.RunConfig(run_id="run-1", rules=rules, spec={r.name: ("ph",) for r in rules})
+        medallion.run(spark, _lab_keys(spark, sf_dir), "sample_id", paths, cfg, ("extract", "transform", "load"))
+        flags = F.inline(F.array(*(F.struct(F.lit(r.name).alias("flag"), F.col(r.name).alias("hit")) for r in rules)))
+        counts = spark.read.parquet(paths.rows_sink).select(flags).groupBy("flag").agg(F.sum("hit").cast("bigint").alias("n"))
+        counts = counts.withColumn("n_rules", F.lit(len(rules)))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+def q_dedup_measurements(spark, sf_dir):
+    """Samples that agree in all measurements under different keys are one sample, which keeps its smallest key."""
+    bronze = measurements_for(_lab_keys(spark, sf_dir), "sample_id").select("sample_id", *COARSE)
+    return C.dedup(bronze, keys=[c for c in bronze.columns if c != "sample_id"])
+
+
+COARSE = ("volume_ml", "ph", "concentration")
+
+
+def q_section_available(spark, sf_dir):
+    """Which sections a stored report offers: those present, and one that is not."""
+    cells = from_report(as_document(_report(spark, sf_dir)))
+    wanted = [f"{r.name}_Analysis" for r in LINEITEM_RULES] + ["Diseases_Count", "Absent_Analysis"]
+    asked = spark.createDataFrame([(w,) for w in wanted], "section string")
+    have = cells.select("section").distinct().withColumn("present", F.lit(True))
+    return asked.join(have, "section", "left").select("section", F.coalesce("present", F.lit(False)).alias("available"))
 
 
 def q_audit_log(spark, sf_dir):
@@ -759,6 +823,53 @@ def _lab_silver_sql() -> str:
     return f"SELECT DISTINCT * FROM ({_bronze_sql()}) b"
 
 
+def sql_medallion_rerun():
+    silver = f"SELECT * FROM ({_lab_silver_sql()}) s WHERE sample_id % 2 = 0"
+    parts = [
+        "SELECT 'bronze' AS layer, count(*)::BIGINT AS n FROM lineitem WHERE (l_orderkey * 8 + l_linenumber) % 2 = 0",
+        f"SELECT 'silver' AS layer, count(*)::BIGINT AS n FROM ({silver}) s",
+        f"SELECT 'sink_rows' AS layer, count(*)::BIGINT AS n FROM ({_lab_silver_sql()}) s",
+    ]
+    parts += [
+        f"SELECT 'gold_{r.name}' AS layer, count(*)::BIGINT AS n FROM ({silver}) s WHERE {_hit_sql(r)} HAVING count(*) > 0"
+        for r in LAB_RULES
+    ]
+    parts += [
+        f"SELECT 'sink_day-{day + 1}' AS layer, count(*)::BIGINT AS n FROM ({_lab_silver_sql()}) s WHERE sample_id % 2 = {day}"
+        for day in (0, 1)
+    ]
+    return _union(parts)
+
+
+def sql_medallion_custom_rules():
+    return _union(
+        f"SELECT '{r.name}' AS flag, count(*) FILTER (WHERE {_hit_sql(r)})::BIGINT AS n, {len(rules)}::INTEGER AS n_rules FROM ({_lab_silver_sql()}) s"
+        for rules in (LAB_RULES[:3], MORE_RULES) for r in rules
+    )
+
+
+def sql_dedup_measurements():
+    cols = ", ".join(COARSE)
+    return f"SELECT min(sample_id) AS sample_id, {cols} FROM ({_bronze_sql()}) b GROUP BY {cols}"
+
+
+def sql_section_available():
+    rows = ", ".join([f"('{r.name}_Analysis', true)" for r in LINEITEM_RULES] + ["('Diseases_Count', true)", "('Absent_Analysis', false)"])
+    return f"SELECT section, available FROM (VALUES {rows}) t(section, available) WHERE (SELECT count(*) FROM lineitem) > 0"
+
+
+def sql_rf_gate():
+    return f"""
+WITH t AS (SELECT count(*)::BIGINT AS n_test FROM lineitem WHERE (l_orderkey * 31 + l_linenumber) % 10 >= 7)
+SELECT 'attempt-1' AS run_id, true AS promoted, false AS had_champion, false AS scores_equal, n_test FROM t
+UNION ALL SELECT 'attempt-2', false, true, true, n_test FROM t"""
+
+
+def sql_report_document():
+    names = ", ".join(f"'{s}'" for s in sorted([f"{r.name}_Analysis" for r in LINEITEM_RULES] + ["Diseases_Count"]))
+    return f"SELECT true AS titled, [{names}] AS sections WHERE (SELECT count(*) FROM lineitem) > 0"
+
+
 def sql_medallion_run():
     silver = _lab_silver_sql()
     parts = [
@@ -826,6 +937,10 @@ QUERIES: dict[str, Query] = {
     "dashboard_bars": q_dashboard_bars,
     "rf_gate": q_rf_gate,
     "audit_log": q_audit_log,
+    "dedup_measurements": q_dedup_measurements,
+    "medallion_custom_rules": q_medallion_custom_rules,
+    "medallion_rerun": q_medallion_rerun,
+    "section_available": q_section_available,
     "refresh_metrics": q_refresh_metrics,
     "refresh_runs_metrics": q_refresh_runs_metrics,
     "medallion_run": q_medallion_run,
@@ -865,6 +980,12 @@ ORACLE: dict[str, Callable[[], str]] = {
     "gold_partition_read": sql_gold_partition_read,
     "dashboard_bars": sql_dashboard_bars,
     "audit_log": sql_audit_log,
+    "dedup_measurements": sql_dedup_measurements,
+    "medallion_custom_rules": sql_medallion_custom_rules,
+    "medallion_rerun": sql_medallion_rerun,
+    "report_document": sql_report_document,
+    "rf_gate": sql_rf_gate,
+    "section_available": sql_section_available,
     "refresh_metrics": sql_refresh_metrics,
     "refresh_runs_metrics": sql_refresh_metrics,
     "medallion_run": sql_medallion_run,

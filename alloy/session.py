@@ -49,8 +49,9 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts, layers and stream state.
 
     Read from the session (``spark.checkpoint.dir`` or a checkpoint dir set on
-    the context). Only when neither is set -- a test or a local run -- a fresh
-    temporary folder is created and registered as the checkpoint dir.
+    the context). When neither is set, a local session gets a fresh temporary
+    folder, registered as its checkpoint dir; on a cluster that is an error,
+    because executors could not see one machine's folder.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -59,14 +60,31 @@ def shared_root(spark: SparkSession) -> str:
         if existing:
             root = existing
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="alloy-work-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared root, unique per call."""
-    return f"{shared_root(spark)}/alloy/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the application's scratch folder, unique per call."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/alloy/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete everything this application wrote under ``scratch_path``.
+
+    Results that are still read lazily from there must have been used. Goes
+    through Spark's own file system layer, so it works on any shared store.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 512 << 20) -> dict[str, str]:

@@ -31,7 +31,7 @@ def silver_schema(base: StructType, rules) -> StructType:
 
 
 SILVER_SCHEMA = silver_schema(BRONZE_SCHEMA, LAB_RULES)
-GOLD_SCHEMA = StructType(list(SILVER_SCHEMA.fields) + [StructField("condition", StringType(), True)])
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")  # sinks that can replace one run's rows
 
 
 class SchemaMismatch(ValueError):
@@ -84,11 +84,13 @@ def write_layer(
     ``partitions`` forces a round-robin file count as the original jobs do;
     left unset, files follow the upstream partitioning (after AQE coalescing)
     and no extra shuffle is added -- what scales to very large inputs.
+    Overwriting replaces the whole layer whatever the session's partition
+    overwrite mode is, so a partition that no longer occurs disappears.
     """
     if partitions:
         df = df.repartition(partitions)
     df, obs = observed(df)
-    writer = df.write.mode(mode).format(fmt)
+    writer = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
@@ -108,20 +110,24 @@ def write_sink(
 ) -> None:
     """Write to any Spark data source (parquet, json, jdbc, a document store ...).
 
-    With ``run_id`` the rows are tagged and written into a ``run_id``
-    partition with dynamic partition overwrite, so re-running the same run
-    replaces its own rows instead of appending them twice. ``run_id`` may be
-    a column, so one write can hold several runs. ``attempt`` (an
-    increasing stamp, e.g. the UTC write time) is stored as a column so that
-    a stream over the sink can tell a re-run from new data.
+    With ``run_id`` the rows are tagged with it; it may be a column, so one
+    write can hold several runs. ``attempt`` (an increasing stamp, e.g. the
+    UTC write time) is stored as a column, so that a reader can tell a re-run
+    from new data. A file sink is partitioned by ``run_id`` and a re-run
+    replaces its own partition. Other sinks (jdbc, a document store) cannot
+    replace part of a table: there rows are always appended, ``attempt`` is
+    required, and ``latest_attempts`` reads the valid ones.
     """
+    by_partition = run_id is not None and fmt.lower() in FILE_FORMATS
+    if run_id is not None and not by_partition and attempt is None:
+        raise ValueError(f"a run written to a {fmt} sink needs an attempt stamp")
     writer_df = df
     if attempt is not None:
         writer_df = writer_df.withColumn("attempt", F.lit(attempt))
     if run_id is not None:
         writer_df = writer_df.withColumn("run_id", run_id if isinstance(run_id, Column) else F.lit(run_id))
     writer = writer_df.write.format(fmt).options(**dict(options or {}))
-    if run_id is not None:
+    if by_partition:
         writer = writer.partitionBy("run_id").option("partitionOverwriteMode", "dynamic")
         mode = "overwrite"
     writer = writer.mode(mode)
@@ -131,6 +137,12 @@ def write_sink(
         writer.save(path)
 
 
+def latest_attempts(df: DataFrame) -> DataFrame:
+    """The rows of each run's latest attempt in an append-only sink."""
+    newest = df.groupBy("run_id").agg(F.max("attempt").alias("attempt"))
+    return df.join(newest, ["run_id", "attempt"]).select(*df.columns)
+
+
 def read_report(
     spark: SparkSession,
     fmt: str,

@@ -3,8 +3,8 @@
 The stream state is ONE row of mergeable sums and counts (the same
 conditional aggregates as the batch ``compare``), so state size does not grow
 with the data. Each micro-batch's complete result is unpivoted and written to
-an ``epoch`` partition with dynamic partition overwrite: a replayed epoch
-after a failure rewrites its own partition, and a restart from the checkpoint
+one of two slots with dynamic partition overwrite: a replayed epoch after a
+failure rewrites its own slot, older epochs are written over, and a restart from the checkpoint
 continues from the committed offsets without double counting.
 """
 
@@ -21,6 +21,16 @@ from alloy.operators.rules import Rule
 from alloy.operators.stats import compare_aggregate_names, compare_aggregates, compare_finish
 
 
+SLOTS = 2  # published epochs that are kept: readers use the newest while the next is written
+
+
+def _publish(out: DataFrame, dst: str, epoch_id: int) -> None:
+    """Write an epoch over the one ``SLOTS`` before it; a replayed epoch rewrites itself."""
+    out = out.withColumns({"epoch": F.lit(epoch_id).cast("bigint"), "slot": F.lit(epoch_id % SLOTS)})
+    writer = out.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("slot").parquet(dst)
+
+
 def refresh(
     spark: SparkSession,
     src: str,
@@ -44,14 +54,8 @@ def refresh(
     state = stream.agg(*compare_aggregates(stream, rules, spec))
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        out = compare_finish(batch, rules, spec).withColumn("epoch", F.lit(epoch_id).cast("bigint"))
-        (
-            out.coalesce(1)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch")
-            .parquet(dst)
-        )
+        out = compare_finish(batch, rules, spec)
+        _publish(out, dst, epoch_id)
 
     writer = (
         state.writeStream.outputMode("complete")
@@ -94,18 +98,11 @@ def refresh_runs(
     state = stream.groupBy("run_id", "attempt").agg(*compare_aggregates(stream, rules, spec))
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        # bounded: one row per (run, attempt)
-        newest = batch.groupBy("run_id").agg(F.max("attempt").alias("attempt"))
-        current = batch.join(newest, ["run_id", "attempt"])
+        newest = batch.groupBy("run_id").agg(F.max_by(F.struct(*names), "attempt").alias("s"))
+        current = newest.select("s.*")
         total = current.agg(*[F.sum(c).alias(c) for c in names])
-        out = compare_finish(total, rules, spec).withColumn("epoch", F.lit(epoch_id).cast("bigint"))
-        (
-            out.coalesce(1)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch")
-            .parquet(dst)
-        )
+        out = compare_finish(total, rules, spec)
+        _publish(out, dst, epoch_id)
 
     writer = (
         state.writeStream.outputMode("complete")
@@ -123,4 +120,4 @@ def latest(spark: SparkSession, dst: str) -> DataFrame:
     """The statistics of the most recent epoch (condition, flag, metric, n, mean)."""
     df = spark.read.parquet(dst)
     last = df.select(F.max("epoch")).scalar()
-    return df.filter(F.col("epoch") == F.lit(last)).drop("epoch")
+    return df.filter(F.col("epoch") == F.lit(last)).drop("epoch", "slot")

@@ -87,3 +87,28 @@ def test_evaluate_pair_matches_separate_evaluations(frame):
     for got, exp in ((a, ea), (b, eb)):
         assert got["n"] == exp["n"]
         assert math.isclose(got["f1"], exp["f1"], rel_tol=1e-12) and math.isclose(got["accuracy"], exp["accuracy"], rel_tol=1e-12)
+
+
+def test_repeated_run_id_leaves_the_champion(spark, tmp_dir):
+    frame = _frame(spark)
+    train, test = M.hash_split(frame, ["sample_id"], 70)
+    good = M.train(train, M.LAB_FEATURES, trees=5, depth=4, seed=1)
+    weak = M.train(train, ["ph"], trees=2, depth=1, seed=1)
+    reg = f"{tmp_dir}/same-id"
+    first = M.gate(spark, good, reg, test, "day-1").first()
+    path = M.current_champion(spark, reg)[1]
+    again = M.gate(spark, weak, reg, test, "day-1").first()
+    assert not again["promoted"] and again["champion_f1"] == first["challenger_f1"]
+    assert M.current_champion(spark, reg)[1] == path
+
+
+def test_split_cuts_between_buckets_only():
+    for call in (lambda: M.split_side(F.lit(1), 75, 10), lambda: M.hash_split(None, ["a"], 75, 10, bucket=F.lit(1))):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_training_rows_are_bounded(spark):
+    frame = _frame(spark)
+    model = M.train(frame, ["ph", "vitality"], trees=2, depth=2, seed=1, max_train_rows=200)
+    assert model.stages[-1].numFeatures == 2

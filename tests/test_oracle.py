@@ -32,4 +32,4 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_documented():
     missing = set(catalog.QUERIES) - set(entry.oracle_sql())
-    assert missing == {"rf_gate", "report_document"}
+    assert not missing

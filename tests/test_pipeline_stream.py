@@ -72,9 +72,9 @@ def test_medallion_chain_and_rerun(spark, tmp_dir):
     assert out["extract"] == keys.count()
     assert out["transform"]["silver"] == keys.distinct().count()
     assert out["model"].first()["promoted"]
-    first = sorted(medallion.layer_counts(spark, paths, LAB_RULES).collect())
+    first = sorted(medallion.layer_counts(spark, paths, cfg).collect())
     medallion.run(spark, keys, "k", paths, cfg, stages=("extract", "transform", "load"))
-    assert sorted(medallion.layer_counts(spark, paths, LAB_RULES).collect()) == first
+    assert sorted(medallion.layer_counts(spark, paths, cfg).collect()) == first
     audit = AuditLog(spark, paths.audit).read()
     assert audit.filter("level = 'INFO'").count() == 5 + 4
     assert {r["source"] for r in audit.collect()} == {"extract", "transform", "model", "load"}
@@ -83,9 +83,10 @@ def test_medallion_chain_and_rerun(spark, tmp_dir):
 def test_failed_stage_is_logged_and_raised(spark, tmp_dir):
     paths = medallion.Paths(f"{tmp_dir}/broken")
     with pytest.raises(Exception):
-        medallion.run(spark, None, "k", paths, stages=("transform",))
+        medallion.run(spark, None, "k", paths, medallion.RunConfig(run_id="d"), stages=("transform",))
     rows = AuditLog(spark, paths.audit).read().collect()
     assert [(r["level"], r["source"]) for r in rows] == [("ERROR", "transform")]
+    assert "PATH_NOT_FOUND" in rows[0]["message"]  # the reason, not only the error's class
 
 
 def test_refresh_restart_equals_batch(spark, tmp_dir):
@@ -170,7 +171,7 @@ def test_medallion_report_matches_silver_statistics(spark, tmp_dir):
 def test_command_line_runs_stages(spark, tmp_dir):
     from alloy.__main__ import main
 
-    out = main(["--root", f"{tmp_dir}/cli", "--rows", "3000", "--stages", "extract,transform,model,load",
+    out = main(["--root", f"{tmp_dir}/cli", "--run-id", "cli", "--rows", "3000", "--stages", "extract,transform,model,load",
                 "--trees", "3", "--depth", "3", "--run-id", "cli-1"], spark=spark)
     assert out["extract"] == 3000 and out["transform"]["silver"] == 3000
     assert out["model"]["promoted"] is True and out["load"]["report_sections"] == 6
@@ -223,7 +224,7 @@ def test_command_line_with_keys_table(spark, tmp_dir):
     read_table(spark, SF_SMALL, "lineitem").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k")
     ).write.parquet(keys_path)
-    out = main(["--root", f"{tmp_dir}/cli2", "--keys-table", keys_path, "--key", "k",
+    out = main(["--root", f"{tmp_dir}/cli2", "--run-id", "cli", "--keys-table", keys_path, "--key", "k",
                 "--stages", "extract,transform"], spark=spark)
     keys = spark.read.parquet(keys_path)
     assert out["extract"] == keys.count() and out["transform"]["silver"] == keys.distinct().count()
@@ -233,7 +234,7 @@ def test_gold_view_equals_gold_copy(spark, tmp_dir):
     keys = read_table(spark, SF_SMALL, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
     copy_paths, view_paths = medallion.Paths(f"{tmp_dir}/copy"), medallion.Paths(f"{tmp_dir}/view")
     rarest_first = ["hypospermia", "oligospermia", "necrospermia", "asthenozoospermia", "teratozoospermia"]
-    copy_cfg, view_cfg = medallion.RunConfig(), medallion.RunConfig(gold_mode="view", view_order=rarest_first)
+    copy_cfg, view_cfg = medallion.RunConfig(run_id="d"), medallion.RunConfig(run_id="d", gold_mode="view", view_order=rarest_first)
     medallion.run(spark, keys, "k", copy_paths, copy_cfg, stages=("extract", "transform"))
     out = medallion.run(spark, keys, "k", view_paths, view_cfg, stages=("extract", "transform"))
     assert out["transform"]["gold"] == 0
@@ -266,3 +267,58 @@ def test_refresh_runs_exact_under_rerun(spark, tmp_dir):
     assert got.keys() == exp.keys()
     for k in exp:
         assert got[k][0] == exp[k][0] and math.isclose(got[k][1], exp[k][1], rel_tol=1e-12)
+
+
+def _two_days(spark):
+    from alloy.operators.rules import Rule
+
+    li = read_table(spark, SF_SMALL, "lineitem")
+    keys = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
+    return keys.where("k % 2 = 0"), keys.where("k % 2 = 1"), Rule
+
+
+def test_layers_forget_a_condition_without_hits(spark, tmp_dir):
+    day1, day2, Rule = _two_days(spark)
+    paths = medallion.Paths(f"{tmp_dir}/days")
+    never = Rule("never", "ph", "<", -1.0)
+    for mode in ("dynamic", "static"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        always = medallion.RunConfig(run_id="d1", rules=(Rule("never", "ph", ">=", -1.0),), spec={"never": ("ph",)})
+        medallion.run(spark, day1, "k", paths, always, stages=("extract", "transform"))
+        cfg = medallion.RunConfig(run_id="d2", rules=(never,), spec={"never": ("ph",)})
+        assert medallion.run(spark, day2, "k", paths, cfg, stages=("extract", "transform"))["transform"]["gold"] == 0
+        assert "condition=never" not in str(spark.read.schema("condition string").parquet(paths.gold).inputFiles())
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+def test_rule_sets_are_parameters(spark, tmp_dir):
+    day1, _, Rule = _two_days(spark)
+    for rules in (LAB_RULES[:3], (*LAB_RULES, Rule("acid", "ph", "<", 7.2))):
+        for mode in ("copy", "view"):
+            cfg = medallion.RunConfig(run_id="d", rules=rules, spec={r.name: ("ph",) for r in rules}, gold_mode=mode)
+            paths = medallion.Paths(f"{tmp_dir}/rules-{len(rules)}-{mode}")
+            medallion.run(spark, day1, "k", paths, cfg, stages=("extract", "transform", "load"))
+            assert {r.name for r in rules} <= set(spark.read.parquet(paths.rows_sink).columns)
+            counts = {r["layer"]: r["n"] for r in medallion.layer_counts(spark, paths, cfg).collect()}
+            assert counts["silver"] == counts["sink_rows"] == day1.distinct().count()
+
+
+def test_audit_options_only_sink_keeps_every_event(spark, tmp_dir):
+    log = AuditLog(spark, None, "parquet", {"path": f"{tmp_dir}/log"})
+    log.ensure()
+    log.info("a", "one")
+    assert log.flush() == 1 and log.read().count() == 1
+    lost = AuditLog(spark)
+    lost.info("a", "one")
+    with pytest.raises(ValueError):
+        lost.flush()
+    assert lost.pending().count() == 1
+
+
+def test_sinks_that_cannot_replace_a_run_need_an_attempt(spark, tmp_dir):
+    from alloy.sources.layers import latest_attempts
+
+    with pytest.raises(ValueError):
+        write_sink(spark.range(3), "jdbc", run_id="d1")
+    rows = spark.createDataFrame([("d1", "1", 1), ("d1", "2", 2), ("d1", "2", 3), ("d2", "1", 4)], "run_id string, attempt string, x int")
+    assert sorted(r["x"] for r in latest_attempts(rows).collect()) == [2, 3, 4]
