@@ -115,7 +115,12 @@ def _item_seeds(coverage: float):
                 _, rows, seeds, owner = _seeds_of(batch.column(1), hasher)
                 ids = batch.column(0).to_numpy(zero_copy_only=False)
                 sizes = np.bincount(rows, minlength=len(ids))
-                need = np.ceil(np.ceil(coverage * sizes - 1e-9) / TILE).astype(np.int64)
+                # a tile of n tokens starts n - 3 >= n / 4 seeds; seeds that repeat within the item are shared once
+                places = np.bincount(owner, minlength=len(ids))
+                pairs = np.unique(np.stack([owner, seeds.view(np.int64)], 1), axis=0)
+                repeats = places - np.bincount(pairs[:, 0], minlength=len(ids))
+                need = np.ceil(np.ceil(coverage * sizes - 1e-9) / TILE).astype(np.int64) - repeats
+                need = np.maximum(need, 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(seeds.view(np.int64)), pa.array(ids[owner]), pa.array(need[owner])], names=["seed", "item", "need"]
                 )
