@@ -36,6 +36,23 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 4 << 20
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with Arrow batches limited by bytes, not only by rows.
+
+    Ten thousand long texts in one batch would be gigabytes, on either side of
+    the pipe; a batch ends at ``BATCH_BYTES`` (after one row at least). A
+    lower limit of the session stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    if int(conf.get(key, str(1 << 31))) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def remainder(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``: the fixed split into learning and held-out rows."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus

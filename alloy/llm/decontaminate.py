@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, constants, cut, in_table, text_bytes, windows
+from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, constants, cut, in_table, map_arrow, text_bytes, windows
 
 TILE = 4
 COVERAGE = 0.6
@@ -194,18 +194,18 @@ def contaminated(
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
     items = benchmark.select(F.col(item_id_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    seeds = cut(items.mapInArrow(_item_seeds(coverage), "seed long, item long, need long").distinct(), "seeds")
+    seeds = cut(map_arrow(items, _item_seeds(coverage), "seed long, item long, need long").distinct(), "seeds")
     least = seeds.agg(F.min("need").alias("n")).first()["n"]
     if least is None:
         return _named(docs.sparkSession.createDataFrame([], _RESULT), id_col, item_id_col)
 
-    hits = cut(docs.mapInArrow(_hits(bit_table(seeds, "seed", FILTER_BITS), max(1, least)), "doc long, text string, seeds array<long>"), "hits")
+    hits = cut(map_arrow(docs, _hits(bit_table(seeds, "seed", FILTER_BITS), max(1, least)), "doc long, text string, seeds array<long>"), "hits")
     pairs = (
         hits.select("doc", F.explode("seeds").alias("seed")).distinct().join(seeds, "seed")
         .groupBy("doc", "item").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need")).where("n >= need")
     )
     rows = pairs.select("doc", "item").join(hits.select("doc", "text"), "doc").join(items.withColumnRenamed("text", "item_text"), "item")
-    found = rows.select("doc", "item", "text", "item_text").mapInArrow(_tiled(coverage), _RESULT)
+    found = map_arrow(rows.select("doc", "item", "text", "item_text"), _tiled(coverage), _RESULT)
     columns = [c for c in found.columns if c not in ("doc", "item")]
     best = found.groupBy("doc", "item").agg(F.max_by(F.struct(*columns), F.struct("covered", "longest", "n_tiles", "n_item_tokens")).alias("b"))
     return _named(best.select("doc", "item", "b.*"), id_col, item_id_col)

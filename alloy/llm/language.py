@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, byte_slices, remainder, row_name, text_bytes
+from alloy.llm.common import PIECE, byte_slices, map_arrow, remainder, row_name, text_bytes
 
 SLOTS = 1 << 16
 LONGEST = 4
@@ -150,7 +150,7 @@ def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"),
         F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"), row_name(id_col, text_col).alias("row"),
     )
-    scored = rows.mapInArrow(_scorer(names, weights, constant), "doc long, row long, lang_pred string, score double, letters boolean")
+    scored = map_arrow(rows, _scorer(names, weights, constant), "doc long, row long, lang_pred string, score double, letters boolean")
     return scored.select(
         F.col("doc").alias(id_col),
         F.coalesce(remainder("doc", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),

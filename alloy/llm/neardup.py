@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, byte_slices, constants, cut, few, is_empty, mix, shingle_sets, text_bytes
+from alloy.llm.common import PIECE, WordHasher, byte_slices, constants, cut, few, is_empty, map_arrow, mix, shingle_sets, text_bytes
 from alloy.llm.components import connected_components
 
 WIDTH = 5
@@ -302,7 +302,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> Dat
         texts.select(F.col("doc").alias("v"), F.col("text").alias("text_v")), "v"
     )
     return cut(
-        rows.select("u", "v", "text_u", "text_v").mapInArrow(_confirmed(percent, width), "u long, v long"), "confirmed"
+        map_arrow(rows.select("u", "v", "text_u", "text_v"), _confirmed(percent, width), "u long, v long"), "confirmed"
     )
 
 
@@ -335,7 +335,7 @@ def near_duplicates(
     docs = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where(
         "doc IS NOT NULL"
     )
-    sketches = cut(docs.mapInArrow(_sketches(width, *trees_for(similarity, recall)), _SKETCH), "sketches")
+    sketches = cut(map_arrow(docs, _sketches(width, *trees_for(similarity, recall)), _SKETCH), "sketches")
     seen = sketches.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc").alias("d")).first()
     if seen["n"] != seen["d"]:
         best = F.max_by(F.struct("n_shingles", "digest", "paths", "coords", "level", "sample"), F.struct("n_shingles", "digest"))
@@ -350,13 +350,8 @@ def near_duplicates(
 
     sketch = sketches.select("doc", "n_shingles", "level", "sample")
     width_of = ("doc", "n_shingles", "level", "sample")
-    pairs = (
-        small.join(sketch, "doc")
-        .select("node", *width_of)
-        .repartition("node")
-        .sortWithinPartitions("node")
-        .mapInArrow(_compare(similarity, 1, False), "u long, v long")
-    )
+    members = small.join(sketch, "doc").select("node", *width_of).repartition("node").sortWithinPartitions("node")
+    pairs = map_arrow(members, _compare(similarity, 1, False), "u long, v long")
     if large is None:
         links = _confirm(pairs, docs, percent, width)
     else:
@@ -392,7 +387,7 @@ def _nodes(sketches: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFram
         if level == LOWER_LEVELS - 1:
             return small, large
         rows = large.join(sketches.select("doc", "coords"), "doc").select("node", "doc", "coords")
-        paths = cut(rows.mapInArrow(_next_paths, "node long, doc long"), "branches")
+        paths = cut(map_arrow(rows, _next_paths, "node long, doc long"), "branches")
     raise AssertionError("unreachable")
 
 
@@ -415,7 +410,7 @@ def _centre_pairs(large: DataFrame, sketch: DataFrame, similarity: float) -> Dat
                 )
             yield _pairs(found)
 
-    return rows.mapInArrow(run, "u long, v long")
+    return map_arrow(rows, run, "u long, v long")
 
 
 def _rest_pairs(large: DataFrame, found: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame | None:
@@ -448,6 +443,5 @@ def _rest_pairs(large: DataFrame, found: DataFrame, sketch: DataFrame, similarit
         "node", "doc", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest_blocks") - 1)).alias("i"), F.pmod(place, "blocks").alias("j"), F.lit(1).alias("side")
     )
     cells = ask.union(answer).join(sketch, "doc").select("node", "i", "j", "side", *sketch.columns)
-    return (
-        cells.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").mapInArrow(_compare(similarity, 3, True), "u long, v long")
-    )
+    cells = cells.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
+    return map_arrow(cells, _compare(similarity, 3, True), "u long, v long")

@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import byte_slices, constants, mix
+from alloy.llm.common import byte_slices, constants, map_arrow, mix
 
 BLANK = "▁"
-STRETCH = 1 << 20  # bytes of text segmented at a time
+STRETCH = 1 << 19  # bytes of text segmented at a time
 BUCKET_BITS = 20  # of the prefix table's index by leading hash bits
 BYTE_PENALTY = 2.0  # a byte weighs exp(-2) of the rarest piece
 SEED = 17
@@ -296,7 +296,7 @@ def encode_sampled(
     empty result.
     """
     rows = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_encoder(model, sharpness, seed), "doc long, ids array<int>").withColumnRenamed("doc", id_col)
+    return map_arrow(rows, _encoder(model, sharpness, seed), "doc long, ids array<int>").withColumnRenamed("doc", id_col)
 
 
 def _id_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -335,11 +335,11 @@ def _decoder(path: str, digest: bool):
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``(id, text)`` of encoded rows; the exact inverse of ``encode_sampled`` (null ids give the empty text)."""
     rows = encoded.select(F.col(id_col).cast("long").alias("doc"), F.col(ids_col).alias("ids"))
-    return rows.mapInArrow(_decoder(model, False), "doc long, text string").withColumnRenamed("doc", id_col)
+    return map_arrow(rows, _decoder(model, False), "doc long, text string").withColumnRenamed("doc", id_col)
 
 
 def with_decoded_hash(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``(id, ids, n_pieces, text_sha256)``: the ids decoded again, as a digest that shows the round trip."""
     rows = encoded.select(F.col(id_col).cast("long").alias("doc"), F.col(ids_col).alias("ids"))
     kind = "doc long, ids array<int>, n_pieces long, text_sha256 string"
-    return rows.mapInArrow(_decoder(model, True), kind).withColumnRenamed("doc", id_col)
+    return map_arrow(rows, _decoder(model, True), kind).withColumnRenamed("doc", id_col)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, cut, in_table, row_name, text_bytes
+from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, cut, in_table, map_arrow, row_name, text_bytes
 
 CONTEXT = 8  # words on either side of an entity
 REACH = 400  # characters searched for them
@@ -164,7 +164,7 @@ def personal_data(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     rows = docs.select(row_name("doc", "text").alias("row"), "doc", "text")
-    found = cut(rows.mapInArrow(_finder, _FOUND), "personal-data")
+    found = cut(map_arrow(rows, _finder, _FOUND), "personal-data")
     near = found.select("row", F.explode("contexts").alias("c")).select("row", "c.*")
     disclosing = _disclosing(found, near, docs)
     terms = near.join(disclosing, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
@@ -192,7 +192,7 @@ def _disclosing(found: DataFrame, near: DataFrame, docs: DataFrame) -> DataFrame
     total = found.count()
     shared = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     shared = cut(shared.where(F.col("n_both") >= MIN_ROWS), "shared")
-    terms = docs.select("text").mapInArrow(_term_rows(bit_table(shared, "term", FILTER_BITS)), "term long, n long")
+    terms = map_arrow(docs.select("text"), _term_rows(bit_table(shared, "term", FILTER_BITS)), "term long, n long")
     terms = terms.groupBy("term").agg(F.sum("n").alias("n_term"))
     entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     counted = shared.join(terms, "term").join(entities, "entity")
@@ -234,4 +234,4 @@ def sanitise(documents: DataFrame, found: DataFrame, id_col: str = "doc_id", tex
     rows = docs.select(row_name("doc", "text").alias("row"), "doc", "text")
     spans = found.select("row", "spans").dropDuplicates(["row"])
     joined = rows.join(spans, "row", "left").select("doc", "text", "spans")
-    return joined.mapInArrow(_redact, "doc long, text string").withColumnRenamed("doc", id_col)
+    return map_arrow(joined, _redact, "doc long, text string").withColumnRenamed("doc", id_col)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, byte_slices, span_hashes, text_bytes
+from alloy.llm.common import PIECE, WordHasher, byte_slices, map_arrow, span_hashes, text_bytes
 
 BATCH_BYTES = 1 << 18  # bytes given to the tokenizer at a time
 KNOWN = 400_000  # stretches whose length a task remembers
@@ -134,7 +134,7 @@ def token_counts(
     table gives an empty result.
     """
     rows = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    counted = rows.mapInArrow(_counter(tokenizer, batch_bytes), "doc long, n_bytes long, n_tokens long")
+    counted = map_arrow(rows, _counter(tokenizer, batch_bytes), "doc long, n_bytes long, n_tokens long")
     return counted.select(
         F.col("doc").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

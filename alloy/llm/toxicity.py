@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, byte_slices, remainder, text_bytes
+from alloy.llm.common import PIECE, WordHasher, byte_slices, map_arrow, remainder, text_bytes
 
 SLOTS = 1 << 17
 SIZES = (3, 4, 5, 6)
@@ -287,7 +287,7 @@ def toxicity(
     """
     model = learn(documents, labels, id_col, text_col, label_col)
     rows = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    scored = rows.mapInArrow(_scorer(model), "doc long, score double")
+    scored = map_arrow(rows, _scorer(model), "doc long, score double")
     return scored.select(
         F.col("doc").alias(id_col),
         F.coalesce(remainder("doc", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
