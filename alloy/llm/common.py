@@ -44,11 +44,11 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
 
     Ten thousand long texts in one batch would be gigabytes, on either side of
     the pipe; a batch ends at ``BATCH_BYTES`` (after one row at least). A
-    lower limit of the session stays.
+    limit that the session has set itself stays.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     conf = df.sparkSession.conf
-    if int(conf.get(key, str(1 << 31))) > BATCH_BYTES:
+    if conf.get(key, None) is None:
         conf.set(key, str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
 
