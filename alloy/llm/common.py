@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from alloy.session import scratch_path
 
-PIECE = 1 << 20  # bytes of text hashed at a time
+PIECE = 1 << 19  # bytes of text hashed at a time
 SPACE = np.zeros(256, bool)  # word separators: \x20 and \x09-\x0D
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -343,3 +343,13 @@ def with_decoded_hash(encoded: DataFrame, model: str, id_col: str = "doc_id", id
     rows = encoded.select(F.col(id_col).cast("long").alias("doc"), F.col(ids_col).alias("ids"))
     kind = "doc long, ids array<int>, n_pieces long, text_sha256 string"
     return map_arrow(rows, _decoder(model, True), kind).withColumnRenamed("doc", id_col)
+
+
+def encode_with_hash(
+    documents: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", sharpness: float = 1.0, seed: int = SEED,
+) -> DataFrame:
+    """``with_decoded_hash`` of ``encode_sampled`` in one pass: a task encodes and decodes in the same Python worker."""
+    rows = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    encode, check = _encoder(model, sharpness, seed), _decoder(model, True)
+    kind = "doc long, ids array<int>, n_pieces long, text_sha256 string"
+    return map_arrow(rows, lambda batches: check(encode(batches)), kind).withColumnRenamed("doc", id_col)

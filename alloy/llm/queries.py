@@ -12,7 +12,7 @@ from alloy.llm.language import languages
 from alloy.llm.licenses import known_licenses, licenses_sql, scan_licenses
 from alloy.llm.lines import dedup_lines, lines_sql
 from alloy.llm.neardup import near_duplicates
-from alloy.llm.pieces import encode_sampled, model_path, with_decoded_hash
+from alloy.llm.pieces import encode_with_hash, model_path
 from alloy.llm.pii import personal_data, span_digest
 from alloy.llm.quality import quality
 from alloy.llm.tokens import token_counts, tokenizer_path
@@ -68,8 +68,7 @@ def op9_line_dedup(spark, sf_dir):
 
 def op10_sentencepiece(spark, sf_dir):
     """Every document's sampled ids, with the hash of the text that they decode to."""
-    documents, path = _documents(spark, sf_dir), model_path("piece_bpe_32k.model")
-    return with_decoded_hash(encode_sampled(documents, path), path)
+    return encode_with_hash(_documents(spark, sf_dir), model_path("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Query] = {

@@ -16,7 +16,7 @@ from alloy.llm.decontaminate import contaminated
 from alloy.llm.language import UNKNOWN, languages
 from alloy.llm.lines import dedup_lines
 from alloy.llm.neardup import near_duplicates
-from alloy.llm.pieces import encode_sampled, model_path, with_decoded_hash
+from alloy.llm.pieces import encode_with_hash, model_path
 from alloy.sources.tables import read_table
 
 MIN_LANGUAGE_SCORE = 0.25  # less than this is like no learned language at all
@@ -59,8 +59,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, ids, n_pieces, text_sha256)``: sampled pieces, and a digest of the text they decode to."""
-    path = model_path("piece_bpe_32k.model")
-    return with_decoded_hash(encode_sampled(docs, path), path)
+    return encode_with_hash(docs, model_path("piece_bpe_32k.model"))
 
 
 STAGES = [

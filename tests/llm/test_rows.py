@@ -110,6 +110,9 @@ def test_sampled_pieces_round_trip(request, frame):
     encoded = pieces.encode_sampled(df, path)
     assert Counter(map(tuple, pieces.decode(encoded, path).collect())) == _expected(df, lambda t: (t or "",))
     again = pieces.with_decoded_hash(pieces.encode_sampled(df.repartition(5), path), path).collect()
+    once = pieces.encode_with_hash(df, path)
+    assert once.columns == ["doc_id", "ids", "n_pieces", "text_sha256"]
+    assert Counter(map(str, once.collect())) == Counter(map(str, again))
     assert Counter((r["doc_id"], tuple(r["ids"]), r["text_sha256"]) for r in again) == Counter(
         (r["doc_id"], tuple(r["ids"]), hashlib.sha256(t.encode()).hexdigest())
         for r, t in ((r, "".join(x["text"])) for r, x in zip(encoded.collect(), pieces.decode(encoded, path).collect()))
