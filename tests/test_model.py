@@ -89,8 +89,7 @@ def test_evaluate_pair_matches_separate_evaluations(frame):
         assert math.isclose(got["f1"], exp["f1"], rel_tol=1e-12) and math.isclose(got["accuracy"], exp["accuracy"], rel_tol=1e-12)
 
 
-def test_repeated_run_id_leaves_the_champion(spark, tmp_dir):
-    frame = _frame(spark)
+def test_repeated_run_id_leaves_the_champion(spark, frame, tmp_dir):
     train, test = M.hash_split(frame, ["sample_id"], 70)
     good = M.train(train, M.LAB_FEATURES, trees=5, depth=4, seed=1)
     weak = M.train(train, ["ph"], trees=2, depth=1, seed=1)
@@ -108,7 +107,6 @@ def test_split_cuts_between_buckets_only():
             call()
 
 
-def test_training_rows_are_bounded(spark):
-    frame = _frame(spark)
+def test_training_rows_are_bounded(frame):
     model = M.train(frame, ["ph", "vitality"], trees=2, depth=2, seed=1, max_train_rows=200)
     assert model.stages[-1].numFeatures == 2
