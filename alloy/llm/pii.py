@@ -6,7 +6,8 @@ how many rows an entity occurs, in how many a term occurs, and in how many the
 term stands within ``CONTEXT`` words of the entity. A term discloses an entity
 by its pointwise mutual information as a share of the entity's information
 content: 1 when the term occurs only where the entity does. Terms above
-``REMOVE`` are removed, those above ``GENERALISE`` generalised.
+``REMOVE`` are removed, those above ``GENERALISE`` generalised. Every pair is
+estimated, also that of an entity and a term that share a single row.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, cut, in_
 
 CONTEXT = 8  # words on either side of an entity
 REACH = 400  # characters searched for them
-MIN_ROWS = 3  # rows that a term and an entity must share
 REMOVE, GENERALISE = 0.9, 0.75
 FILTER_BITS = 1 << 25  # of a bit table of the context terms: 4 MB however many terms there are
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -191,7 +191,7 @@ def _disclosing(found: DataFrame, near: DataFrame, docs: DataFrame) -> DataFrame
     """(entity, term, share of the entity's information that the term gives away) above the lower threshold."""
     total = found.count()
     shared = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    shared = cut(shared.where(F.col("n_both") >= MIN_ROWS), "shared")
+    shared = cut(shared, "shared")
     terms = map_arrow(docs.select("text"), _term_rows(bit_table(shared, "term", FILTER_BITS)), "term long, n long")
     terms = terms.groupBy("term").agg(F.sum("n").alias("n_term"))
     entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))

@@ -89,6 +89,17 @@ def test_disclosing_terms_and_sanitising(spark):
     assert clean[900] is None and clean[100] == rows[6][1]
 
 
+def test_terms_of_rare_entities(spark):
+    """An entity of one row, and one of two, are given away like any other."""
+    rows = [(1, "ask zanzibarian of the house at one@mail.org please"), (2, "the quixotic house has +49 30 1234567890 please")]
+    rows += [(3, "the quixotic house of +49 30 1234567890 please")] + [(10 + i, "ask has of the house at please") for i in range(60)]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    terms = {i: {(t[s["start"] : s["end"]], s["action"]) for s in got[i] if s["kind"] == "term"} for i, t in rows}
+    assert terms.pop(1) == {("zanzibarian", "remove")}
+    assert terms.pop(2) == terms.pop(3) == {("quixotic", "remove")}
+    assert not any(terms.values())
+
+
 @pytest.mark.parametrize("frame", ["edge", "small", "nothing"])
 def test_token_counts(request, frame):
     from tokenizers import Tokenizer
