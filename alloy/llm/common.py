@@ -159,17 +159,23 @@ class WordHasher:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(hash of each word, row of each word), in text order."""
-        hashes, rows = [], []
+        return self.spans(data, offsets)[:2]
+
+    def spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, row, first byte, byte after the last) of each word, in text order."""
+        hashes, starts, ends = [], [], []
         pos, n = 0, len(data)
         while pos < n:
             end = self._cut(data, offsets, pos, n)
-            h, start = self._piece(data[pos:end], offsets[(offsets > pos) & (offsets < end)] - pos)
+            h, s, e = self._piece(data[pos:end], offsets[(offsets > pos) & (offsets < end)] - pos)
             hashes.append(h)
-            rows.append(np.searchsorted(offsets, start + pos, side="right") - 1)
+            starts.append(s + pos)
+            ends.append(e + pos)
             pos = end
         if not hashes:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate(hashes), np.concatenate(rows)
+            return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        start = np.concatenate(starts)
+        return np.concatenate(hashes), np.searchsorted(offsets, start, side="right") - 1, start, np.concatenate(ends)
 
     def _cut(self, data, offsets, pos, n) -> int:
         end = pos + PIECE
@@ -188,7 +194,7 @@ class WordHasher:
             end += PIECE
         return n
 
-    def _piece(self, data, breaks) -> tuple[np.ndarray, np.ndarray]:
+    def _piece(self, data, breaks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(data) > len(self.power) - 1:
             self._grow(len(data))
         inside = ~self.separators[data]
@@ -203,7 +209,7 @@ class WordHasher:
         with np.errstate(over="ignore"):
             run = np.zeros(len(data) + 1, np.uint64)
             np.cumsum(self.values[data] * self.power[: len(data)], out=run[1:])
-            return mix((run[e] - run[s]) * self.unpower[s] + (e - s).astype(np.uint64)), s
+            return mix((run[e] - run[s]) * self.unpower[s] + (e - s).astype(np.uint64)), s, e
 
 
 def span_hashes(data: np.ndarray, bounds: np.ndarray, hasher: "WordHasher") -> np.ndarray:

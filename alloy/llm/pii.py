@@ -1,13 +1,14 @@
-"""Personal data: pattern spans, and information-theoretic sanitisation of the terms around them.
+"""Personal data: pattern spans, and information-theoretic sanitisation of the terms that go with them.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers; each
-distinct value is a protected entity. Over the whole corpus it is counted in
-how many rows an entity occurs, in how many a term occurs, and in how many the
-term stands within ``CONTEXT`` words of the entity. A term discloses an entity
-by its pointwise mutual information as a share of the entity's information
-content: 1 when the term occurs only where the entity does. Terms above
-``REMOVE`` are removed, those above ``GENERALISE`` generalised. Every pair is
-estimated, also that of an entity and a term that share a single row.
+distinct value is a protected entity. A term is a run of three or more letters
+outside pattern spans. Over the whole corpus it is counted in how many rows an
+entity occurs, in how many a term occurs, and in how many both do, wherever
+they stand. A term discloses an entity by its pointwise mutual information as
+a share of the entity's information content: 1 when the term occurs only where
+the entity does. Every pair is estimated, also that of an entity and a term
+that share a single row. Terms above ``REMOVE`` for some entity are removed,
+those above ``GENERALISE`` generalised, at every place in every text.
 """
 
 from __future__ import annotations
@@ -21,12 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, cut, in_table, map_arrow, row_name, text_bytes
+from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, cut, few, in_table, map_arrow, row_name, text_bytes
 
-CONTEXT = 8  # words on either side of an entity
-REACH = 400  # characters searched for them
+SHORTEST = 3  # letters of a term
 REMOVE, GENERALISE = 0.9, 0.75
-FILTER_BITS = 1 << 25  # of a bit table of the context terms: 4 MB however many terms there are
+FILTER_BITS = 1 << 25  # of a bit table of terms: 4 MB however many terms there are
 KINDS = ("email", "ip", "card", "phone", "term")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -36,7 +36,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TERM = re.compile(r"[A-Za-z\u0080-\U0010ffff]{3,}")
 
 
 def _term_separators() -> np.ndarray:
@@ -90,63 +89,91 @@ def find_base(text: str) -> list[tuple[int, int, str]]:
     return [(s, e, KINDS[k]) for s, e, k in sorted(found, key=lambda x: (x[0], x[2]))]
 
 
-def _entity(text: str, kind: str) -> str:
-    return f"{kind}:{_digits(text) if kind in ('card', 'phone') else text.lower()}"
+def _entity(text: str, kind: str) -> int:
+    value = f"{kind}:{_digits(text) if kind in ('card', 'phone') else text.lower()}"
+    return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _around(text: str, start: int, end: int, base) -> list[tuple[int, int]]:
-    """Spans of the whole words nearest to ``text[start:end]``, none inside a base span."""
-    low, high = max(0, start - REACH), min(len(text), end + REACH)
-    before = [m.span() for m in _TERM.finditer(text, low, start) if m.start() > low or low == 0][-CONTEXT:]
-    after = [m.span() for m in _TERM.finditer(text, end, high) if m.end() < high or high == len(text)][:CONTEXT]
-    return [(s, e) for s, e in before + after if not any(s < y and x < e for x, y, _ in base)]
+def _visible(text: str, base) -> str:
+    """``text`` with its base spans blanked, as long as before."""
+    parts, done = [], 0
+    for s, e, _ in base:
+        if e > done:
+            parts += text[done : max(s, done)], " " * (e - max(s, done))
+            done = e
+    return "".join(parts) + text[done:]
 
 
-_CONTEXTS = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
-_FOUND = "row long, doc long, base array<struct<start:int,end:int,kind:string>>, contexts array<struct<entity:string,term:long,start:int,end:int>>"
+def _terms(texts: list[str], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(term, index of its text, start, end in code points) of every term, in text order."""
+    data, offsets = text_bytes(pa.array(texts, pa.large_string()), lower=True)
+    names, owner, start, end = hasher.spans(data, offsets)
+    place = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=place[1:])
+    long = place[end] - place[start] >= SHORTEST
+    names, owner, start, end = names[long].view(np.int64), owner[long], start[long], end[long]
+    return names, owner, place[start] - place[offsets[owner]], place[end] - place[offsets[owner]]
+
+
+_FOUND = "row long, doc long, base array<struct<start:int,end:int,kind:string>>, entities array<long>, terms array<long>"
+_SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
 
 
 def _finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pattern spans, and the distinct entities and terms of the rows that have any."""
     hasher = WordHasher(_term_separators())
     for whole in batches:
         for batch in byte_slices(whole, "text", PIECE):
-            bases, near, words = [], [], []
-            for text in batch.column(2).fill_null("").to_pylist():
-                base = find_base(text)
-                bases.append([{"start": s, "end": e, "kind": k} for s, e, k in base])
-                row = {}
-                for s, e, kind in base:
-                    for x, y in _around(text, s, e, base):
-                        row[_entity(text[s:e], kind), x, y] = text[x:y]
-                near.append(row)
-                words += row.values()
-            hashes, rows = hasher(*text_bytes(pa.array(words, pa.large_string()), lower=True))
-            # a term is one word, so hash and term go together one to one
-            names = iter(hashes.view(np.int64).tolist())
-            assert len(hashes) == len(words)
-            contexts = [[{"entity": e, "term": next(names), "start": x, "end": y} for e, x, y in row] for row in near]
+            texts = batch.column(2).fill_null("").to_pylist()
+            bases = [find_base(t) for t in texts]
+            names, owner, _, _ = _terms([_visible(t, b) if b else "" for t, b in zip(texts, bases)], hasher)
+            bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1),
-                    pa.array(bases, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))),
-                    pa.array(contexts, _CONTEXTS),
+                    pa.array([[{"start": s, "end": e, "kind": k} for s, e, k in base] for base in bases], pa.list_(_SPAN)),
+                    pa.array([sorted({_entity(t[s:e], k) for s, e, k in base}) for t, base in zip(texts, bases)], pa.list_(pa.int64())),
+                    pa.array([np.unique(names[i:j]) for i, j in zip(bounds, bounds[1:])], pa.list_(pa.int64())),
                 ],
-                names=["row", "doc", "base", "contexts"],
+                names=["row", "doc", "base", "entities", "terms"],
             )
 
 
+def _hits(batches, column: int, bits: np.ndarray):
+    """(slice of a batch, and as ``_terms`` those of its terms that hit the filter)."""
+    hasher = WordHasher(_term_separators())
+    for whole in batches:
+        for batch in byte_slices(whole, "text", PIECE):
+            texts = batch.column(column).fill_null("").to_pylist()
+            found = _terms([_visible(t, find_base(t)) for t in texts], hasher)
+            hit = in_table(bits, found[0].view(np.uint64))
+            yield batch, *(x[hit] for x in found)
+
+
 def _term_rows(bits: np.ndarray):
     """(term, rows with it) per stretch of text, for terms that hit the filter."""
 
     def run(batches):
-        hasher = WordHasher(_term_separators())
-        for whole in batches:
-            for batch in byte_slices(whole, "text", PIECE):
-                names, owner = hasher(*text_bytes(batch.column(0), lower=True))
-                hit = in_table(bits, names)
-                pairs = np.unique(np.stack([names[hit].view(np.int64), owner[hit]], 1), axis=0)
-                terms, count = np.unique(pairs[:, 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(count, pa.int64())], names=["term", "n"])
+        for _, names, owner, _, _ in _hits(batches, 0, bits):
+            order = np.lexsort((owner, names))
+            names, owner = names[order], owner[order]
+            new = np.ones(len(names), bool)
+            new[1:] = (names[1:] != names[:-1]) | (owner[1:] != owner[:-1])
+            terms, count = np.unique(names[new], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(count, pa.int64())], names=["term", "n"])
+
+    return run
+
+
+def _places(bits: np.ndarray):
+    """(row, term, start, end) of every term that hits the filter."""
+
+    def run(batches):
+        for batch, names, owner, start, end in _hits(batches, 1, bits):
+            rows = batch.column(0).take(pa.array(owner))
+            yield pa.RecordBatch.from_arrays(
+                [rows, pa.array(names), pa.array(start, pa.int32()), pa.array(end, pa.int32())], names=["row", "term", "start", "end"]
+            )
 
     return run
 
@@ -158,23 +185,24 @@ def personal_data(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     ``spans``, an array of (start, end, kind, action) in code points, end
     exclusive, by start and then kind. ``kind`` is email, ip, card, phone or
     term; ``action`` is ``mask`` for patterns, ``remove`` or ``generalise``
-    for terms. A null or empty text has no spans. Rows that repeat count as
+    for terms, which are marked wherever they occur, also in rows without an
+    entity. A null or empty text has no spans. Rows that repeat count as
     rows of their own; a null id is handled like any other. Other columns,
     whatever their names, are ignored; an empty table gives an empty result.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     rows = docs.select(row_name("doc", "text").alias("row"), "doc", "text")
     found = cut(map_arrow(rows, _finder, _FOUND), "personal-data")
-    near = found.select("row", F.explode("contexts").alias("c")).select("row", "c.*")
-    disclosing = _disclosing(found, near, docs)
-    terms = near.join(disclosing, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
+    giving = _disclosing(found, docs)
+    hits = map_arrow(rows.select("row", "text"), _places(bit_table(giving, "term", FILTER_BITS)), "row long, term long, start int, end int")
+    terms = hits.join(few(giving), "term")
     action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
     span = lambda s, e, k, a: F.struct(s.alias("start"), e.alias("end"), k.alias("kind"), a.alias("action"))
     terms = terms.select("row", span(F.col("start"), F.col("end"), F.lit("term"), action).alias("s"))
-    terms = terms.groupBy("row").agg(F.collect_list("s").alias("terms"))  # at most 2 CONTEXT for each span of one text
+    terms = terms.groupBy("row").agg(F.collect_set("s").alias("terms"))  # a set, as rows of one name repeat its spans
     base = F.transform("base", lambda b: span(b["start"], b["end"], b["kind"], F.lit("mask")))
     both = F.concat(base, F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,kind:string,action:string>>")))
-    return found.join(terms, "row", "left").select(F.col("doc").alias(id_col), "row", _ordered(both).alias("spans"))
+    return found.select("row", "doc", "base").join(terms, "row", "left").select(F.col("doc").alias(id_col), "row", _ordered(both).alias("spans"))
 
 
 def _ordered(spans):
@@ -187,18 +215,20 @@ def _ordered(spans):
     )
 
 
-def _disclosing(found: DataFrame, near: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, share of the entity's information that the term gives away) above the lower threshold."""
-    total = found.count()
-    shared = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    shared = cut(shared, "shared")
+def _disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """(term, largest share of an entity's information that the term gives away) above the lower threshold."""
+    total = float(max(found.count(), 1))
+    with_any = found.where(F.size("entities") > 0)
+    pairs = with_any.select(F.explode("entities").alias("entity"), "terms").select("entity", F.explode("terms").alias("term"))
+    shared = cut(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")), "shared")
     terms = map_arrow(docs.select("text"), _term_rows(bit_table(shared, "term", FILTER_BITS)), "term long, n long")
     terms = terms.groupBy("term").agg(F.sum("n").alias("n_term"))
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    entities = with_any.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     counted = shared.join(terms, "term").join(entities, "entity")
-    content = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    information = F.log2(F.lit(float(max(total, 1))) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    return counted.where(content > 0).select("entity", "term", (information / content).alias("share")).where(F.col("share") >= GENERALISE)
+    content = F.log2(F.lit(total) / F.col("n_entity"))
+    information = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    shares = counted.where(content > 0).select("term", (information / content).alias("share")).where(F.col("share") >= GENERALISE)
+    return cut(shares.groupBy("term").agg(F.max("share").alias("share")), "disclosing")
 
 
 def span_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

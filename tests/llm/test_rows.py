@@ -100,6 +100,21 @@ def test_terms_of_rare_entities(spark):
     assert not any(terms.values())
 
 
+def test_terms_far_from_an_entity_and_without_it(spark):
+    """Counted over whole rows, and marked at every place: far away, again, and in a row without the entity."""
+    far = "the house is old and we go there " * 30
+    rows = [(i, f"Zanzibarián {far} write +49 30 1234567890 {far} zanzibarián and zanzibarián.") for i in range(4)]
+    rows += [(50, f"{far} the zanzibarián")] + [(100 + i, far + "write") for i in range(95)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.personal_data(docs)
+    text = dict(rows)
+    got = {r["doc_id"]: [text[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "term"] for r in found.collect()}
+    assert all(got[i] == ["Zanzibarián", "zanzibarián", "zanzibarián"] for i in range(4)) and got[50] == ["zanzibarián"]
+    assert not any(v for i, v in got.items() if i >= 100)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, found).collect()}
+    assert clean[50] == f"{far} the " and clean[0] == f" {far} write [PHONE] {far}  and ."
+
+
 @pytest.mark.parametrize("frame", ["edge", "small", "nothing"])
 def test_token_counts(request, frame):
     from tokenizers import Tokenizer
