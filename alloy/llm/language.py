@@ -7,6 +7,10 @@ hashed to ``SLOTS`` presence slots. A bounded sample of labelled texts is
 mapped on landmark texts; one ridge regression per language, one against the
 rest, is solved on the driver. Scoring multiplies blocks of presence rows with
 the landmark rows already folded into one weight column per language.
+
+The regressions compare languages with each other; they cannot tell that a text
+is like none of them. That is told by the mean log frequency, among the sampled
+texts of the language found, of the n-grams that the text contains.
 """
 
 from __future__ import annotations
@@ -28,6 +32,9 @@ TRAIN_CHARS = 20_000  # texts longer than this are not taken into the sample
 LANDMARKS = 320
 RIDGE = 1e-3
 MAX_LANGUAGES = 64  # the most frequent labels that are learned
+RARE = 1e-3  # frequency that an n-gram counts with at least
+LOWEST = 0.005  # quantile of a language's own texts that its cut starts from
+MIN_JUDGED = 8  # sampled texts of a language that a cut is drawn from
 HELD_OUT, FOLDS = 2, 4
 UNKNOWN = "und"
 
@@ -66,11 +73,41 @@ def _texts_presence(texts: list[str]) -> np.ndarray:
     return np.vstack([presence(*text_bytes(pa.array(texts[i : i + ROWS], pa.large_string()), lower=True)) for i in range(0, len(texts), ROWS)])
 
 
-def fit(texts: list[str], labels: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages, weights per slot and language, constant per language)."""
+def _familiar(rows: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Mean of ``logs`` over the slots of each row."""
+    total = np.concatenate([rows[i : i + 256].astype(np.float32) @ logs for i in range(0, len(rows), 256)])
+    return total / np.maximum(rows.sum(1, dtype=np.int64), 1)
+
+
+def familiarity(rows: np.ndarray, labels: list[str], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(log frequency per slot and language, cut per language under which a text is not like the language).
+
+    A cut lies half-way between the lowest of the language's own texts, each
+    half of them measured by the other half, and the median of the texts of
+    other languages (of a text without any known n-gram if there are none). A
+    language of few sampled texts has no cut: everything passes.
+    """
+    logs, cuts = np.zeros((SLOTS, len(names)), np.float32), np.full(len(names), -np.inf, np.float32)
+    frequency = lambda x: np.log(np.maximum(x.sum(0, dtype=np.int64) / len(x), RARE)).astype(np.float32)
+    found = np.array(labels)
+    for k, name in enumerate(names):
+        mine = rows[found == name]
+        logs[:, k] = frequency(mine)
+        if len(mine) < MIN_JUDGED:
+            continue
+        own = np.concatenate([_familiar(mine[i::2], frequency(mine[1 - i :: 2])) for i in (0, 1)])
+        others = rows[found != name]
+        far = np.median(_familiar(others, logs[:, k])) if len(others) else np.log(RARE)
+        cuts[k] = (np.quantile(own, LOWEST) + far) / 2
+    return logs, cuts
+
+
+def fit(texts: list[str], labels: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(languages, weights per slot and language, constant per language, and the two of ``familiarity``)."""
     names = sorted(set(labels))
     if not names:
-        return [], np.zeros((SLOTS, 0), np.float32), np.zeros(0, np.float32)
+        none = np.zeros((SLOTS, 0), np.float32), np.zeros(0, np.float32)
+        return [], *none, *none
     rows = _texts_presence(texts)
     size = np.maximum(np.sqrt(rows.sum(1, dtype=np.float64)), 1)
     marks = np.arange(len(texts))[:: max(1, len(texts) // LANDMARKS)][:LANDMARKS]
@@ -85,30 +122,35 @@ def fit(texts: list[str], labels: list[str]) -> tuple[list[str], np.ndarray, np.
     gram = (features * weight).T @ (features * weight)
     gram[:-1, :-1] += RIDGE * len(names) * np.eye(gram.shape[0] - 1)
     solved = np.linalg.solve(gram + 1e-9 * np.eye(len(gram)), (features * weight).T @ (target * weight))
-    return names, (landmark.T @ (whiten @ solved[:-1])).astype(np.float32), solved[-1].astype(np.float32)
+    weights, constant = (landmark.T @ (whiten @ solved[:-1])).astype(np.float32), solved[-1].astype(np.float32)
+    return names, weights, constant, *familiarity(rows, labels, names)
+
 
+def _scorer(names, weights, constant, logs, cuts):
+    both = np.hstack([weights, logs])
 
-def _scorer(names, weights, constant):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in byte_slices(whole, "text", 4 * PIECE, ROWS):
                 flags = presence(*text_bytes(batch.column(1), lower=True)).astype(np.float32)
-                size = np.maximum(np.sqrt(flags.sum(1)), 1)
-                out = (flags @ weights) / size[:, None] + constant
-                best = out.argmax(1) if len(names) else np.zeros(len(flags), np.int64)
-                score = np.clip((out[np.arange(len(flags)), best] + 1) / 2, 0, 1) if len(names) else np.zeros(len(flags))
+                size = np.maximum(flags.sum(1), 1)
+                out = flags @ both
+                out, familiar = out[:, : len(names)] / np.sqrt(size)[:, None] + constant, out[:, len(names) :] / size[:, None]
+                best, at = out.argmax(1) if len(names) else np.zeros(len(flags), np.int64), np.arange(len(flags))
+                score = np.clip((out[at, best] + 1) / 2, 0, 1) if len(names) else np.zeros(len(flags))
+                like = familiar[at, best] >= cuts[best] if len(names) else np.zeros(len(flags), bool)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0), batch.column(3), pa.array([names[b] if names else UNKNOWN for b in best], pa.string()),
-                        pa.array(score.astype(np.float64)), batch.column(2),
+                        pa.array(score.astype(np.float64)), batch.column(2), pa.array(like),
                     ],
-                    names=["doc", "row", "lang_pred", "score", "letters"],
+                    names=["doc", "row", "lang_pred", "score", "letters", "like"],
                 )
 
     return run
 
 
-def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple:
     """Fit on at most ``TRAIN_ROWS`` labelled rows outside the held-out fold, spread over languages.
 
     Which rows enter the sample depends on a hash of their id alone.
@@ -133,7 +175,7 @@ def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> tu
 
 
 def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``(id, held_out, row, lang_pred, score)`` of every row, one output row per input row.
+    """``(id, held_out, row, lang_pred, score, like)`` of every row, one output row per input row.
 
     ``row`` is a hash of id and text, by which rows can be found again.
 
@@ -141,20 +183,22 @@ def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mod 4 is not 2; those with 2 are held out. ``lang_pred`` is a learned
     label, or ``und`` (score 0) when the text is null or has no letter, or
     when there is no labelled row at all (as in an empty table). ``score`` is
-    the winning regression's output, from [-1, 1] to [0, 1]. Rows with a null
-    id are scored, never learned from, and not held out. Repeated rows are
+    the winning regression's output, from [-1, 1] to [0, 1]. ``like`` is
+    false where the text is not like the texts of ``lang_pred`` (see
+    ``familiarity``), and for ``und``. Rows with a null id are scored, never learned from, and not held out. Repeated rows are
     scored each. Other columns, whatever their names, are ignored.
     """
-    names, weights, constant = learn(documents, id_col, text_col, lang_col)
+    model = learn(documents, id_col, text_col, lang_col)
     rows = documents.select(
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"),
         F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"), row_name(id_col, text_col).alias("row"),
     )
-    scored = map_arrow(rows, _scorer(names, weights, constant), "doc long, row long, lang_pred string, score double, letters boolean")
+    scored = map_arrow(rows, _scorer(*model), "doc long, row long, lang_pred string, score double, letters boolean, like boolean")
     return scored.select(
         F.col("doc").alias(id_col),
         F.coalesce(remainder("doc", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
         "row",
         F.when(F.col("letters"), F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"),
+        (F.col("letters") & F.col("like")).alias("like"),
     )

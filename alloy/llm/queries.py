@@ -55,7 +55,7 @@ def op7_toxicity(spark, sf_dir):
 
 
 def op8_language_id(spark, sf_dir):
-    return languages(_documents(spark, sf_dir)).drop("row")
+    return languages(_documents(spark, sf_dir)).drop("row", "like")
 
 
 def op9_line_dedup(spark, sf_dir):

@@ -19,14 +19,13 @@ from alloy.llm.neardup import near_duplicates
 from alloy.llm.pieces import encode_with_hash, model_path
 from alloy.sources.tables import read_table
 
-MIN_LANGUAGE_SCORE = 0.25  # less than this is like no learned language at all
 NEAR_PERCENT = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects rows without a letter (null and empty texts too) and rows that resemble no learned language."""
+    """Rejects rows without a letter (null and empty texts too) and rows that are not like the learned texts of the language found for them."""
     judged = languages(docs)
-    rejected = judged.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE))
+    rejected = judged.where((F.col("lang_pred") == UNKNOWN) | ~F.col("like"))
     rejected = cut(rejected.select(F.col("row").alias("rejected_row")).distinct(), "rejected")
     return docs.join(few(rejected), row_name("doc_id", "text") == F.col("rejected_row"), "left_anti")
 

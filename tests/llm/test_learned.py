@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from alloy.llm import language, toxicity
 from alloy.llm.common import text_bytes
 from alloy.sources.tables import read_table
@@ -30,6 +31,23 @@ def test_language_edges(spark, edge, nothing):
     assert language.languages(nothing).collect() == []
 
 
+def test_language_stage_rejects_foreign_and_junk(spark):
+    """Planted texts in languages that nobody labelled, and letter junk; the table's own rows stay."""
+    rng = np.random.default_rng(3)
+    junk = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(n)) for n in (12, 60, 600)]
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+    ]
+    docs = read_table(spark, MIDDLE, "documents")
+    planted = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(junk + foreign)], "doc_id long, text string")
+    out = corpus_pipeline.identify_language(spark, docs.unionByName(planted, allowMissingColumns=True), MIDDLE)
+    left = [r["doc_id"] for r in out.select("doc_id").collect()]
+    assert max(left) < 10**9 and len(left) == docs.where("text RLIKE '\\\\p{L}'").count()
+
+
 def test_presence_rows():
     """Slots of all byte n-grams up to the longest, per text, as sets."""
     texts = ["Abc 12é", "", "b", "été ça"]
