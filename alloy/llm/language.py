@@ -27,11 +27,9 @@ from alloy.llm.common import PIECE, byte_slices, map_arrow, remainder, row_name,
 SLOTS = 1 << 16
 LONGEST = 4
 ROWS = 48  # texts whose presence rows are multiplied together
-TRAIN_ROWS = 1600  # bound on the labelled sample, all languages together
-TRAIN_CHARS = 20_000  # texts longer than this are not taken into the sample
-LANDMARKS = 320
+TRAIN_ROWS = 1600  # bound on the labelled sample, all languages together (one text of each at least)
+LANDMARKS = 320  # one of each language at least
 RIDGE = 1e-3
-MAX_LANGUAGES = 64  # the most frequent labels that are learned
 RARE = 1e-3  # frequency that an n-gram counts with at least
 LOWEST = 0.005  # quantile of a language's own texts that its cut starts from
 MIN_JUDGED = 8  # sampled texts of a language that a cut is drawn from
@@ -69,8 +67,14 @@ def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return flags
 
 
-def _texts_presence(texts: list[str]) -> np.ndarray:
-    return np.vstack([presence(*text_bytes(pa.array(texts[i : i + ROWS], pa.large_string()), lower=True)) for i in range(0, len(texts), ROWS)])
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The presence row of each text as a bit string, 8 KB however long the text is."""
+    for whole in batches:
+        for batch in byte_slices(whole, "text", 4 * PIECE, ROWS):
+            bits = np.packbits(presence(*text_bytes(batch.column(1), lower=True)), axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([b.tobytes() for b in bits], pa.binary()), batch.column(2)], names=["lang", "bits", "place"]
+            )
 
 
 def _familiar(rows: np.ndarray, logs: np.ndarray) -> np.ndarray:
@@ -102,21 +106,23 @@ def familiarity(rows: np.ndarray, labels: list[str], names: list[str]) -> tuple[
     return logs, cuts
 
 
-def fit(texts: list[str], labels: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(languages, weights per slot and language, constant per language, and the two of ``familiarity``)."""
+def fit(rows: np.ndarray, labels: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(languages, weights per slot and language, constant per language, and the two of ``familiarity``).
+
+    ``rows`` are presence rows whose first ones hold every language.
+    """
     names = sorted(set(labels))
     if not names:
         none = np.zeros((SLOTS, 0), np.float32), np.zeros(0, np.float32)
         return [], *none, *none
-    rows = _texts_presence(texts)
     size = np.maximum(np.sqrt(rows.sum(1, dtype=np.float64)), 1)
-    marks = np.arange(len(texts))[:: max(1, len(texts) // LANDMARKS)][:LANDMARKS]
+    marks = np.arange(min(len(rows), max(LANDMARKS, len(names))))
     landmark = rows[marks].astype(np.float32) / size[marks, None].astype(np.float32)
     kernel = np.vstack([rows[i : i + 256].astype(np.float32) @ landmark.T for i in range(0, len(rows), 256)]) / size[:, None]
     values, vectors = np.linalg.eigh(kernel[marks].astype(np.float64))
     use = values > 1e-6 * values.max()
     whiten = vectors[:, use] / np.sqrt(values[use])
-    features = np.hstack([kernel @ whiten, np.ones((len(texts), 1))])
+    features = np.hstack([kernel @ whiten, np.ones((len(rows), 1))])
     target = np.where(np.array(labels)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     weight = 1.0 / np.sqrt(np.array([labels.count(x) for x in labels], np.float64))[:, None]  # languages count alike
     gram = (features * weight).T @ (features * weight)
@@ -151,27 +157,31 @@ def _scorer(names, weights, constant, logs, cuts):
 
 
 def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple:
-    """Fit on at most ``TRAIN_ROWS`` labelled rows outside the held-out fold, spread over languages.
+    """Fit on about ``TRAIN_ROWS`` labelled rows outside the held-out fold, spread over all languages.
 
-    Which rows enter the sample depends on a hash of their id alone.
+    Which rows enter the sample depends on a hash of their id alone. Long texts
+    are taken whole. Only presence rows come to the driver.
     """
     rows = documents.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where(F.col("lang").isNotNull() & (remainder("doc", FOLDS) != HELD_OUT) & (F.char_length("text") <= TRAIN_CHARS))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc", FOLDS) != HELD_OUT))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
-        return fit([], [])
+        return fit(np.zeros((0, SLOTS), np.uint8), [])
     each = max(1, TRAIN_ROWS // len(counts))
-    rank = F.pmod(F.xxhash64(F.col("doc"), F.lit("language")), F.lit(1_000_000))
-    bounds = F.create_map(*[x for c in counts for x in (F.lit(c["lang"]), F.lit(int(min(1.0, 1.3 * each / c["n"]) * 1_000_000)))])
-    sample = rows.where(rank < bounds[F.col("lang")]).select("lang", "text", rank.alias("rank"), "doc")
+    wanted = 1.3 * each + 20  # rows expected under a language's bound: none at all would be a matter of e**-21
+    bounds = documents.sparkSession.createDataFrame([(c["lang"], min(1.0, wanted / c["n"])) for c in counts], "lang string, bound double")
+    rank = F.pmod(F.xxhash64(F.col("doc"), F.lit("language")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    sample = rows.join(F.broadcast(bounds), "lang").where(rank < F.col("bound"))
+    sample = map_arrow(sample.select("lang", "text", (rank / F.col("bound")).alias("place")), _packed, "lang string, bits binary, place double")
     # a bound on what the driver gets, whatever the hash does; then the lowest ranks of each language
-    got = sample.orderBy("rank", "doc", F.xxhash64("text")).limit(2 * TRAIN_ROWS).collect()
-    taken: dict[str, list[str]] = {}
+    got = sample.orderBy("place", "bits").limit(int(2 * wanted * len(counts))).collect()
+    taken: dict[str, list[bytes]] = {}
     for r in got:
         if len(taken.setdefault(r["lang"], [])) < each:
-            taken[r["lang"]].append(r["text"])
-    mixed = [(lang, texts[i]) for i in range(each) for lang, texts in sorted(taken.items()) if i < len(texts)]
-    return fit([t for _, t in mixed], [x for x, _ in mixed])
+            taken[r["lang"]].append(bytes(r["bits"]))
+    mixed = [(lang, bits[i]) for i in range(each) for lang, bits in sorted(taken.items()) if i < len(bits)]
+    packed = np.frombuffer(b"".join(b for _, b in mixed), np.uint8).reshape(len(mixed), SLOTS // 8)
+    return fit(np.unpackbits(packed, axis=1), [x for x, _ in mixed])
 
 
 def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -179,7 +189,7 @@ def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``row`` is a hash of id and text, by which rows can be found again.
 
-    Learned from texts and non-null labels of rows whose crc32(id as text)
+    Every label is learned, from non-null texts and labels of rows whose crc32(id as text)
     mod 4 is not 2; those with 2 are held out. ``lang_pred`` is a learned
     label, or ``und`` (score 0) when the text is null or has no letter, or
     when there is no labelled row at all (as in an empty table). ``score`` is

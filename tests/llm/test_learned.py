@@ -48,6 +48,17 @@ def test_language_stage_rejects_foreign_and_junk(spark):
     assert max(left) < 10**9 and len(left) == docs.where("text RLIKE '\\\\p{L}'").count()
 
 
+def test_every_language_is_learned(spark):
+    """Seventy labels, one of them on long texts alone; each language has an alphabet of its own."""
+    rng = np.random.default_rng(5)
+    word = lambda k: "".join(chr(0x4E00 + 40 * k + c) for c in rng.integers(0, 40, 4))
+    rows = [(100 * k + i, " ".join(word(k) for _ in range(6000 if k == 69 else 30)), f"l{k}") for k in range(70) for i in range(8 + (k < 64))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(t) for _, t, x in rows if x == "l69") > 20_000
+    got = language.languages(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) == len(rows) and all(r["lang_pred"] == r["lang"] for r in got)
+
+
 def test_presence_rows():
     """Slots of all byte n-grams up to the longest, per text, as sets."""
     texts = ["Abc 12é", "", "b", "été ça"]
