@@ -77,13 +77,16 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _familiar(rows: np.ndarray, logs: np.ndarray) -> np.ndarray:
-    """Mean of ``logs`` over the slots of each row."""
-    total = np.concatenate([rows[i : i + 256].astype(np.float32) @ logs for i in range(0, len(rows), 256)])
-    return total / np.maximum(rows.sum(1, dtype=np.int64), 1)
+BLOCK = 64  # rows of the sample unpacked together
 
 
-def familiarity(rows: np.ndarray, labels: list[str], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _blocks(packed: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(index of the first row, presence rows) over rows kept as bits, so that few are unpacked at a time."""
+    for i in range(0, len(packed), BLOCK):
+        yield i, np.unpackbits(packed[i : i + BLOCK], axis=1)
+
+
+def familiarity(packed: np.ndarray, labels: list[str], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(log frequency per slot and language, cut per language under which a text is not like the language).
 
     A cut lies half-way between the lowest of the language's own texts, each
@@ -91,45 +94,57 @@ def familiarity(rows: np.ndarray, labels: list[str], names: list[str]) -> tuple[
     other languages (of a text without any known n-gram if there are none). A
     language of few sampled texts has no cut: everything passes.
     """
-    logs, cuts = np.zeros((SLOTS, len(names)), np.float32), np.full(len(names), -np.inf, np.float32)
-    frequency = lambda x: np.log(np.maximum(x.sum(0, dtype=np.int64) / len(x), RARE)).astype(np.float32)
-    found = np.array(labels)
-    for k, name in enumerate(names):
-        mine = rows[found == name]
-        logs[:, k] = frequency(mine)
-        if len(mine) < MIN_JUDGED:
-            continue
-        own = np.concatenate([_familiar(mine[i::2], frequency(mine[1 - i :: 2])) for i in (0, 1)])
-        others = rows[found != name]
-        far = np.median(_familiar(others, logs[:, k])) if len(others) else np.log(RARE)
+    number = np.searchsorted(names, labels)
+    half, seen = np.zeros(len(labels), np.int64), np.zeros(len(names), np.int64)
+    for i, k in enumerate(number):
+        half[i] = seen[k] % 2
+        seen[k] += 1
+    counts = np.zeros((2, len(names), SLOTS), np.int32)
+    for i, rows in _blocks(packed):
+        for j, row in enumerate(rows, i):
+            counts[half[j], number[j]] += row
+    size = np.stack([seen - seen // 2, seen // 2])
+    log = lambda c, n: np.log(np.maximum(c / np.maximum(n, 1)[:, None], RARE)).astype(np.float32).T
+    logs = log(counts[0] + counts[1], seen)
+    three = np.hstack([logs, log(counts[0], size[0]), log(counts[1], size[1])])
+    del counts
+    mean = np.concatenate([(r.astype(np.float32) @ three) / np.maximum(r.sum(1, dtype=np.int64), 1)[:, None] for _, r in _blocks(packed)])
+    cuts = np.full(len(names), -np.inf, np.float32)
+    for k in np.flatnonzero(seen >= MIN_JUDGED):
+        mine = number == k
+        own = mean[mine, (1 + (1 - half[mine])) * len(names) + k]
+        far = np.median(mean[~mine, k]) if not mine.all() else np.log(RARE)
         cuts[k] = (np.quantile(own, LOWEST) + far) / 2
     return logs, cuts
 
 
-def fit(rows: np.ndarray, labels: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def fit(packed: np.ndarray, labels: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(languages, weights per slot and language, constant per language, and the two of ``familiarity``).
 
-    ``rows`` are presence rows whose first ones hold every language.
+    ``packed`` are presence rows as bits, whose first ones hold every language.
     """
     names = sorted(set(labels))
     if not names:
         none = np.zeros((SLOTS, 0), np.float32), np.zeros(0, np.float32)
         return [], *none, *none
-    size = np.maximum(np.sqrt(rows.sum(1, dtype=np.float64)), 1)
-    marks = np.arange(min(len(rows), max(LANDMARKS, len(names))))
-    landmark = rows[marks].astype(np.float32) / size[marks, None].astype(np.float32)
-    kernel = np.vstack([rows[i : i + 256].astype(np.float32) @ landmark.T for i in range(0, len(rows), 256)]) / size[:, None]
+    size = np.maximum(np.sqrt(np.concatenate([r.sum(1, dtype=np.float64) for _, r in _blocks(packed)])), 1)
+    marks = np.arange(min(len(packed), max(LANDMARKS, len(names))))
+    landmark = np.empty((len(marks), SLOTS), np.float32)
+    for i, rows in _blocks(packed[marks]):
+        np.divide(rows, size[i : i + len(rows), None], out=landmark[i : i + len(rows)], casting="same_kind")
+    kernel = np.vstack([r.astype(np.float32) @ landmark.T for _, r in _blocks(packed)]) / size[:, None]
     values, vectors = np.linalg.eigh(kernel[marks].astype(np.float64))
     use = values > 1e-6 * values.max()
     whiten = vectors[:, use] / np.sqrt(values[use])
-    features = np.hstack([kernel @ whiten, np.ones((len(rows), 1))])
+    features = np.hstack([kernel @ whiten, np.ones((len(packed), 1))])
     target = np.where(np.array(labels)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     weight = 1.0 / np.sqrt(np.array([labels.count(x) for x in labels], np.float64))[:, None]  # languages count alike
     gram = (features * weight).T @ (features * weight)
     gram[:-1, :-1] += RIDGE * len(names) * np.eye(gram.shape[0] - 1)
     solved = np.linalg.solve(gram + 1e-9 * np.eye(len(gram)), (features * weight).T @ (target * weight))
     weights, constant = (landmark.T @ (whiten @ solved[:-1])).astype(np.float32), solved[-1].astype(np.float32)
-    return names, weights, constant, *familiarity(rows, labels, names)
+    del landmark
+    return names, weights, constant, *familiarity(packed, labels, names)
 
 
 def _scorer(names, weights, constant, logs, cuts):
@@ -166,7 +181,7 @@ def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> tu
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc", FOLDS) != HELD_OUT))
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
-        return fit(np.zeros((0, SLOTS), np.uint8), [])
+        return fit(np.zeros((0, SLOTS // 8), np.uint8), [])
     each = max(1, TRAIN_ROWS // len(counts))
     wanted = 1.3 * each + 20  # rows expected under a language's bound: none at all would be a matter of e**-21
     bounds = documents.sparkSession.createDataFrame([(c["lang"], min(1.0, wanted / c["n"])) for c in counts], "lang string, bound double")
@@ -181,7 +196,7 @@ def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> tu
             taken[r["lang"]].append(bytes(r["bits"]))
     mixed = [(lang, bits[i]) for i in range(each) for lang, bits in sorted(taken.items()) if i < len(bits)]
     packed = np.frombuffer(b"".join(b for _, b in mixed), np.uint8).reshape(len(mixed), SLOTS // 8)
-    return fit(np.unpackbits(packed, axis=1), [x for x, _ in mixed])
+    return fit(packed, [x for x, _ in mixed])
 
 
 def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
