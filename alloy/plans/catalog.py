@@ -27,6 +27,7 @@ from alloy.operators import model as M
 from alloy.operators import rules as R
 from alloy.operators import stats as S
 from alloy.plans import medallion
+from alloy.plans.dashboard import section_available
 from alloy.plans.report import REPORT_TYPE, as_document, from_report, to_report
 from alloy.session import scratch_path
 from alloy.sources.generate import LAB_LABEL_STYLES, LAB_RULES, LAB_SPEC, measurement_sql, measurements_for
@@ -437,11 +438,10 @@ COARSE = ("volume_ml", "ph", "concentration")
 
 def q_section_available(spark, sf_dir):
     """Which sections a stored report offers: those present, and one that is not."""
-    cells = from_report(as_document(_report(spark, sf_dir)))
+    doc = as_document(_report(spark, sf_dir))
     wanted = [f"{r.name}_Analysis" for r in LINEITEM_RULES] + ["Diseases_Count", "Absent_Analysis"]
-    asked = spark.createDataFrame([(w,) for w in wanted], "section string")
-    have = cells.select("section").distinct().withColumn("present", F.lit(True))
-    return asked.join(have, "section", "left").select("section", F.coalesce("present", F.lit(False)).alias("available"))
+    asked = [F.struct(F.lit(w).alias("section"), section_available(doc, w).alias("available")) for w in wanted]
+    return doc.select(F.inline(F.array(*asked)))
 
 
 def q_audit_log(spark, sf_dir):

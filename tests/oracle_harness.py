@@ -48,6 +48,10 @@ def _norm(v):
         if math.isnan(v):
             return "NaN"
         return v if EXACT else float(f"{v:.9g}")
+    if isinstance(v, (list, tuple)):  # arrays and rows
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(_norm(x) for x in v.values())
     return v
 
 

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from alloy.plans import catalog
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from oracle_harness import compare, duck
 
 SLOW = {"rf_gate"}

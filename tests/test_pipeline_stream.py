@@ -13,7 +13,7 @@ from alloy.sources.generate import LAB_RULES, LAB_SPEC, measurements
 from alloy.sources.layers import BRONZE_SCHEMA, SchemaMismatch, read_layer, read_report, write_layer, write_sink
 from alloy.sources.tables import LINEITEM_RULES, LINEITEM_SPEC, read_table
 from alloy.streaming.refresh import latest, refresh
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def test_read_layer_rejects_drift(spark, tmp_dir):

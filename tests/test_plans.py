@@ -10,7 +10,7 @@ from alloy.operators import rules as R
 from alloy.operators import stats as S
 from alloy.plans.report import to_report
 from alloy.sources.tables import LINEITEM_RULES, LINEITEM_SPEC, read_table
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def plan(df) -> str:
