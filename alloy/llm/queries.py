@@ -12,9 +12,12 @@ from alloy.llm.language import languages
 from alloy.llm.licenses import known_licenses, licenses_sql, scan_licenses
 from alloy.llm.lines import dedup_lines, lines_sql
 from alloy.llm.neardup import near_duplicates
+from alloy.llm.periodic import periodic_runs, planted_tails, run_digest
 from alloy.llm.pieces import encode_with_hash, model_path
 from alloy.llm.pii import personal_data, span_digest
 from alloy.llm.quality import quality
+from alloy.llm.search import search, search_sql
+from alloy.llm.token_files import id_digest, read_ids, write_ids
 from alloy.llm.tokens import token_counts, tokenizer_path
 from alloy.llm.toxicity import toxicity
 from alloy.sources.tables import read_table
@@ -71,6 +74,19 @@ def op10_sentencepiece(spark, sf_dir):
     return encode_with_hash(_documents(spark, sf_dir), model_path("piece_bpe_32k.model"))
 
 
+def op11_token_files(spark, sf_dir):
+    """Place and digest of every document's ids, read back from the files they were written to."""
+    return id_digest(read_ids(write_ids(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    return run_digest(periodic_runs(_documents(spark, sf_dir), tails=planted_tails))
+
+
+def op13_ranked_search(spark, sf_dir):
+    return search(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -82,9 +98,13 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_token_files": op11_token_files,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE: dict[str, str] = {
     "op6_license_scan": licenses_sql(),
     "op9_line_dedup": lines_sql(),
+    "op13_ranked_search": search_sql(),
 }

@@ -130,3 +130,28 @@ def personal(text: str | None) -> list[tuple[str, int, int]]:
     found += [("phone", *m.span()) for m in PHONE.finditer(text) if 10 <= len(digits(m)) <= 15]
     place = ("email", "ip", "card", "phone")
     return sorted(found, key=lambda x: (x[1], place.index(x[0])))
+
+
+SEARCH_TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def search_terms(text: str | None) -> list[str]:
+    return SEARCH_TERM.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def runs(words: list, shortest: int = 6, exponent: int = 4) -> list[tuple[int, int, int]]:
+    """(start, length, period) of every maximal run, by its smallest period."""
+    seen: set[tuple[int, int]] = set()
+    out = []
+    for q in range(1, len(words) // exponent + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            length = j + q - i
+            if j > i and length >= max(shortest, exponent * q) and (i, length) not in seen:
+                seen.add((i, length))
+                out.append((i, length, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
