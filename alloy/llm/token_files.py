@@ -29,6 +29,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,12 +56,19 @@ _HEADER, _ENTRY, _FOOTER = struct.Struct("<II"), struct.Struct("<III"), struct.S
 _DOCUMENT = np.dtype([("id", "<i8"), ("has_id", "u1"), ("end", "<u8")])
 # a space or line feed between two visible characters: no token of a byte-level BPE crosses it from the left
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_WORD = re.compile(r"[ \n]?[^ \n]+")
 
 _MANIFEST = "part int, file string, n_docs long, n_ids long, first_id long, last_id long"
 
 
 class IdEncoder:
-    """Ids of texts as bytes; equal stretches, words mostly, are given to the library once."""
+    """Ids of texts as bytes; equal stretches, words mostly, are given to the library once.
+
+    A plain word is a run of visible characters with at most one space or line
+    feed before it. A text that consists of plain words is cut between them,
+    any other wherever ``_CUT`` allows it; either way the parts have the same
+    ids together as apart.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -69,34 +77,67 @@ class IdEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, stretches: list[str]) -> list[bytes]:
-        out, held, batch = [], 0, []
-        for i, s in enumerate(stretches):
-            batch.append(s)
-            held += len(s)
-            if held >= BATCH_BYTES or i + 1 == len(stretches):
-                out += [np.array(e.ids, "<u4").tobytes() for e in self.encode(batch, add_special_tokens=False)]
+        # a byte-level token stands for exactly as many bytes as its name has characters
+        self.width = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        for name, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.width[i] = len(name)
+        self.known: dict[str, bytes] = {}  # plain words only
+
+    def _apart(self, parts: list[str]) -> dict[str, bytes]:
+        found = self.encode(parts, add_special_tokens=False) if parts else []
+        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(parts, found)}
+
+    def _together(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of plain words that start with a blank, encoded as running text and told apart by their bytes."""
+        out, batch, held = {}, [], 0
+        for i, w in enumerate(words):
+            batch.append(w)
+            held += len(w)
+            if held >= BATCH_BYTES or i + 1 == len(words):
+                ids = np.array(self.encode(["".join(batch)], add_special_tokens=False)[0].ids, "<u4")
+                ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in batch])
+                ends = 4 * np.searchsorted(np.cumsum(self.width[ids]), ends, side="right")
+                raw = ids.tobytes()
+                out.update(zip(batch, (raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))))
                 batch, held = [], 0
         return out
 
-    def __call__(self, text: str) -> Iterator[bytes]:
-        """The ids of ``text``, a bounded stretch of it at a time."""
-        at = 0
-        while at < len(text):
-            end = _CUT.search(text, at + PIECE) if len(text) - at > PIECE else None
-            end = end.start() if end else len(text)
-            words = _CUT.split(text[at:end])
-            new = list(set(words).difference(self.known))
-            if len(self.known) + len(new) > KNOWN:
-                self.known.clear()
-                new = list(set(words))
-            found = dict(zip(new, self._ids(new)))
-            self.known |= {w: ids for w, ids in found.items() if len(w) <= LONGEST_KNOWN}
-            lookup = self.known if max(map(len, found), default=0) <= LONGEST_KNOWN else self.known | found
-            yield b"".join(map(lookup.__getitem__, words))
-            at = end
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        known = self.known
+        words = [_WORD.findall(t) for t in texts]
+        new = set(chain.from_iterable(words)).difference(known)
+        odd = {w for w in new if not _plain(w)}
+        new -= odd
+        other: set[str] = set()
+        for i, text in enumerate(texts):
+            if len("".join(words[i])) != len(text) or not odd.isdisjoint(words[i]):
+                words[i] = _CUT.split(text)
+                other.update(words[i])
+        other -= known.keys()
+        new |= {w for w in other if _plain(w)}
+        known |= self._together([w for w in new if w[0] in " \n"])
+        known |= self._apart([w for w in new if w[0] not in " \n"])
+        found = self._apart(list(other - known.keys()))
+        lookup = known | found if found else known
+        return [b"".join(map(lookup.__getitem__, w)) for w in words]
+
+
+def _plain(word: str) -> bool:
+    return word.split() == [word.lstrip(" \n")]
+
+
+def stretches(text: str) -> Iterator[str]:
+    """``text`` in parts of about ``PIECE`` characters that have the same ids together as apart."""
+    at = 0
+    while len(text) - at > PIECE:
+        end = _CUT.search(text, at + PIECE)
+        if not end:
+            break
+        yield text[at : end.start()]
+        at = end.start()
+    yield text[at:] if at else text
 
 
 @functools.cache
@@ -202,20 +243,37 @@ def _open(folder: str):
 def _writer(folder: str, tokenizer: str, end_id: int, frame_bytes: int):
     end = np.array([end_id], "<u4").tobytes()
 
+    def parts(batches) -> Iterator[tuple[int | None, str, bool]]:
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                cut = list(stretches(text.as_py() or ""))
+                yield from ((doc, part, i + 1 == len(cut)) for i, part in enumerate(cut))
+
+    def bundles(batches) -> Iterator[list[tuple[int | None, str, bool]]]:
+        bundle, held = [], 0
+        for part in parts(batches):
+            bundle.append(part)
+            held += len(part[1])
+            if held >= PIECE:
+                yield bundle
+                bundle, held = [], 0
+        if bundle:
+            yield bundle
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, out = _encoder(tokenizer), None
         part = TaskContext.get().partitionId()
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if out is None:
-                    fs, path = _open(folder)
-                    name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}.zst"
-                    fs.create_dir(path)
-                    out = FrameWriter(fs.open_output_stream(f"{path}/{name}", compression=None), frame_bytes)
-                for ids in encode(text.as_py() or ""):
-                    out.add(ids)
-                out.add(end)
-                out.end_document(doc)
+        for bundle in bundles(batches):
+            if out is None:
+                fs, path = _open(folder)
+                name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}.zst"
+                fs.create_dir(path)
+                out = FrameWriter(fs.open_output_stream(f"{path}/{name}", compression=None), frame_bytes)
+            for (doc, _, last), ids in zip(bundle, encode([text for _, text, _ in bundle])):
+                out.add(ids)
+                if last:
+                    out.add(end)
+                    out.end_document(doc)
         if out is not None:
             out.close()
             known = [d for d, has_id, _ in out.documents if has_id]

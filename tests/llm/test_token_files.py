@@ -37,7 +37,7 @@ def test_ids_read_back(request, frame):
 @pytest.mark.parametrize(
     "text",
     ["", " ", "  a  b", "a\n\nb\nc \n d", "a\tb c\r\nd", "x<|endoftext|> y <|endoftext|>", "it's we'll 'tis  ' s", "a b c d e　 f", "\x1c a\x1fb c",
-     "漢字 かな\nкири лл", "\U0001f600 \U0001f600\n\U0001f600", "1 22 333\n4444", "end ", "\n", "a \u0085 b"],
+     "漢字 かな\nкири лл", "\U0001f600 \U0001f600\n\U0001f600", "1 22 333\n4444", "end ", "\n", "a \u0085 b", "a\t b a\t", "x a\t", "a\u3000 b\n\u2009c d"],
 )
 def test_encoder_equals_the_library(text, monkeypatch):
     want = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
@@ -45,7 +45,12 @@ def test_encoder_equals_the_library(text, monkeypatch):
         monkeypatch.setattr(tf, "PIECE", piece)
         for known in (0, 400_000):
             monkeypatch.setattr(tf, "KNOWN", known)
-            assert np.frombuffer(b"".join(tf.IdEncoder(PATH)(text)), "<u4").tolist() == want
+            encode = tf.IdEncoder(PATH)
+            for _ in range(2):  # the second time from memory
+                got = encode([*tf.stretches(text)])
+                assert np.frombuffer(b"".join(got), "<u4").tolist() == want
+            between = encode(["x a\t", text, "a\t b a\t c", text])
+            assert np.frombuffer(between[1], "<u4").tolist() == np.frombuffer(between[3], "<u4").tolist() == want
 
 
 def _file(tmp_path, sizes, frame_bytes=400):
