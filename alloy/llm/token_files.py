@@ -46,7 +46,7 @@ from alloy.session import scratch_path
 END_ID = 0
 FRAME_BYTES = 1 << 20
 LEVEL = 3
-KNOWN = 400_000  # stretches whose ids a task remembers
+KNOWN = 1_000_000  # words whose ids a worker remembers, about 200 bytes each
 LONGEST_KNOWN = 64
 BATCH_BYTES = 1 << 18  # bytes given to the tokenizer at a time
 # fixed values of the seekable zstandard format
@@ -87,9 +87,9 @@ class IdEncoder:
         found = self.encode(parts, add_special_tokens=False) if parts else []
         return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(parts, found)}
 
-    def _together(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of plain words that start with a blank, encoded as running text and told apart by their bytes."""
-        out, batch, held = {}, [], 0
+    def _together(self, words: list[str]) -> None:
+        """Remember plain words that start with a blank, encoded as running text and told apart by their bytes."""
+        batch, held = [], 0
         for i, w in enumerate(words):
             batch.append(w)
             held += len(w)
@@ -98,30 +98,45 @@ class IdEncoder:
                 ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in batch])
                 ends = 4 * np.searchsorted(np.cumsum(self.width[ids]), ends, side="right")
                 raw = ids.tobytes()
-                out.update(zip(batch, (raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))))
+                ends = ends.tolist()
+                self.known.update(zip(batch, [raw[a:b] for a, b in zip([0, *ends], ends)]))
                 batch, held = [], 0
-        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KNOWN:
             self.known.clear()
         known = self.known
         words = [_WORD.findall(t) for t in texts]
-        new = set(chain.from_iterable(words)).difference(known)
+        flat = list(chain.from_iterable(words))
+        found = list(map(known.get, flat))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = {flat[i] for i in missing}
         odd = {w for w in new if not _plain(w)}
-        new -= odd
-        other: set[str] = set()
-        for i, text in enumerate(texts):
-            if len("".join(words[i])) != len(text) or not odd.isdisjoint(words[i]):
-                words[i] = _CUT.split(text)
-                other.update(words[i])
-        other -= known.keys()
-        new |= {w for w in other if _plain(w)}
-        known |= self._together([w for w in new if w[0] in " \n"])
-        known |= self._apart([w for w in new if w[0] not in " \n"])
-        found = self._apart(list(other - known.keys()))
-        lookup = known | found if found else known
-        return [b"".join(map(lookup.__getitem__, w)) for w in words]
+        self._learn(new - odd)
+        for i in missing:
+            found[i] = known.get(flat[i])
+        out, at = [], 0
+        for text, its in zip(texts, words):
+            end = at + len(its)
+            if len("".join(its)) != len(text) or odd and not odd.isdisjoint(its):
+                out.append(self._other(text))
+            else:
+                out.append(b"".join(found[at:end]))
+            at = end
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        self._together([w for w in words if w[0] in " \n"])
+        self.known.update(self._apart([w for w in words if w[0] not in " \n"]))
+
+    def _other(self, text: str) -> bytes:
+        """Ids of a text that does not consist of plain words."""
+        parts = _CUT.split(text)
+        new = set(parts).difference(self.known)
+        plain = {p for p in new if _plain(p)}
+        self._learn(plain)
+        rest = self._apart(list(new - plain))
+        return b"".join([rest[p] if p in rest else self.known[p] for p in parts])
 
 
 def _plain(word: str) -> bool:

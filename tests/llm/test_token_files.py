@@ -53,6 +53,13 @@ def test_encoder_equals_the_library(text, monkeypatch):
             assert np.frombuffer(between[1], "<u4").tolist() == np.frombuffer(between[3], "<u4").tolist() == want
 
 
+def test_words_of_every_latin_character():
+    texts = [f"a {c}{d} x{c}1 {c}'s\n{d}" for c in map(chr, [*range(0x21, 0x7F), *range(0xA0, 0x260)]) for d in "aÉ.9'"]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in tf.IdEncoder(PATH)(texts)] == want
+
+
 def _file(tmp_path, sizes, frame_bytes=400):
     path = str(tmp_path / "a.zst")
     out = tf.FrameWriter(pa.fs.LocalFileSystem().open_output_stream(path, compression=None), frame_bytes)
