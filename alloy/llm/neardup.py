@@ -7,10 +7,12 @@ the same turn with probability ``s``. The upper levels pick once and separate
 what merely shares a passage; nodes that still have many members below them
 branch on with ``BRANCH`` picks each, where two sets stay together somewhere
 with a probability bounded by the fixed point of ``q = 1 - (1 - s q)**BRANCH``.
-The number of trees follows from both and the wanted recall. Nodes with few
-members are compared exhaustively; those that are still large at the last
-level are compared with a centre, then whatever that left unconnected is
-compared with all members of its node, in blocks.
+The number of trees follows from both and the wanted recall. Branching goes on
+until nodes are small; nodes with equal members, as near copies that stay
+together in most trees make them, are one. Small nodes are compared
+exhaustively. A large node that does not come apart, because most members take
+the same turn, is compared with a centre, then whatever that left unconnected
+with all members of the node, in blocks.
 
 The comparison inside a node uses a sample of the shingle hashes (all of them
 for sets of up to ``SAMPLE`` shingles). It only nominates pairs; each nominated
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, byte_slices, constants, cut, few, is_empty, map_arrow, mix, shingle_sets, text_bytes
+from alloy.llm.common import PIECE, WordHasher, byte_slices, constants, cut, few, is_empty, map_arrow, mix, row_name, shingle_sets, text_bytes
 from alloy.llm.components import connected_components
 
 WIDTH = 5
@@ -38,14 +40,14 @@ COORDINATES = 48  # min-wise shingles that the lower levels pick from
 SAMPLE = 256  # a set's sample holds every 2**-level-th hash; up to this many expected
 BRANCH = 2
 UPPER = 0.32  # the upper levels end where a pair at the threshold is together with this probability
-LOWER_LEVELS = 2
+LOWER_LEVELS = 12  # at most; what is large then is treated like a node that does not come apart
 SMALL_NODE = 256  # members that one task compares with each other
 COLUMNS = 4096  # sample hashes multiplied at a time within a node
 REST_BLOCK = 64
 RECALL = 0.9999
 SLACK = 4.5  # standard deviations between the threshold and a pair that is dropped unseen
 
-_SKETCH = "doc long, n_shingles long, digest binary, paths array<long>, coords binary, level int, sample binary"
+_SKETCH = "doc long, row long, n_shingles long, digest binary, paths array<long>, coords binary, level int, sample binary"
 
 
 def trees_for(similarity: float, recall: float) -> tuple[int, int]:
@@ -72,7 +74,7 @@ def _sketches(width: int, depth: int, trees: int):
         factors = constants(COORDINATES + depth * trees, 101)  # every turn of every tree has its own
         for whole in batches:
             for batch in byte_slices(whole, "text", PIECE):
-                ids = batch.column(0).to_pylist()
+                ids, names = batch.column(0).to_pylist(), batch.column(2)
                 out: dict[str, list] = {k: [] for k in ("doc", "n", "digest", "paths", "coords", "level", "sample")}
                 sets = _sets_of(batch.column(1), hasher, width)
                 filled = [s for s in sets if len(s)]
@@ -99,11 +101,11 @@ def _sketches(width: int, depth: int, trees: int):
                     k += 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(out["doc"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["digest"], pa.binary()),
+                        pa.array(out["doc"], pa.int64()), names, pa.array(out["n"], pa.int64()), pa.array(out["digest"], pa.binary()),
                         pa.array(out["paths"], pa.list_(pa.int64())), pa.array(out["coords"], pa.binary()),
                         pa.array(out["level"], pa.int32()), pa.array(out["sample"], pa.binary()),
                     ],
-                    names=["doc", "n_shingles", "digest", "paths", "coords", "level", "sample"],
+                    names=["doc", "row", "n_shingles", "digest", "paths", "coords", "level", "sample"],
                 )
 
     return run
@@ -146,17 +148,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
 
 
-def _members(nodes: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(nodes.ravel().view(np.int64)), pa.array(np.repeat(docs, nodes.shape[1]))], names=["node", "doc"]
-    )
-
-
 def _next_paths(batches):
     for batch in batches:
         if batch.num_rows:
-            nodes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            yield _members(_children(nodes, _matrix(batch.column(2)), BRANCH), batch.column(1).to_numpy(zero_copy_only=False))
+            parents, docs = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            nodes = _children(parents.view(np.uint64), _matrix(batch.column(2)), BRANCH)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(parents, BRANCH)), pa.array(nodes.ravel().view(np.int64)), pa.array(np.repeat(docs, BRANCH))],
+                names=["parent", "node", "doc"],
+            )
 
 
 def _overlaps(samples: list[np.ndarray], levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +203,9 @@ def nominate(docs, sizes, levels, samples, similarity: float, side: np.ndarray |
     if not len(a):
         return []
     clear = estimate[a, b] >= similarity + np.where(exact[a, b], 0, spread[a, b])
-    order = np.lexsort((-estimate[a, b], ~clear))
+    # by ids, so that nodes which share members nominate the same pairs
+    name = np.asarray(docs)
+    order = np.lexsort((np.maximum(name[a], name[b]), np.minimum(name[a], name[b]), ~clear))
     parent = list(range(len(docs)))
 
     def find(x):
@@ -325,7 +327,8 @@ def near_duplicates(
     A text with fewer than ``width`` words has its whole sequence as its one
     shingle; a null, empty or blank text has the empty set and is linked with
     nothing. Rows that repeat an id are one document: the one with the largest
-    set stands (ties: smallest digest). Rows with a null id have no identity
+    set stands (ties: smallest digest of the set, then smallest hash of the
+    text), in every step. Rows with a null id have no identity
     and are left out. Other columns, whatever their names, are ignored. An
     empty table gives an empty result. Sets are compared as 64-bit shingle
     hashes. A link that is the only connection of its documents is found with
@@ -335,12 +338,15 @@ def near_duplicates(
     docs = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where(
         "doc IS NOT NULL"
     )
+    docs = docs.select("doc", "text", row_name("doc", "text").alias("row"))
     sketches = cut(map_arrow(docs, _sketches(width, *trees_for(similarity, recall)), _SKETCH), "sketches")
     seen = sketches.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc").alias("d")).first()
     if seen["n"] != seen["d"]:
-        best = F.max_by(F.struct("n_shingles", "digest", "paths", "coords", "level", "sample"), F.struct("n_shingles", "digest"))
+        rank = F.struct((-F.col("n_shingles")).alias("n"), "digest", "row")
+        best = F.min_by(F.struct(*(c for c in sketches.columns if c != "doc")), rank)
         sketches = cut(sketches.groupBy("doc").agg(best.alias("s")).select("doc", "s.*"), "one-per-id")
-        docs = docs.groupBy("doc").agg(F.max_by("text", F.length("text")).alias("text"))
+        docs = docs.join(sketches.select("doc", "row"), ["doc", "row"], "left_semi").dropDuplicates(["doc"])  # equal texts
+    docs = docs.select("doc", "text")
 
     # documents with equal sets are one class, represented by its smallest id
     classes = cut(
@@ -349,8 +355,7 @@ def near_duplicates(
     small, large = _nodes(sketches, classes)
 
     sketch = sketches.select("doc", "n_shingles", "level", "sample")
-    width_of = ("doc", "n_shingles", "level", "sample")
-    members = small.join(sketch, "doc").select("node", *width_of).repartition("node").sortWithinPartitions("node")
+    members = small.join(sketch, "doc").select("node", *sketch.columns).repartition("node").sortWithinPartitions("node")
     pairs = map_arrow(members, _compare(similarity, 1, False), "u long, v long")
     if large is None:
         links = _confirm(pairs, docs, percent, width)
@@ -371,24 +376,38 @@ def near_duplicates(
     )
 
 
+def _distinct_nodes(paths: DataFrame, name: str) -> DataFrame:
+    """``paths`` with ``n``, the members of each node, without nodes of one member; of nodes with equal members one stays."""
+    marks = (F.bit_xor(F.xxhash64("doc", F.lit(i))).alias(f"mark{i}") for i in range(2))
+    nodes = paths.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *marks).where("n > 1")
+    nodes = nodes.groupBy("n", "mark0", "mark1").agg(F.min("node").alias("node")).select("node", "n")
+    return cut(paths.join(nodes, "node"), name)
+
+
 def _nodes(sketches: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Members (node, doc) of nodes small enough to compare, and of those still large at the last level."""
+    """Members (node, doc) of nodes small enough to compare, and of large ones that do not come apart."""
     reps = sketches.select("doc", "paths").join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi")
-    paths = reps.select(F.explode("paths").alias("node"), "doc")
-    small = None
+    members = _distinct_nodes(reps.select(F.explode("paths").alias("node"), "doc"), "nodes")
+    small = members.where(F.col("n") <= SMALL_NODE).select("node", "doc")
+    large = members.where(F.col("n") > SMALL_NODE)
+    kept = None
     for level in range(LOWER_LEVELS):
-        counts = paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        members = cut(paths.join(counts, "node"), f"nodes-{level}")
-        done = members.where(F.col("n") <= SMALL_NODE).select("node", "doc")
-        small = done if small is None else small.union(done)
-        large = members.where(F.col("n") > SMALL_NODE)
         if is_empty(large):
-            return small, None
-        if level == LOWER_LEVELS - 1:
-            return small, large
+            return small, kept
         rows = large.join(sketches.select("doc", "coords"), "doc").select("node", "doc", "coords")
-        paths = cut(map_arrow(rows, _next_paths, "node long, doc long"), "branches")
-    raise AssertionError("unreachable")
+        paths = cut(map_arrow(rows, _next_paths, "parent long, node long, doc long"), "branches")
+        # a node of whose members most take the same turn is compared as it is
+        most = paths.groupBy("parent", "node").agg(F.count(F.lit(1)).alias("n_child")).groupBy("parent").agg(F.max("n_child").alias("n_child"))
+        sizes = large.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+        whole = cut(most.join(sizes, most["parent"] == sizes["node"]).where("2 * n_child > n").select("node"), "whole")
+        stays = large.join(whole, "node", "left_semi").select("node", "doc")
+        kept = stays if kept is None else kept.union(stays)
+        apart = paths.join(whole.withColumnRenamed("node", "parent"), "parent", "left_anti").select("node", "doc")
+        members = _distinct_nodes(apart, f"nodes-{level}")
+        small = small.union(members.where(F.col("n") <= SMALL_NODE).select("node", "doc"))
+        large = members.where(F.col("n") > SMALL_NODE)
+    large = large.select("node", "doc")
+    return small, large if kept is None else kept.union(large)
 
 
 def _centre_pairs(large: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:

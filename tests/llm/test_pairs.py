@@ -60,6 +60,26 @@ def test_rows_of_one_id_are_one_document(spark):
     assert _near(df) == {1: (3, 1, True), 2: (3, 1, False)}
 
 
+def test_an_id_with_two_texts_is_the_same_one_in_every_step(spark):
+    """The set that stands for an id is sketched and confirmed; a longer text with fewer shingles is neither."""
+    a = [f"w{i}" for i in range(40)]
+    repeated = "the same five words here " * 60
+    rows = [(1, " ".join(a)), (2, " ".join([*a, "more"])), (2, repeated), (3, repeated)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _near(df) == {1: (36, 1, True), 2: (37, 1, False), 3: (5, 3, True)}
+
+
+def test_passages_that_many_share_come_apart(spark):
+    """A large node of texts that are not alike is branched on until its nodes are small."""
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(60)]
+    texts = {}
+    for i in range(900):
+        texts[i] = " ".join([*common, *(f"o{i // 2}_{k}" for k in range(30)), f"last{i if rng.random() < 0.5 else i // 2}"])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    assert _near(df) == _brute_near(texts)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 150)] + [(7, 7), (200, 201), (201, 200)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "u long, v long")).collect()))
