@@ -4,11 +4,19 @@ Patterns find e-mail addresses, IP addresses, card and phone numbers; each
 distinct value is a protected entity. A term is a run of three or more letters
 outside pattern spans. Over the whole corpus it is counted in how many rows an
 entity occurs, in how many a term occurs, and in how many both do, wherever
-they stand. A term discloses an entity by its pointwise mutual information as
+they stand. A term discloses an entity by their pointwise mutual information as
 a share of the entity's information content: 1 when the term occurs only where
-the entity does. Every pair is estimated, also that of an entity and a term
-that share a single row. Terms above ``REMOVE`` for some entity are removed,
-those above ``GENERALISE`` generalised, at every place in every text.
+the entity does. The probability of the entity given the term is taken at its
+lower confidence bound (``Z`` standard errors, ``PRIOR`` rows without the
+entity added), so that a word of fifty rows of which one names an entity does
+not count as giving it away, however large the corpus is. Every pair is
+estimated, also that of an entity and a term that share a single row. Terms
+above ``REMOVE`` for some entity are removed, those above ``GENERALISE``
+generalised, at every place in every text.
+
+Entities of the same rows are one for the estimate, and so are terms, and a
+term in too many rows for any entity is left out beforehand: neither changes a
+result, and a row that lists very many entities makes no pairs of them all.
 """
 
 from __future__ import annotations
@@ -22,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, cut, few, in_table, map_arrow, row_name, text_bytes
+from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, cut, in_table, map_arrow, row_name, text_bytes
 
 SHORTEST = 3  # letters of a term
 REMOVE, GENERALISE = 0.9, 0.75
+Z, PRIOR = 1.0, 0.25
 FILTER_BITS = 1 << 25  # of a bit table of terms: 4 MB however many terms there are
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -115,8 +124,11 @@ def _terms(texts: list[str], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray
     return names, owner, place[start] - place[offsets[owner]], place[end] - place[offsets[owner]]
 
 
-_FOUND = "row long, doc long, base array<struct<start:int,end:int,kind:string>>, entities array<long>, terms array<long>"
-_SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
+# A span is one number: start, then kind (places in KINDS, one more for a term to generalise), then length.
+_KIND, _START = 1 << 29, 1 << 32
+_REMOVED, _GENERALISED = 4, 5
+
+_FOUND = "row long, doc long, base array<long>, entities array<long>, terms array<long>"
 
 
 def _finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +143,7 @@ def _finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1),
-                    pa.array([[{"start": s, "end": e, "kind": k} for s, e, k in base] for base in bases], pa.list_(_SPAN)),
+                    pa.array([[s * _START + KINDS.index(k) * _KIND + e - s for s, e, k in base] for base in bases], pa.list_(pa.int64())),
                     pa.array([sorted({_entity(t[s:e], k) for s, e, k in base}) for t, base in zip(texts, bases)], pa.list_(pa.int64())),
                     pa.array([np.unique(names[i:j]) for i, j in zip(bounds, bounds[1:])], pa.list_(pa.int64())),
                 ],
@@ -166,14 +178,13 @@ def _term_rows(bits: np.ndarray):
 
 
 def _places(bits: np.ndarray):
-    """(row, term, start, end) of every term that hits the filter."""
+    """(row, term, span without a kind) of every term that hits the filter."""
 
     def run(batches):
         for batch, names, owner, start, end in _hits(batches, 1, bits):
             rows = batch.column(0).take(pa.array(owner))
-            yield pa.RecordBatch.from_arrays(
-                [rows, pa.array(names), pa.array(start, pa.int32()), pa.array(end, pa.int32())], names=["row", "term", "start", "end"]
-            )
+            spans = start.astype(np.int64) * _START + (end - start)
+            yield pa.RecordBatch.from_arrays([rows, pa.array(names), pa.array(spans)], names=["row", "term", "span"])
 
     return run
 
@@ -194,41 +205,65 @@ def personal_data(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(row_name("doc", "text").alias("row"), "doc", "text")
     found = cut(map_arrow(rows, _finder, _FOUND), "personal-data")
     giving = _disclosing(found, docs)
-    hits = map_arrow(rows.select("row", "text"), _places(bit_table(giving, "term", FILTER_BITS)), "row long, term long, start int, end int")
-    terms = hits.join(few(giving), "term")
-    action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
-    span = lambda s, e, k, a: F.struct(s.alias("start"), e.alias("end"), k.alias("kind"), a.alias("action"))
-    terms = terms.select("row", span(F.col("start"), F.col("end"), F.lit("term"), action).alias("s"))
-    terms = terms.groupBy("row").agg(F.collect_set("s").alias("terms"))  # a set, as rows of one name repeat its spans
-    base = F.transform("base", lambda b: span(b["start"], b["end"], b["kind"], F.lit("mask")))
-    both = F.concat(base, F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,kind:string,action:string>>")))
-    return found.select("row", "doc", "base").join(terms, "row", "left").select(F.col("doc").alias(id_col), "row", _ordered(both).alias("spans"))
-
-
-def _ordered(spans):
-    place = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
-    keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), place[s["kind"]].alias("place"), s["end"].alias("end"), s["action"].alias("action")))
-    names = F.array(*(F.lit(k) for k in KINDS))
-    return F.transform(
-        F.sort_array(keyed),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.get(names, s["place"]).alias("kind"), s["action"].alias("action")),
-    )
+    hits = map_arrow(rows.select("row", "text"), _places(bit_table(giving, "term", FILTER_BITS)), "row long, term long, span long")
+    kind = F.when(F.col("share") >= REMOVE, F.lit(_REMOVED * _KIND)).otherwise(F.lit(_GENERALISED * _KIND))
+    terms = hits.join(giving, "term").select("row", (F.col("span") + kind).alias("span"))
+    terms = terms.groupBy("row").agg(F.collect_set("span").alias("terms"))  # a set, as rows of one name repeat its spans
+    both = F.concat("base", F.coalesce("terms", F.array().cast("array<long>")))
+    return found.select("row", "doc", "base").join(terms, "row", "left").select(F.col("doc").alias(id_col), "row", _unpacked(both).alias("spans"))
+
+
+def _unpacked(spans):
+    """(start, end, kind, action) of packed spans, by start and then kind."""
+    names = F.array(*(F.lit(k) for k in (*KINDS, "term")))
+    actions = F.array(*(F.lit(a) for a in (*["mask"] * 4, "remove", "generalise")))
+
+    def one(s):
+        start, kind = F.shiftright(s, 32), F.shiftright(s, 29).bitwiseAND(F.lit(7))
+        end = start + s.bitwiseAND(F.lit(_KIND - 1))
+        return F.struct(
+            start.cast("int").alias("start"), end.cast("int").alias("end"),
+            F.get(names, kind.cast("int")).alias("kind"), F.get(actions, kind.cast("int")).alias("action"),
+        )
+
+    return F.transform(F.sort_array(spans), one)
+
+
+def _same_rows(pairs: DataFrame, name: str) -> DataFrame:
+    """Per ``name``: its number of rows, and a mark that those of the same rows share."""
+    marks = [F.sum(F.pmod(F.xxhash64("row", F.lit(i)), F.lit(1 << 31))).alias(f"mark{i}") for i in range(2)]
+    return pairs.groupBy(name).agg(F.count(F.lit(1)).alias("n_rows"), *marks)
+
+
+def _share(n_both, n_term, n_entity, total: float):
+    """The part of an entity's information that a term gives away, at the lower confidence bound."""
+    sure = n_both - F.lit(Z) * F.sqrt(n_both * (1 - n_both / n_term))
+    return 1 + F.log2(sure / (n_term + F.lit(PRIOR))) / F.log2(F.lit(total) / n_entity)
 
 
 def _disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(term, largest share of an entity's information that the term gives away) above the lower threshold."""
     total = float(max(found.count(), 1))
     with_any = found.where(F.size("entities") > 0)
-    pairs = with_any.select(F.explode("entities").alias("entity"), "terms").select("entity", F.explode("terms").alias("term"))
-    shared = cut(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")), "shared")
-    terms = map_arrow(docs.select("text"), _term_rows(bit_table(shared, "term", FILTER_BITS)), "term long, n long")
-    terms = terms.groupBy("term").agg(F.sum("n").alias("n_term"))
-    entities = with_any.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    counted = shared.join(terms, "term").join(entities, "entity")
-    content = F.log2(F.lit(total) / F.col("n_entity"))
-    information = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    shares = counted.where(content > 0).select("term", (information / content).alias("share")).where(F.col("share") >= GENERALISE)
-    return cut(shares.groupBy("term").agg(F.max("share").alias("share")), "disclosing")
+    entities = _same_rows(with_any.select("row", F.explode("entities").alias("entity")), "entity")
+    entities = cut(entities.where(F.col("n_rows") < total).select("entity", "n_rows", F.xxhash64("n_rows", "mark0", "mark1").alias("group")), "entities")
+    terms = cut(_same_rows(with_any.select("row", F.explode("terms").alias("term")), "term"), "terms")
+    everywhere = map_arrow(docs.select("text"), _term_rows(bit_table(terms, "term", FILTER_BITS)), "term long, n long")
+    everywhere = everywhere.groupBy("term").agg(F.sum("n").alias("n_term"))
+    # n_both is at most n_entity, so that the share is at least 1 - x only if n_entity**(1 - x) * total**x >= n_term
+    most = float(entities.agg(F.max("n_rows").alias("n")).first()["n"] or 1)
+    reach = F.pow(F.least(F.col("n_rows"), F.lit(most)), F.lit(GENERALISE)) * total ** (1 - GENERALISE)
+    kin = F.xxhash64("n_term", "n_rows", "mark0", "mark1").alias("kin")
+    terms = cut(terms.join(everywhere, "term").where(reach * (1 + 1e-9) >= F.col("n_term") + PRIOR).select("term", "n_term", kin), "able")
+
+    copies = with_any.groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
+    left = with_any.select("row", F.explode("entities").alias("entity")).join(entities, "entity")
+    left = left.select("row", "group", F.col("n_rows").alias("n_entity")).distinct().join(copies, "row")
+    right = with_any.select("row", F.explode("terms").alias("term")).join(terms, "term").select("row", "kin", "n_term").distinct()
+    both = left.join(right, "row").groupBy("group", "kin", "n_entity", "n_term").agg(F.sum("copies").alias("n_both"))
+    share = _share(F.col("n_both").cast("double"), F.col("n_term"), F.col("n_entity"), total)
+    giving = both.select("kin", share.alias("share")).where(F.col("share") >= GENERALISE).groupBy("kin").agg(F.max("share").alias("share"))
+    return cut(terms.join(giving, "kin").select("term", "share"), "disclosing")
 
 
 def span_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

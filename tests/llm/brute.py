@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -155,3 +156,15 @@ def runs(words: list, shortest: int = 6, exponent: int = 4) -> list[tuple[int, i
                 out.append((i, length, q))
             i = j + 1
     return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def blanked(text: str) -> str:
+    for _, s, e in personal(text):
+        text = text[:s] + " " * (e - s) + text[e:]
+    return text
+
+
+def share(n_both: int, n_term: int, n_entity: int, n: int) -> float:
+    """The part of an entity's information that a term gives away, with one standard error and a quarter row taken off."""
+    sure = n_both - (n_both * (1 - n_both / n_term)) ** 0.5
+    return 1 + math.log2(sure / (n_term + 0.25)) / math.log2(n / n_entity) if sure > 0 else -math.inf

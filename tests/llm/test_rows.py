@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -77,13 +79,10 @@ def test_disclosing_terms_and_sanitising(spark):
     got = {r["doc_id"]: [(s["kind"], rows[r["doc_id"]][1][s["start"] : s["end"]], s["action"]) for s in r["spans"]] for r in found.collect() if r["doc_id"] < 6}
     # it occurs near the entity only; "dear" and the like occur everywhere
     assert all(("term", "zanzibarian", "remove") in v and ("term", "dear", "remove") not in v for v in got.values())
-    # share = log2(N n_both / (n_term n_entity)) / log2(N / n_entity)
-    n = len(rows)
-    share = lambda n_term: math.log2(n * 6 / (n_term * 6)) / math.log2(n / 6)
     terms = {t for v in got.values() for k, t, _ in v if k == "term"}
     near = set("dear zanzibarian you may reach about thanks".split())
     count = {t: sum(t in (x or "").split() for _, x in rows) for t in near}
-    assert terms == {t for t in near if share(count[t]) >= pii.GENERALISE}
+    assert terms == {t for t in near if brute.share(6, count[t], 6, len(rows)) >= pii.GENERALISE}
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, found).collect()}
     assert "jo.doe" not in clean[0] and "zanzibarian" not in clean[0] and "[EMAIL]" in clean[0]
     assert clean[900] is None and clean[100] == rows[6][1]
@@ -112,7 +111,44 @@ def test_terms_far_from_an_entity_and_without_it(spark):
     assert all(got[i] == ["Zanzibarián", "zanzibarián", "zanzibarián"] for i in range(4)) and got[50] == ["zanzibarián"]
     assert not any(v for i, v in got.items() if i >= 100)
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, found).collect()}
-    assert clean[50] == f"{far} the " and clean[0] == f" {far} write [PHONE] {far}  and ."
+    assert brute.share(4, 5, 4, 100) < pii.REMOVE  # one of its five rows has no number
+    assert clean[50] == f"{far} the [TERM]" and clean[0] == f"[TERM] {far} write [PHONE] {far} [TERM] and [TERM]."
+
+
+def _brute_terms(rows):
+    """{(id, text): words to mark} by counting every pair of an entity and a word."""
+    words = [set(re.findall(r"[a-z]{3,}", brute.blanked(t).lower())) for _, t in rows]
+    entities = [{t[s:e].lower() for k, s, e in brute.personal(t)} for _, t in rows]
+    n = len(rows)
+    of_word = Counter(w for ws in words for w in ws)
+    of_entity = Counter(e for es in entities for e in es)
+    both = Counter((e, w) for es, ws in zip(entities, words) for e in es for w in ws)
+    best = {}
+    for (e, w), b in both.items():
+        best[w] = max(best.get(w, 0), brute.share(b, of_word[w], of_entity[e], n) if of_entity[e] < n else 0)
+    return [(i, w, "remove" if best[w] >= pii.REMOVE else "generalise") for (i, _), ws in zip(rows, words) for w in ws if best.get(w, 0) >= pii.GENERALISE]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_disclosing_terms_against_every_pair(spark, seed):
+    """Random rows with shared, rare and repeated entities, a row that lists many, and equal rows."""
+    rng = random.Random(seed)
+    mails = [f"user{i}@mail{i % 7}.org" for i in range(30)]
+    rows = []
+    for i in range(400):
+        text = " ".join(rng.choices("alpha beta gamma delta epsilon".split(), k=8) + [f"w{'xyz'[i % 3]}{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(6)])
+        if rng.random() < 0.2:
+            m = min(int(rng.expovariate(0.2)), 29)
+            text += f" {mails[m]} name{chr(97 + m % 26)}{'ab'[m // 26]}"
+        rows.append((i, text))
+    rows.append((900, " ".join([f"list{i}@dump.org" for i in range(200)] + [f"only{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)])))
+    rows += [(950, "the copied rows name zebulon at copy@mail.org")] * 40
+    found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    got = Counter()
+    text = dict(rows)
+    for r in found:
+        got.update({(r["doc_id"], text[r["doc_id"]][s["start"] : s["end"]], s["action"]) for s in r["spans"] if s["kind"] == "term"})
+    assert got == Counter(_brute_terms(rows))
 
 
 @pytest.mark.parametrize("frame", ["edge", "small", "nothing"])
