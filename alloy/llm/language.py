@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from alloy.llm.common import PIECE, byte_slices, map_arrow, remainder, row_name, text_bytes
@@ -174,26 +174,27 @@ def _scorer(names, weights, constant, logs, cuts):
 def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple:
     """Fit on about ``TRAIN_ROWS`` labelled rows outside the held-out fold, spread over all languages.
 
-    Which rows enter the sample depends on a hash of their id alone. Long texts
-    are taken whole. Only presence rows come to the driver.
+    Which rows enter the sample depends on a hash of id, text and label; equal
+    rows are one. Long texts are taken whole. Only presence rows come to the
+    driver: ``TRAIN_ROWS`` of them, or one per label if there are more labels.
     """
     rows = documents.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc", FOLDS) != HELD_OUT))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    name = F.xxhash64("doc", "text", "lang")
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct(name).alias("n")).collect()
     if not counts:
         return fit(np.zeros((0, SLOTS // 8), np.uint8), [])
     each = max(1, TRAIN_ROWS // len(counts))
-    wanted = 1.3 * each + 20  # rows expected under a language's bound: none at all would be a matter of e**-21
-    bounds = documents.sparkSession.createDataFrame([(c["lang"], min(1.0, wanted / c["n"])) for c in counts], "lang string, bound double")
-    rank = F.pmod(F.xxhash64(F.col("doc"), F.lit("language")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = rows.join(F.broadcast(bounds), "lang").where(rank < F.col("bound"))
-    sample = map_arrow(sample.select("lang", "text", (rank / F.col("bound")).alias("place")), _packed, "lang string, bits binary, place double")
-    # a bound on what the driver gets, whatever the hash does; then the lowest ranks of each language
-    got = sample.orderBy("place", "bits").limit(int(2 * wanted * len(counts))).collect()
+    wanted = 1.5 * each + 25  # different rows expected under a language's bound: none at all would be a matter of e**-21
+    bounds = documents.sparkSession.createDataFrame([(c["lang"], min(1.0, wanted / max(c["n"], 1))) for c in counts], "lang string, bound double")
+    rank = F.pmod(F.xxhash64(name, F.lit("language")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    sample = rows.select("lang", "text", rank.alias("rank")).join(F.broadcast(bounds), "lang").where("rank < bound OR bound >= 1")
+    sample = sample.groupBy("lang", "rank").agg(F.any_value("text").alias("text"))  # copies of a row
+    sample = map_arrow(sample.select("lang", "text", "rank"), _packed, "lang string, bits binary, place double")
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
     taken: dict[str, list[bytes]] = {}
-    for r in got:
-        if len(taken.setdefault(r["lang"], [])) < each:
-            taken[r["lang"]].append(bytes(r["bits"]))
+    for r in sample.withColumn("i", first).where(F.col("i") <= each).orderBy("lang", "i").collect():
+        taken.setdefault(r["lang"], []).append(bytes(r["bits"]))
     mixed = [(lang, bits[i]) for i in range(each) for lang, bits in sorted(taken.items()) if i < len(bits)]
     packed = np.frombuffer(b"".join(b for _, b in mixed), np.uint8).reshape(len(mixed), SLOTS // 8)
     return fit(packed, [x for x, _ in mixed])

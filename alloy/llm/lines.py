@@ -1,10 +1,11 @@
 """Line dedup by site-relative frequency, in DataFrame functions only.
 
 A line is boilerplate on a host when the share of the host's pages that hold
-it exceeds a ratio. Lines are reduced to one row per page, counted per host
-with map-side combining, and the boilerplate lines of a host (at most lines
-per page / ratio of them, whatever the host's size) travel back to its pages
-in a join whose hot hosts are salted.
+it exceeds a ratio. Lines are reduced to one row per page and counted per host
+with map-side combining. The boilerplate lines of a host (at most lines per
+page / ratio of them, whatever the host's size) go back to its pages: sent to
+every task where all hosts' lines are few, else in a join whose hot hosts are
+salted.
 """
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alloy.llm.common import cut
+
 RATIO = 0.05
-MIN_PAGES = 5
+MIN_PAGES = 2  # a line that no second page holds repeats nowhere
 SALTS = 32
+BROADCAST_LINES = 200_000  # names of 12 bytes, a few MB
 
 
 def _lines(text: Column) -> Column:
@@ -29,7 +33,7 @@ def dedup_lines(
 
     A line counts by its text without surrounding blanks, once per row (page).
     It is dropped from all pages of a host when it is on at least ``min_pages``
-    of them and on more than ``ratio`` of all rows of that host. Blank lines
+    (two: a line of one page is no repetition) of them and on more than ``ratio`` of all rows of that host. Blank lines
     neither count nor go. Null and empty hosts are one host. A null text stays
     null, an empty one empty, and a text of boilerplate alone becomes empty.
     Repeated rows are pages of their own. Other columns pass through under
@@ -42,10 +46,14 @@ def dedup_lines(
         "page", F.coalesce(F.col("page").getField(host_col).cast("string"), F.lit("")).alias("host"),
         F.col("page").getField(text_col).alias("body"),
     )
-    flagged = _boilerplate(rows, ratio, min_pages)
-    salt = F.pmod(F.xxhash64(F.col("page").getField(id_col), "body"), F.lit(SALTS)).cast("int")
-    spread = flagged.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = rows.withColumn("salt", salt).join(spread, ["host", "salt"], "left")
+    flagged = cut(_boilerplate(rows, ratio, min_pages), "boilerplate")
+    size = flagged.agg(F.sum(F.size("names") + F.length("host") / 12 + 1).alias("n")).first()["n"] or 0
+    if size <= BROADCAST_LINES:
+        joined = rows.join(F.broadcast(flagged), "host", "left")
+    else:
+        salt = F.pmod(F.xxhash64(F.col("page").getField(id_col), "body"), F.lit(SALTS)).cast("int")
+        spread = flagged.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("salt", salt).join(spread, ["host", "salt"], "left")
     stays = lambda line: (F.trim(line) == "") | ~F.array_contains("names", _name(line))
     body = F.when(F.col("names").isNull(), F.col("body")).otherwise(F.array_join(F.filter(_lines(F.col("body")), stays), "\n"))
     return joined.select(*((body.alias(c) if c == text_col else F.col("page").getField(c).alias(c)) for c in columns))

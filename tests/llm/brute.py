@@ -100,7 +100,7 @@ def leaks(docs: dict[int, str | None], items: dict[int, str | None], coverage: f
     return out
 
 
-def without_boilerplate(rows: list[tuple], ratio: float = 0.05, least: int = 5) -> list[str | None]:
+def without_boilerplate(rows: list[tuple], ratio: float = 0.05, least: int = 2) -> list[str | None]:
     """Texts of (host, text) rows without the lines on too many of the host's pages."""
     pages = Counter(host or "" for host, _ in rows)
     seen = Counter((host or "", x) for host, text in rows for x in {y.strip(" ") for y in (text or "").split("\n")} - {""})

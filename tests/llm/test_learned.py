@@ -1,5 +1,7 @@
 """Learned operators: held-out quality, and their arithmetic against plain forms."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -59,6 +61,19 @@ def test_every_language_is_learned(spark):
     assert len(got) == len(rows) and all(r["lang_pred"] == r["lang"] for r in got)
 
 
+def test_labels_under_one_id_are_learned(spark):
+    """Most rows share an id and a text or an id alone; no label goes missing, whichever id it is."""
+    for hot in (3, 4, 9, 12, 20):
+        rows = [(hot, "the house and the garden of the old man", "en")] * 4000
+        rows += [(hot, f"das alte haus und der garten nummer {i}", "de") for i in range(500)]
+        rows += [(1000 + i, f"la maison et le jardin du vieux numero {i}", "fr") for i in range(500)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+        if zlib.crc32(str(hot).encode()) % 4 == 2:
+            continue
+        names, *_ = language.learn(df, "doc_id", "text", "lang")
+        assert names == ["de", "en", "fr"]
+
+
 def test_presence_rows():
     """Slots of all byte n-grams up to the longest, per text, as sets."""
     texts = ["Abc 12é", "", "b", "été ça"]

@@ -174,3 +174,23 @@ def test_stages_on_edge_rows(spark, edge, nothing):
                 assert out.columns == docs.columns, name
             docs = out
         docs.collect()
+
+
+def test_pipeline_near_dedup_keeps_different_texts_of_one_id(spark):
+    rows = [(1, "a clean text of its own with quite a few words", "x"), (1, "another one that nobody else has written at all", "y")]
+    rows += [(2, "a copy that two rows share word for word here", "b"), (2, "a copy that two rows share word for word here", "a")]
+    rows += [(3, "a copy that two rows share word for word here", "c"), (None, "no id at all", "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, df, SMALL)
+    want = [rows[0], rows[1], rows[3], rows[5]]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_line_dedup_small_hosts_and_many_lines(spark, monkeypatch):
+    """A line on every page of a small host goes, one of a single page stays, joined either way."""
+    rows = [(i, f"site header\nbody {i}\nsite footer", "small") for i in range(3)] + [(9, "alone\nhere", "single")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {0: "body 0", 1: "body 1", 2: "body 2", 9: "alone\nhere"}
+    for bound in (200_000, 0):
+        monkeypatch.setattr(lines, "BROADCAST_LINES", bound)
+        assert {r["doc_id"]: r["text"] for r in lines.dedup_lines(df).collect()} == want
