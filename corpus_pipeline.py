@@ -39,14 +39,21 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near-duplicates.
 
-    Of rows that repeat an id one stays. Rows with a null id are kept.
+    Where ids repeat, every different text is a document of its own: of a
+    group the row with the smallest id, then the smallest hash of id and text
+    stays; of equal ids and texts the row with the smallest other columns.
+    Rows with a null id are kept.
     """
-    removed = cut(near_duplicates(docs, percent=NEAR_PERCENT).where(~F.col("kept")).select("doc_id"), "removed")
-    kept = docs.join(few(removed), "doc_id", "left_anti").select(*docs.columns)
     seen = docs.where("doc_id IS NOT NULL").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("d")).first()
     if seen["n"] == seen["d"]:
-        return kept
-    return kept.where("doc_id IS NULL").union(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+        removed = cut(near_duplicates(docs, percent=NEAR_PERCENT).where(~F.col("kept")).select("doc_id"), "removed")
+        return docs.join(few(removed), "doc_id", "left_anti").select(*docs.columns)
+    known = docs.where("doc_id IS NOT NULL").select(row_name("doc_id", "text").alias("row_id"), F.struct(*docs.columns).alias("row"))
+    rows = cut(known.groupBy("row_id").agg(F.min("row").alias("row")), "rows")
+    groups = near_duplicates(rows.select("row_id", "row.text"), "row_id", percent=NEAR_PERCENT).select("row_id", "component_id")
+    named = rows.select("row_id", "row.doc_id").join(groups, "row_id")
+    stay = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "row_id")).alias("first")).select("first.row_id")
+    return docs.where("doc_id IS NULL").union(rows.join(stay, "row_id", "left_semi").select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
