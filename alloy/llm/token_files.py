@@ -28,6 +28,7 @@ import os
 import re
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -48,7 +49,6 @@ FRAME_BYTES = 1 << 20
 LEVEL = 3
 KNOWN = 1_000_000  # words whose ids a worker remembers, about 200 bytes each
 LONGEST_KNOWN = 64
-BATCH_BYTES = 1 << 18  # bytes given to the tokenizer at a time
 # fixed values of the seekable zstandard format
 DOCUMENT_MAGIC, SEEK_MAGIC, END_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 FLAGS = 0x80  # entries have checksums
@@ -57,6 +57,12 @@ _DOCUMENT = np.dtype([("id", "<i8"), ("has_id", "u1"), ("end", "<u8")])
 # a space or line feed between two visible characters: no token of a byte-level BPE crosses it from the left
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _WORD = re.compile(r"[ \n]?[^ \n]+")
+_LATIN = re.compile(r"[ \n]?[!-~\u00A1-\u024F]+")  # a plain word of characters whose kind no Unicode version changes
+# fixed values of byte-level BPE: the pre-tokenizer's pattern for such words, and the character that stands for each byte
+_LETTER, _NUMBER = r"A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F", r"0-9\u00B2\u00B3\u00B9\u00BC-\u00BE"
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\n")
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # stand for themselves, the others for U+0100 on
+_ALPHABET = {b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
 
 _MANIFEST = "part int, file string, n_docs long, n_ids long, first_id long, last_id long"
 
@@ -77,30 +83,35 @@ class IdEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        # a byte-level token stands for exactly as many bytes as its name has characters
-        self.width = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
-        for name, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.width[i] = len(name)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added)) if added else None
+        self.pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}  # plain words only
 
     def _apart(self, parts: list[str]) -> dict[str, bytes]:
         found = self.encode(parts, add_special_tokens=False) if parts else []
         return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(parts, found)}
 
-    def _together(self, words: list[str]) -> None:
-        """Remember plain words that start with a blank, encoded as running text and told apart by their bytes."""
-        batch, held = [], 0
-        for i, w in enumerate(words):
-            batch.append(w)
-            held += len(w)
-            if held >= BATCH_BYTES or i + 1 == len(words):
-                ids = np.array(self.encode(["".join(batch)], add_special_tokens=False)[0].ids, "<u4")
-                ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in batch])
-                ends = 4 * np.searchsorted(np.cumsum(self.width[ids]), ends, side="right")
-                raw = ids.tobytes()
-                ends = ends.tolist()
-                self.known.update(zip(batch, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-                batch, held = [], 0
+    def _pieced(self, words: list[str]) -> None:
+        """Remember Latin words that start with a blank; the model sees each of their distinct pieces once.
+
+        The pre-tokenizer's pattern is applied here, to characters for which it
+        is plain what a letter or a number is.
+        """
+        split = list(map(_PIECES.findall, words))
+        pieces = self.pieces
+        if len(pieces) > KNOWN:
+            pieces.clear()
+        new = list(set(chain.from_iterable(split)).difference(pieces))
+        plain = [p for p in new if p.isascii()]
+        other = [p for p in new if not p.isascii()]
+        shown = "\0".join(plain).translate(_ALPHABET).split(_ALPHABET[0]) if plain else []
+        shown += "\0".join(other).encode().decode("latin-1").translate(_ALPHABET).split(_ALPHABET[0]) if other else []
+        for piece, tokens in zip(plain + other, map(self.tokenizer.model.tokenize, shown)):
+            pieces[piece] = array("I", [t.id for t in tokens]).tobytes()
+        known = self.known
+        for word, parts in zip(words, split):
+            known[word] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KNOWN:
@@ -111,7 +122,7 @@ class IdEncoder:
         found = list(map(known.get, flat))
         missing = [i for i, ids in enumerate(found) if ids is None]
         new = {flat[i] for i in missing}
-        odd = {w for w in new if not _plain(w)}
+        odd = {w for w in new if not _LATIN.fullmatch(w) and not _plain(w)}
         self._learn(new - odd)
         for i in missing:
             found[i] = known.get(flat[i])
@@ -126,8 +137,11 @@ class IdEncoder:
         return out
 
     def _learn(self, words: set[str]) -> None:
-        self._together([w for w in words if w[0] in " \n"])
-        self.known.update(self._apart([w for w in words if w[0] not in " \n"]))
+        latin = [w for w in words if _LATIN.fullmatch(w)]
+        if self.special and self.special.search("\0".join(latin)):
+            latin = [w for w in latin if not self.special.search(w)]
+        self._pieced(latin)
+        self.known.update(self._apart([w for w in words if w not in self.known]))
 
     def _other(self, text: str) -> bytes:
         """Ids of a text that does not consist of plain words."""
