@@ -21,14 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from alloy.functions.columns import dated_title, interaction, mean_of, ratio
+from alloy.functions.columns import dated_title, interaction, mean_of, product_of_complements, ratio, share_of
 from alloy.operators import clean as C
 from alloy.operators import model as M
 from alloy.operators import rules as R
 from alloy.operators import stats as S
+from alloy.operators.summaries import append_summaries, fold, summarise
 from alloy.plans import medallion
+from alloy.plans.audit import AuditLog
 from alloy.plans.dashboard import section_available
-from alloy.plans.report import REPORT_TYPE, as_document, from_report, to_report
+from alloy.plans.report import REPORT_TYPE, as_document, from_report, to_report, to_typed_report, typed_cells
 from alloy.session import scratch_path
 from alloy.sources.generate import LAB_LABEL_STYLES, LAB_RULES, LAB_SPEC, measurement_sql, measurements_for
 from alloy.sources.layers import read_report, write_layer, write_sink
@@ -40,6 +42,7 @@ from alloy.sources.tables import (
     read_table,
     table_path,
 )
+from alloy.sources.uniform import measurements_uniform_for, uniform_sql
 from alloy.streaming.refresh import latest, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -462,6 +465,110 @@ def q_refresh_metrics(spark, sf_dir):
     return _r6(latest(spark, f"{root}/out"), "mean")
 
 
+SECOND_SEED = 20_240_607
+
+
+def q_uniform_bronze(spark, sf_dir):
+    """The original's uniform distributions over lineitem's keys."""
+    return measurements_uniform_for(_lab_keys(spark, sf_dir))
+
+
+def q_uniform_bronze_seeded(spark, sf_dir):
+    """Another seed, and keys up to both ends of a bigint."""
+    wide = F.col("sample_id") * F.lit(15_000_000_000_000) * F.when(F.col("sample_id") % 2 == 0, -1).otherwise(1)
+    return measurements_uniform_for(_lab_keys(spark, sf_dir).select(wide.alias("sample_id")), seed=SECOND_SEED)
+
+
+def q_uniform_identities(spark, sf_dir):
+    """Rows whose shares or normal forms do not follow from the other columns."""
+    df = measurements_uniform_for(_lab_keys(spark, sf_dir))
+    parts = ["motility_progressive", "motility_non_progressive", "motility_immotile"]
+    off_share = F.greatest(*(F.abs(share_of(p, parts) - F.col(p)) for p in parts)) > 0.1001
+    off_normal = F.abs(product_of_complements(["head_defects", "midpiece_defects", "tail_defects"]) - F.col("normal_forms")) > 0.0501
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_if(off_share | off_normal).alias("violations"))
+
+
+ODD_RULES = tuple(R.Rule(r.name, r.column, r.op, r.threshold, label) for r, label in zip(
+    LINEITEM_RULES, ('Low "quantity"', "Low\nprice", "Low \\ discount", "Niedrige Süße")))
+
+
+def q_report_typed(spark, sf_dir):
+    """The typed report stored as JSON text and read back: labels with quotes, line feeds and backslashes, counts as longs."""
+    path = scratch_path(spark, "typed-report")
+    long = S.compare(_lineitem(spark, sf_dir), LINEITEM_RULES, LINEITEM_SPEC)
+    doc = to_typed_report(long, S.prevalence_from(long), ODD_RULES)
+    write_sink(doc.select(F.to_json("report").alias("report")), "json", path, mode="overwrite")
+    return _r6(typed_cells(read_report(spark, "json", path), ODD_RULES), "mean")
+
+
+def q_report_count_type(spark, sf_dir):
+    """What a reader without a schema finds under the counts of the stored text."""
+    long = S.compare(_lineitem(spark, sf_dir), LINEITEM_RULES, LINEITEM_SPEC)
+    doc = to_typed_report(long, S.prevalence_from(long), LINEITEM_RULES).select(F.parse_json(F.to_json("report")).alias("v"))
+    cell = lambda r: F.variant_get("v", f"$.Diseases_Count.{r.name}.Count", "variant")
+    rows = F.array(*(F.struct(F.lit(r.name).alias("condition"), F.schema_of_variant(cell(r)).alias("kind"), cell(r).cast("long").alias("n")) for r in LINEITEM_RULES))
+    return doc.select(F.inline(rows))
+
+
+def _summaries(spark, sf_dir) -> str:
+    """One run per return flag; the first was written with half of its rows, then again with all."""
+    path = scratch_path(spark, "summaries")
+    li = _lineitem(spark, sf_dir).withColumn("run_id", F.concat(F.lit("flag-"), F.col("l_returnflag")))
+    first = li.where("run_id = 'flag-A'")
+    rest = li.where("run_id <> 'flag-A'")
+    half = first.where("l_orderkey % 2 = 0")
+    append_summaries(summarise(half.unionByName(rest), LINEITEM_RULES, LINEITEM_SPEC, "0001"), path)
+    append_summaries(summarise(first, LINEITEM_RULES, LINEITEM_SPEC, "0002"), path)
+    return path
+
+
+def q_run_summaries(spark, sf_dir):
+    """Statistics folded from the runs' stored summaries, one run having been replaced."""
+    return _r6(fold(spark, _summaries(spark, sf_dir), LINEITEM_RULES, LINEITEM_SPEC), "mean")
+
+
+def q_run_summaries_subset(spark, sf_dir):
+    return _r6(fold(spark, _summaries(spark, sf_dir), LINEITEM_RULES, LINEITEM_SPEC, ["flag-A", "flag-R", "flag-none"]), "mean")
+
+
+def q_lab_model_columns(spark, sf_dir):
+    """The model's input columns, in order, from flagged silver rows."""
+    silver = R.all_pass_label(M.lab_features(_lab_silver(spark, sf_dir)), LAB_RULES)
+    return _r6(silver.select("sample_id", *M.LAB_FEATURES, "label"), *M.LAB_FEATURES)
+
+
+def q_medallion_measurements(spark, sf_dir):
+    """The chain with dedup by measurements alone and twenty files per layer."""
+    paths = medallion.Paths(scratch_path(spark, "measurements"))
+    cfg = medallion.RunConfig(run_id="run-1", dedup="measurements", partitions=20)
+    medallion.run(spark, _lab_keys(spark, sf_dir), "sample_id", paths, cfg, ("extract", "transform", "load"))
+    files = spark.read.parquet(paths.silver).select(F.count_distinct("_metadata.file_path").alias("n"))
+    return medallion.layer_counts(spark, paths, cfg).unionByName(files.select(F.lit("silver_files").alias("layer"), "n"))
+
+
+def q_medallion_model(spark, sf_dir):
+    """All four stages: rows per layer, promotions, and stages logged within the run's time."""
+    paths = medallion.Paths(scratch_path(spark, "all-stages"))
+    cfg = medallion.RunConfig(run_id="run-1", trees=20, depth=5)
+    before = spark.range(1).select(F.current_timestamp()).first()[0]
+    medallion.run(spark, _lab_keys(spark, sf_dir), "sample_id", paths, cfg)
+    log = AuditLog(spark, paths.audit).read().where((F.col("ts") >= F.lit(before)) & (F.col("ts") <= F.current_timestamp()))
+    stages = log.where("level = 'INFO'").select(F.lit("stages_logged").alias("layer"), F.col("source")).distinct()
+    promoted = spark.read.parquet(f"{paths.registry}/promotions").select(F.lit("promotions").alias("layer"))
+    more = stages.select("layer").unionAll(promoted).groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
+    return medallion.layer_counts(spark, paths, cfg).unionByName(more)
+
+
+def q_rf_quality(spark, sf_dir):
+    """Whether a small forest beats predicting the more frequent label; one that predicts a single class does not."""
+    frame = R.all_pass_label(lineitem_features(_lineitem(spark, sf_dir)), LINEITEM_RULES)
+    train, test = M.hash_split(frame, train_pct=70, buckets=10, bucket=_split_bucket())
+    fitted = M.train(train, LINEITEM_FEATURES, "label", trees=10, depth=5, seed=42)
+    result = M.gate(spark, fitted, scratch_path(spark, "quality"), test, "run-1").first()
+    share = test.agg(F.avg("label").alias("p"), F.count(F.lit(1)).alias("n")).select(F.greatest("p", 1 - F.col("p")).alias("most"), "n")
+    return share.select(F.col("n").alias("n_test"), (F.lit(result["challenger_accuracy"]) > F.col("most") + (1 - F.col("most")) / 2).alias("halves_the_errors"))
+
+
 # --------------------------------------------------------------------------
 # oracle SQL (DuckDB dialect; double literals written as 1.0e0)
 # --------------------------------------------------------------------------
@@ -870,6 +977,71 @@ def sql_report_document():
     return f"SELECT true AS titled, [{names}] AS sections WHERE (SELECT count(*) FROM lineitem) > 0"
 
 
+def sql_uniform_bronze():
+    return uniform_sql(SAMPLE_KEY_SQL, "lineitem")
+
+
+def sql_uniform_bronze_seeded():
+    wide = f"({SAMPLE_KEY_SQL}) * 15000000000000 * (CASE WHEN ({SAMPLE_KEY_SQL}) % 2 = 0 THEN -1 ELSE 1 END)"
+    return uniform_sql(wide, "lineitem", SECOND_SEED)
+
+
+def sql_uniform_identities():
+    return "SELECT count(*)::BIGINT AS n, 0::BIGINT AS violations FROM lineitem"
+
+
+def _text_sql(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def sql_report_typed():
+    label = "CASE " + " ".join(f"WHEN condition = '{r.name}' THEN {_text_sql(r.label)}" for r in ODD_RULES) + " END"
+    return f"""
+SELECT {label} || '_Analysis' AS section, flag::VARCHAR AS key, metric AS field, mean, NULL::BIGINT AS n
+FROM ({_compare_long_sql()}) c
+UNION ALL
+SELECT 'Diseases_Count', {label}, 'Count', NULL, n FROM ({_prevalence_sql()}) p"""
+
+
+def sql_report_count_type():
+    return f"SELECT condition, 'BIGINT' AS kind, n FROM ({_prevalence_sql()}) p"
+
+
+def sql_run_summaries():
+    return _compare_long_sql()
+
+
+def sql_run_summaries_subset():
+    return f"WITH chosen AS (SELECT * FROM lineitem WHERE l_returnflag IN ('A', 'R'))\n" + _compare_long_sql().replace("FROM lineitem", "FROM chosen")
+
+
+def sql_lab_model_columns():
+    derived = sql_lab_features()
+    columns = ", ".join(f"round(s.{c}, 6) AS {c}" for c in M.LAB_FEATURES[:8]) + ", " + ", ".join(f"d.{c}" for c in M.LAB_FEATURES[8:])
+    return f"SELECT s.sample_id, {columns}, d.label FROM ({_lab_silver_sql()}) s JOIN ({derived}) d USING (sample_id)"
+
+
+def _layers_sql(silver: str) -> list[str]:
+    parts = ["SELECT 'bronze' AS layer, count(*)::BIGINT AS n FROM lineitem"]
+    parts += [f"SELECT '{x}' AS layer, count(*)::BIGINT AS n FROM ({silver}) s" for x in ("silver", "sink_rows")]
+    return parts + [
+        f"SELECT 'gold_{r.name}' AS layer, count(*)::BIGINT AS n FROM ({silver}) s WHERE {_hit_sql(r)} HAVING count(*) > 0" for r in LAB_RULES
+    ]
+
+
+def sql_medallion_measurements():
+    silver = f"SELECT DISTINCT * EXCLUDE (sample_id) FROM ({_lab_silver_sql()}) b"
+    return _union([*_layers_sql(silver), "SELECT 'silver_files' AS layer, 20::BIGINT AS n"])
+
+
+def sql_medallion_model():
+    return _union([*_layers_sql(_lab_silver_sql()), "SELECT 'stages_logged' AS layer, 4::BIGINT AS n", "SELECT 'promotions' AS layer, 1::BIGINT AS n"])
+
+
+def sql_rf_quality():
+    return "SELECT count(*)::BIGINT AS n_test, true AS halves_the_errors FROM lineitem WHERE (l_orderkey * 31 + l_linenumber) % 10 >= 7"
+
+
 def sql_medallion_run():
     silver = _lab_silver_sql()
     parts = [
@@ -944,6 +1116,17 @@ QUERIES: dict[str, Query] = {
     "refresh_metrics": q_refresh_metrics,
     "refresh_runs_metrics": q_refresh_runs_metrics,
     "medallion_run": q_medallion_run,
+    "uniform_bronze": q_uniform_bronze,
+    "uniform_bronze_seeded": q_uniform_bronze_seeded,
+    "uniform_identities": q_uniform_identities,
+    "report_typed": q_report_typed,
+    "report_count_type": q_report_count_type,
+    "run_summaries": q_run_summaries,
+    "run_summaries_subset": q_run_summaries_subset,
+    "lab_model_columns": q_lab_model_columns,
+    "medallion_measurements": q_medallion_measurements,
+    "medallion_model": q_medallion_model,
+    "rf_quality": q_rf_quality,
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
@@ -989,4 +1172,15 @@ ORACLE: dict[str, Callable[[], str]] = {
     "refresh_metrics": sql_refresh_metrics,
     "refresh_runs_metrics": sql_refresh_metrics,
     "medallion_run": sql_medallion_run,
+    "uniform_bronze": sql_uniform_bronze,
+    "uniform_bronze_seeded": sql_uniform_bronze_seeded,
+    "uniform_identities": sql_uniform_identities,
+    "report_typed": sql_report_typed,
+    "report_count_type": sql_report_count_type,
+    "run_summaries": sql_run_summaries,
+    "run_summaries_subset": sql_run_summaries_subset,
+    "lab_model_columns": sql_lab_model_columns,
+    "medallion_measurements": sql_medallion_measurements,
+    "medallion_model": sql_medallion_model,
+    "rf_quality": sql_rf_quality,
 }

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, MapType, StringType
+from pyspark.sql.types import DoubleType, LongType, MapType, StringType, StructField, StructType
 
 from alloy.operators.rules import Rule
 
@@ -89,6 +89,52 @@ def to_report(
     return sections.agg(F.concat(F.lit("{"), F.array_join(text, ","), F.lit("}")).alias("report"))
 
 
+def typed_report_schema(rules: Sequence[Rule]) -> StructType:
+    """The stored report's type: means are doubles, counts are longs."""
+    analysis = MapType(StringType(), MapType(StringType(), DoubleType()))
+    counts = MapType(StringType(), StructType([StructField("Count", LongType())]))
+    sections = {f"{r.label or r.name}{ANALYSIS_SUFFIX}": analysis for r in rules} | {COUNT_SECTION: counts}
+    return StructType([StructField(name, sections[name]) for name in sorted(sections)])
+
+
+def to_typed_report(
+    long: DataFrame, counts: DataFrame, rules: Sequence[Rule], metric_labels: Mapping[str, str] | None = None
+) -> DataFrame:
+    """One row, one struct column ``report`` of ``typed_report_schema``.
+
+    One field per section, nested maps with sorted keys inside. Names go into
+    the JSON text by ``to_json`` alone, which escapes whatever they hold. A
+    condition without any row in ``long`` has a null section.
+    """
+    by_key = lambda a, b: F.when(a["key"] < b["key"], F.lit(-1)).when(a["key"] > b["key"], F.lit(1)).otherwise(F.lit(0))
+    entries = lambda *e: F.map_from_entries(F.array_sort(F.collect_list(F.struct(*e)), by_key))
+    inner = long.groupBy("condition", "flag").agg(entries(_relabel("metric", metric_labels).alias("key"), "mean").alias("means"))
+    outer = inner.groupBy("condition").agg(entries(F.col("flag").cast("string").alias("key"), "means").alias("section"))
+    sections = outer.agg(F.map_from_entries(F.collect_list(F.struct("condition", "section"))).alias("sections"))
+    hits = counts.agg(entries(_display(rules).alias("key"), F.struct(F.col("n").cast("long").alias("Count"))).alias("hits"))
+    fields = {f"{r.label or r.name}{ANALYSIS_SUFFIX}": F.get(F.array(F.element_at("sections", F.lit(r.name))), F.lit(0)) for r in rules}
+    fields[COUNT_SECTION] = F.col("hits")
+    one = sections.withColumn("one", F.lit(1)).join(hits.withColumn("one", F.lit(1)), "one")  # one row each
+    return one.select(F.struct(*(fields[name].alias(name) for name in sorted(fields))).alias("report"))
+
+
+def typed_cells(doc: DataFrame, rules: Sequence[Rule], column: str = "report") -> DataFrame:
+    """A typed report (JSON text or struct) as (section, key, field, mean double, n long); null sections have no cells."""
+    schema = typed_report_schema(rules)
+    if isinstance(doc.schema[column].dataType, StringType):
+        doc = doc.select(F.from_json(column, schema).alias(column))
+    cells = None
+    for field in schema.fields:
+        at = doc.select(F.explode(F.col(column).getField(field.name)).alias("key", "inner"))
+        if field.name == COUNT_SECTION:
+            at = at.select(F.lit(field.name).alias("section"), "key", F.lit("Count").alias("field"), F.lit(None).cast("double").alias("mean"), F.col("inner.Count").alias("n"))
+        else:
+            at = at.select("key", F.explode("inner").alias("field", "mean"))
+            at = at.select(F.lit(field.name).alias("section"), "key", "field", "mean", F.lit(None).cast("long").alias("n"))
+        cells = at if cells is None else cells.unionByName(at)
+    return cells
+
+
 def as_document(report: DataFrame) -> DataFrame:
     """The report as a nested map column (what a document store receives)."""
     return report.select(F.from_json("report", REPORT_TYPE).alias("report"))
