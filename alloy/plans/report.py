@@ -112,9 +112,12 @@ def to_typed_report(
     outer = inner.groupBy("condition").agg(entries(F.col("flag").cast("string").alias("key"), "means").alias("section"))
     sections = outer.agg(F.map_from_entries(F.collect_list(F.struct("condition", "section"))).alias("sections"))
     hits = counts.agg(entries(_display(rules).alias("key"), F.struct(F.col("n").cast("long").alias("Count"))).alias("hits"))
-    fields = {f"{r.label or r.name}{ANALYSIS_SUFFIX}": F.get(F.array(F.element_at("sections", F.lit(r.name))), F.lit(0)) for r in rules}
+    fields = {f"{r.label or r.name}{ANALYSIS_SUFFIX}": F.try_element_at("sections", F.lit(r.name)) for r in rules}
     fields[COUNT_SECTION] = F.col("hits")
-    one = sections.withColumn("one", F.lit(1)).join(hits.withColumn("one", F.lit(1)), "one")  # one row each
+    # two rows side by side, put together without a join
+    kind = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    rows = sections.select("sections", kind(hits, "hits")).union(hits.select(kind(sections, "sections"), "hits"))
+    one = rows.agg(F.first("sections", ignorenulls=True).alias("sections"), F.first("hits", ignorenulls=True).alias("hits"))
     return one.select(F.struct(*(fields[name].alias(name) for name in sorted(fields))).alias("report"))
 
 

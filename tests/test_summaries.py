@@ -49,7 +49,7 @@ def test_typed_report_round_trip(spark):
     rows = _rows(spark, [("a", 1.0, 2.0), ("a", 9.0, 3.0), ("b", 7.0, 4.0)])
     long = S.compare(rows, RULES, SPEC)
     doc = to_typed_report(long, S.prevalence_from(long), RULES, {"y": 'Avg "y"'})
-    assert doc.schema["report"].dataType == typed_report_schema(RULES)
+    assert doc.schema["report"].dataType.simpleString() == typed_report_schema(RULES).simpleString()
     text = doc.select(F.to_json("report").alias("report"))
     parsed = json.loads(text.first()[0])
     assert parsed["Diseases_Count"] == {'Low "x"\nline': {"Count": 1}, "Hóch\\wert": {"Count": 1}}
