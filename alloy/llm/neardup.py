@@ -37,11 +37,11 @@ from alloy.llm.components import connected_components
 
 WIDTH = 5
 COORDINATES = 48  # min-wise shingles that the lower levels pick from
-SAMPLE = 2048  # a set's sample holds every 2**-level-th hash; up to this many expected, so that most sets are compared whole
+SAMPLE = 1024  # a set's sample holds every 2**-level-th hash; up to this many expected, so that most sets are compared whole
 BRANCH = 2
 UPPER = 0.32  # the upper levels end where a pair at the threshold is together with this probability
 LOWER_LEVELS = 12  # at most; what is large then is treated like a node that does not come apart
-SMALL_NODE = 256  # members that one task compares with each other
+SMALL_NODE = 1024  # members that one task compares with each other
 COLUMNS = 4096  # sample hashes multiplied at a time within a node
 REST_BLOCK = 64
 RECALL = 0.9999

@@ -34,8 +34,10 @@ def test_near_duplicates(request, frame):
     assert _near(df) == _brute_near(texts)
 
 
-def test_near_duplicates_of_a_large_group(spark):
+@pytest.mark.parametrize("members", [256, neardup.SMALL_NODE])
+def test_near_duplicates_of_a_large_group(spark, monkeypatch, members):
     """More near copies than a node compares at once, chains, and a link that hangs on one pair."""
+    monkeypatch.setattr(neardup, "SMALL_NODE", members)
     rng = random.Random(4)
     base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
     texts = {}
@@ -69,8 +71,9 @@ def test_an_id_with_two_texts_is_the_same_one_in_every_step(spark):
     assert _near(df) == {1: (36, 1, True), 2: (37, 1, False), 3: (5, 3, True)}
 
 
-def test_passages_that_many_share_come_apart(spark):
+def test_passages_that_many_share_come_apart(spark, monkeypatch):
     """A large node of texts that are not alike is branched on until its nodes are small."""
+    monkeypatch.setattr(neardup, "SMALL_NODE", 64)
     rng = random.Random(8)
     common = [f"c{i}" for i in range(60)]
     texts = {}
