@@ -65,9 +65,9 @@ def compare_aggregate_names(rules: Sequence[Rule], spec: Mapping[str, Sequence[s
 
 
 def compare_finish(
-    wide: DataFrame, rules: Sequence[Rule], spec: Mapping[str, Sequence[str]]
+    wide: DataFrame, rules: Sequence[Rule], spec: Mapping[str, Sequence[str]], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Unpivot the one-row aggregate into (condition, flag, metric, n, mean)."""
+    """Unpivot the aggregate, one row (per value of ``by``), into (by, condition, flag, metric, n, mean)."""
     rows = []
     for i, r in enumerate(rules):
         for v in CLASSES:
@@ -83,7 +83,7 @@ def compare_finish(
                         ).alias("mean"),
                     )
                 )
-    return wide.select(F.inline(F.array(*rows)))
+    return wide.select(*by, F.inline(F.array(*rows)))
 
 
 def compare(df: DataFrame, rules: Sequence[Rule], spec: Mapping[str, Sequence[str]]) -> DataFrame:

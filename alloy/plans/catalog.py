@@ -33,7 +33,7 @@ from alloy.plans.dashboard import section_available
 from alloy.plans.report import REPORT_TYPE, as_document, from_report, to_report, to_typed_report, typed_cells
 from alloy.session import scratch_path
 from alloy.sources.generate import LAB_LABEL_STYLES, LAB_RULES, LAB_SPEC, measurement_sql, measurements_for
-from alloy.sources.layers import read_report, write_layer, write_sink
+from alloy.sources.layers import published, read_report, write_layer, write_sink
 from alloy.sources.tables import (
     LINEITEM_LABEL_STYLES,
     LINEITEM_METRICS,
@@ -43,7 +43,7 @@ from alloy.sources.tables import (
     table_path,
 )
 from alloy.sources.uniform import measurements_uniform_for, uniform_sql
-from alloy.streaming.refresh import latest, refresh
+from alloy.streaming.refresh import latest, refresh, run_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = ("l_orderkey", "l_linenumber")
@@ -333,7 +333,7 @@ def q_dashboard_bars(spark, sf_dir):
     return _r6(bars, "without", "with")
 
 
-def q_refresh_runs_metrics(spark, sf_dir):
+def _refreshed_runs(spark, sf_dir) -> str:
     """Run-keyed sink holding one run per return flag, written in one pass and
     streamed; the smallest flag's run is then written again (a re-run) and
     streamed from the same checkpoint. The run-aware statistics must still
@@ -357,7 +357,43 @@ def q_refresh_runs_metrics(spark, sf_dir):
     write_sink(first.withColumn("run_id", run_of).drop("l_returnflag"), "parquet", f"{root}/sink",
                run_id=F.col("run_id"), attempt="0002-b")
     drain()  # the re-run's files are new to the stream; its earlier attempt must drop out
-    return _r6(latest(spark, f"{root}/out"), "mean")
+    return root
+
+
+def q_refresh_runs_metrics(spark, sf_dir):
+    return _r6(latest(spark, f"{_refreshed_runs(spark, sf_dir)}/out"), "mean")
+
+
+def q_refresh_runs_state(spark, sf_dir):
+    """What the run-aware stream remembers: one entry per run, of its newest attempt, with all its rows."""
+    state = run_state(spark, f"{_refreshed_runs(spark, sf_dir)}/checkpoint")
+    first = LINEITEM_RULES[0]
+    metric = LINEITEM_SPEC[first.name][0]
+    long = S.compare_finish(state, LINEITEM_RULES, LINEITEM_SPEC, ["run_id", "attempt"])
+    one = long.filter((F.col("condition") == first.name) & (F.col("metric") == metric))
+    per_run = one.groupBy("run_id", "attempt").agg(F.sum("n").cast("bigint").alias("n"))
+    return per_run.join(state.groupBy("run_id").agg(F.count(F.lit(1)).alias("entries")), "run_id")
+
+
+def q_sink_published(spark, sf_dir):
+    """Statistics over a sink that shows whole attempts only.
+
+    Two runs are published; a second attempt of the first dies after half of
+    its rows (added twice, to be told from the first) and is not listed; the
+    other run is published again.
+    """
+    root = scratch_path(spark, "published")
+    sink, manifest = f"{root}/rows", f"{root}/manifest"
+    li = _lineitem(spark, sf_dir).select(*KEY, *LINEITEM_METRICS)
+    even, odd = li.filter("l_orderkey % 2 = 0"), li.filter("l_orderkey % 2 = 1")
+    write_sink(even, "parquet", sink, run_id="even", attempt="0001", manifest=manifest)
+    write_sink(odd.unionAll(odd), "parquet", sink, run_id="odd", attempt="0001", manifest=manifest)
+    half = even.filter("l_orderkey % 4 = 0")
+    dying = half.unionAll(half).withColumns({"run_id": F.lit("even"), "attempt": F.lit("0002")})
+    dying.write.mode("append").partitionBy("run_id", "attempt").parquet(sink)
+    write_sink(odd, "parquet", sink, run_id="odd", attempt="0002", manifest=manifest)
+    rows = published(spark, spark.read.schema(li.schema.add("run_id", "string").add("attempt", "string")).parquet(sink), manifest)
+    return _r6(S.compare(rows, LINEITEM_RULES, LINEITEM_SPEC), "mean")
 
 
 def as_document_schema() -> StructType:
@@ -1069,6 +1105,14 @@ def sql_audit_log():
     )
 
 
+def sql_refresh_runs_state():
+    return (
+        "SELECT 'flag-' || l_returnflag AS run_id, "
+        "CASE WHEN l_returnflag = (SELECT min(l_returnflag) FROM lineitem) THEN '0002-b' ELSE '0001-a' END AS attempt, "
+        "count(*)::BIGINT AS n, 1::BIGINT AS entries FROM lineitem GROUP BY l_returnflag"
+    )
+
+
 def sql_refresh_metrics():
     return _compare_long_sql()
 
@@ -1115,6 +1159,8 @@ QUERIES: dict[str, Query] = {
     "section_available": q_section_available,
     "refresh_metrics": q_refresh_metrics,
     "refresh_runs_metrics": q_refresh_runs_metrics,
+    "refresh_runs_state": q_refresh_runs_state,
+    "sink_published": q_sink_published,
     "medallion_run": q_medallion_run,
     "uniform_bronze": q_uniform_bronze,
     "uniform_bronze_seeded": q_uniform_bronze_seeded,
@@ -1171,6 +1217,8 @@ ORACLE: dict[str, Callable[[], str]] = {
     "section_available": sql_section_available,
     "refresh_metrics": sql_refresh_metrics,
     "refresh_runs_metrics": sql_refresh_metrics,
+    "refresh_runs_state": sql_refresh_runs_state,
+    "sink_published": sql_refresh_metrics,
     "medallion_run": sql_medallion_run,
     "uniform_bronze": sql_uniform_bronze,
     "uniform_bronze_seeded": sql_uniform_bronze_seeded,

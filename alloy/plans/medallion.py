@@ -19,7 +19,7 @@ from alloy.operators import clean, model, rules as R, stats
 from alloy.plans.audit import AuditLog
 from alloy.plans.report import as_document, to_report
 from alloy.sources.generate import BRONZE_COLUMNS, LAB_METRIC_LABELS, LAB_RULES, LAB_SPEC, measurements_for
-from alloy.sources.layers import BRONZE_SCHEMA, read_layer, silver_schema, write_layer, write_sink
+from alloy.sources.layers import BRONZE_SCHEMA, published, read_layer, silver_schema, write_layer, write_sink
 
 STAGES = ("extract", "transform", "model", "load")
 
@@ -48,6 +48,10 @@ class Paths:
     def rows_sink(self) -> str:
         return f"{self.root}/sink/rows"
 
+    @property
+    def rows_manifest(self) -> str:
+        return f"{self.root}/sink/rows_manifest"
+
     @property
     def report_sink(self) -> str:
         return f"{self.root}/sink/report"
@@ -71,6 +75,8 @@ class RunConfig:
     dedup: str = "rows"
     sink_format: str = "parquet"
     sink_options: Mapping[str, str] = field(default_factory=dict)
+    # the row sink shows a run only when all of its rows are written; its former attempt until then
+    publish: bool = False
     sink_path: str | None = None  # where the row sink lies; "" for sinks that options alone name
     report_format: str = "json"
     report_options: Mapping[str, str] = field(default_factory=dict)
@@ -154,7 +160,8 @@ def load(spark: SparkSession, paths: Paths, cfg: RunConfig, log: AuditLog) -> di
     observed, statistics = stats.observe_compare(silver, cfg.rules, cfg.spec)
     attempt = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
     sink = paths.rows_sink if cfg.sink_path is None else cfg.sink_path or None
-    write_sink(observed, cfg.sink_format, sink, cfg.sink_options, run_id=cfg.run_id, attempt=attempt)
+    manifest = paths.rows_manifest if cfg.publish else None
+    write_sink(observed, cfg.sink_format, sink, cfg.sink_options, run_id=cfg.run_id, attempt=attempt, manifest=manifest)
     long = statistics(spark)
     counts = stats.prevalence_from(long)
     report = as_document(to_report(long, counts, cfg.rules, cfg.metric_labels))
@@ -219,5 +226,7 @@ def layer_counts(spark: SparkSession, paths: Paths, cfg: RunConfig) -> DataFrame
     gold = gold.groupBy("condition").agg(F.count(F.lit(1)).alias("n"))
     gold = gold.select(F.concat(F.lit("gold_"), F.col("condition")).alias("layer"), "n")
     sink = spark.read.parquet(paths.rows_sink)
+    if cfg.publish:
+        sink = published(spark, sink, paths.rows_manifest)
     sink_n = sink.agg(F.count(F.lit(1)).alias("n")).select(F.lit("sink_rows").alias("layer"), "n")
     return count_of(paths.bronze, "bronze").unionByName(count_of(paths.silver, "silver")).unionByName(gold).unionByName(sink_n)

@@ -31,6 +31,7 @@ def silver_schema(base: StructType, rules) -> StructType:
 
 
 SILVER_SCHEMA = silver_schema(BRONZE_SCHEMA, LAB_RULES)
+MANIFEST_SCHEMA = StructType([StructField("run_id", StringType()), StructField("attempt", StringType())])
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")  # sinks that can replace one run's rows
 
 
@@ -107,6 +108,7 @@ def write_sink(
     mode: str = "append",
     run_id: str | Column | None = None,
     attempt: str | None = None,
+    manifest: str | None = None,
 ) -> None:
     """Write to any Spark data source (parquet, json, jdbc, a document store ...).
 
@@ -117,7 +119,16 @@ def write_sink(
     replaces its own partition. Other sinks (jdbc, a document store) cannot
     replace part of a table: there rows are always appended, ``attempt`` is
     required, and ``latest_attempts`` reads the valid ones.
+
+    With ``manifest`` (a path) a write is all or nothing: rows are added under
+    their (run, attempt), beside what readers see, and the attempt is listed
+    in the manifest only after the last row is written. ``published`` reads
+    listed attempts alone, so a write that dies half-way is never seen and
+    the run's former attempt stays in force. File sinks are then partitioned
+    by ``run_id`` and ``attempt``. Needs one run id and an attempt stamp.
     """
+    if manifest is not None and (not isinstance(run_id, str) or attempt is None):
+        raise ValueError("a published write needs one run id and an attempt stamp")
     by_partition = run_id is not None and fmt.lower() in FILE_FORMATS
     if run_id is not None and not by_partition and attempt is None:
         raise ValueError(f"a run written to a {fmt} sink needs an attempt stamp")
@@ -128,13 +139,29 @@ def write_sink(
         writer_df = writer_df.withColumn("run_id", run_id if isinstance(run_id, Column) else F.lit(run_id))
     writer = writer_df.write.format(fmt).options(**dict(options or {}))
     if by_partition:
-        writer = writer.partitionBy("run_id").option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*("run_id", "attempt")[: 1 + (manifest is not None)]).option("partitionOverwriteMode", "dynamic")
         mode = "overwrite"
     writer = writer.mode(mode)
     if path is None:
         writer.save()
     else:
         writer.save(path)
+    if manifest is not None:
+        spark = df.sparkSession
+        entry = spark.createDataFrame([(run_id, attempt)], MANIFEST_SCHEMA)
+        entry.coalesce(1).write.mode("append").parquet(manifest)
+
+
+def published(spark: SparkSession, df: DataFrame, manifest: str) -> DataFrame:
+    """The rows of each run's newest attempt among those listed in ``manifest``.
+
+    ``df`` is the sink as read, with ``run_id`` and ``attempt``. The manifest
+    has one short row per write; on a file sink both columns are partitions,
+    so Spark can prune the folders that no listed attempt names.
+    """
+    listed = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest)
+    newest = listed.groupBy("run_id").agg(F.max("attempt").alias("attempt"))
+    return df.join(newest, ["run_id", "attempt"], "left_semi")
 
 
 def latest_attempts(df: DataFrame) -> DataFrame:
