@@ -14,10 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, constants, cut, in_table, map_arrow, text_bytes, windows
+from alloy.llm.common import PIECE, WordHasher, bit_table, byte_slices, constants, cut, few, in_table, map_arrow, text_bytes, windows
 
 TILE = 4
 COVERAGE = 0.6
@@ -173,6 +173,32 @@ def _tiled(coverage: float):
     return run
 
 
+def _prefixes(found: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(seed, item): the seeds of an item by which a document that shares enough of them is found.
+
+    Of an item's s seeds a document must share ``need``, so it shares one of
+    any s - need + 1. Those that the fewest documents hold are taken (ties by
+    seed): a phrase of many items and documents is left to the count that
+    follows. Rows that stand for one item under two texts take the smaller
+    need. Seeds are ranked within an item, whose text bounds them.
+    """
+    held = found.groupBy("seed").agg(F.count(F.lit(1)).alias("documents"))
+    items = seeds.groupBy("seed", "item").agg(F.min("need").alias("need")).join(held, "seed", "left")
+    item = Window.partitionBy("item")
+    rarest = item.orderBy(F.coalesce("documents", F.lit(0)), "seed")
+    ranked = items.withColumns({
+        "place": F.row_number().over(rarest), "n": F.count(F.lit(1)).over(item), "least": F.min("need").over(item),
+    })
+    return ranked.where("place <= n - least + 1 AND documents > 0").select("seed", "item")
+
+
+def _enough(found: DataFrame, pairs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The pairs (doc, item) that share ``need`` seeds at least, counted over all seeds."""
+    items = few(seeds.groupBy("item", "seed").agg(F.min("need").alias("need")))
+    shared = pairs.join(items, "item").join(found, ["doc", "seed"])
+    return shared.groupBy("doc", "item").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need")).where("n >= need").select("doc", "item")
+
+
 _RESULT = "doc long, item long, n_item_tokens long, n_tiles long, covered long, longest long, coverage double"
 
 
@@ -200,10 +226,9 @@ def contaminated(
         return _named(docs.sparkSession.createDataFrame([], _RESULT), id_col, item_id_col)
 
     hits = cut(map_arrow(docs, _hits(bit_table(seeds, "seed", FILTER_BITS), max(1, least)), "doc long, text string, seeds array<long>"), "hits")
-    pairs = (
-        hits.select("doc", F.explode("seeds").alias("seed")).distinct().join(seeds, "seed")
-        .groupBy("doc", "item").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need")).where("n >= need")
-    )
+    found = hits.select("doc", F.explode("seeds").alias("seed")).distinct()
+    first = few(cut(_prefixes(found, seeds), "prefixes"))
+    pairs = _enough(found, found.join(first, "seed").select("doc", "item").distinct(), seeds)
     rows = pairs.select("doc", "item").join(hits.select("doc", "text"), "doc").join(items.withColumnRenamed("text", "item_text"), "item")
     found = map_arrow(rows.select("doc", "item", "text", "item_text"), _tiled(coverage), _RESULT)
     columns = [c for c in found.columns if c not in ("doc", "item")]

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
@@ -118,6 +119,28 @@ def test_contaminated_fixture(spark, edge, nothing):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(edge, bench).collect()} == set()
 
 
+def test_a_phrase_of_many_items_and_documents(spark):
+    """Such a phrase brings no pair by itself; the items that documents give away are found all the same."""
+    phrase = "which of the following is the best answer"
+    body = {i: " ".join(f"q{i}_{k}" for k in range(14)) for i in range(60)}
+    items = {i: f"{phrase} {body[i]}" for i in range(60)} | {60: phrase}
+    docs = {i: f"{phrase} d{i} e{i} {phrase}" for i in range(400)}
+    docs |= {400 + i: f"{phrase} {body[i]} x{i}" for i in range(0, 60, 7)} | {500: f"{body[3]} {body[4]} none {body[5][:20]}"}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    bench = spark.createDataFrame([(k, v, 1, "d") for k, v in items.items()] + [(3, "another text of item three it is", 1, "d")], BENCHMARK)
+    got = {(r["doc_id"], r["item_id"]): r["covered"] for r in decontaminate.contaminated(frame, bench).collect()}
+    assert got == brute.leaks(docs, items)
+    seeds = spark.createDataFrame([(s, i, 3) for i in range(50) for s in (1, 2, 3, 100 + 3 * i, 101 + 3 * i)], "seed long, item long, need long")
+    found = spark.createDataFrame([(d, s) for d in range(300) for s in (1, 2, 3)] + [(7, 100), (7, 101)], "doc long, seed long")
+    first = decontaminate._prefixes(found, seeds)
+    assert {r["seed"] for r in first.collect()} == {1, 100, 101}  # one of the three common seeds, which an item of five needs
+    pairs = found.join(first, "seed").select("doc", "item").distinct()
+    assert {tuple(r) for r in decontaminate._enough(found, pairs, seeds).collect()} == {(d, i) for d in range(300) for i in range(50)}
+    strict = seeds.withColumn("need", F.lit(5).cast("long"))
+    first = decontaminate._prefixes(found, strict)
+    assert {tuple(r) for r in found.join(first, "seed").select("doc", "item").collect()} == {(7, 0)}
+
+
 def test_contaminated_table(spark, small):
     docs = {r["doc_id"]: r["text"] for r in small.collect()}
     items = {r["item_id"]: r["text"] for r in read_table(spark, SMALL, "benchmark").collect()}
