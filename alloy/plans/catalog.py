@@ -371,8 +371,9 @@ def q_refresh_runs_state(spark, sf_dir):
     metric = LINEITEM_SPEC[first.name][0]
     long = S.compare_finish(state, LINEITEM_RULES, LINEITEM_SPEC, ["run_id", "attempt"])
     one = long.filter((F.col("condition") == first.name) & (F.col("metric") == metric))
-    per_run = one.groupBy("run_id", "attempt").agg(F.sum("n").cast("bigint").alias("n"))
-    return per_run.join(state.groupBy("run_id").agg(F.count(F.lit(1)).alias("entries")), "run_id")
+    return one.groupBy("run_id").agg(
+        F.max("attempt").alias("attempt"), F.sum("n").cast("bigint").alias("n"), F.count_if(F.col("flag") == 0).alias("entries")
+    )
 
 
 def q_sink_published(spark, sf_dir):
