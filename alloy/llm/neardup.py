@@ -350,11 +350,14 @@ def near_duplicates(
 
     # documents with equal sets are one class, represented by its smallest id
     classes = cut(
-        sketches.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc").alias("rep")), "classes"
+        sketches.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("n")), "classes"
     )
-    small, large = _nodes(sketches, classes)
+    copies = sketches.select("doc", "digest").join(classes.where("n > 1"), "digest").where("doc <> rep").select("doc")
+    small, large = _nodes(sketches, cut(copies, "copies"))
 
-    sketch = sketches.select("doc", "n_shingles", "level", "sample")
+    # most documents share no node: their samples stay where they are
+    wanted = small.select("doc") if large is None else small.select("doc").union(large.select("doc"))
+    sketch = sketches.select("doc", "n_shingles", "level", "sample").join(few(wanted.distinct()), "doc", "left_semi")
     members = small.join(sketch, "doc").select("node", *sketch.columns).repartition("node").sortWithinPartitions("node")
     pairs = map_arrow(members, _compare(similarity, 1, False), "u long, v long")
     if large is None:
@@ -366,7 +369,7 @@ def near_duplicates(
             links = links.union(_confirm(rest, docs, percent, width))
     found = connected_components(links).select(F.col("vertex").alias("rep"), "component")
 
-    named = classes.join(found, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    named = classes.select("digest", "rep").join(found, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     out = sketches.select("doc", "n_shingles", "digest").join(named, "digest", "left")
     return out.select(
         F.col("doc").alias(id_col),
@@ -378,15 +381,16 @@ def near_duplicates(
 
 def _distinct_nodes(paths: DataFrame, name: str) -> DataFrame:
     """``paths`` with ``n``, the members of each node, without nodes of one member; of nodes with equal members one stays."""
-    marks = (F.bit_xor(F.xxhash64("doc", F.lit(i))).alias(f"mark{i}") for i in range(2))
-    nodes = paths.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *marks).where("n > 1")
-    nodes = nodes.groupBy("n", "mark0", "mark1").agg(F.min("node").alias("node")).select("node", "n")
-    return cut(paths.join(nodes, "node"), name)
+    shared = cut(paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"{name}-shared")
+    members = cut(paths.join(few(shared), "node"), f"{name}-members")
+    marks = [F.bit_xor(F.xxhash64("doc", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    nodes = members.groupBy("node", "n").agg(*marks).groupBy("n", "mark0", "mark1").agg(F.min("node").alias("node"))
+    return cut(members.join(few(cut(nodes.select("node"), f"{name}-distinct")), "node", "left_semi"), name)
 
 
-def _nodes(sketches: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def _nodes(sketches: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Members (node, doc) of nodes small enough to compare, and of large ones that do not come apart."""
-    reps = sketches.select("doc", "paths").join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi")
+    reps = sketches.where("digest IS NOT NULL").select("doc", "paths").join(few(copies), "doc", "left_anti")
     members = _distinct_nodes(reps.select(F.explode("paths").alias("node"), "doc"), "nodes")
     small = members.where(F.col("n") <= SMALL_NODE).select("node", "doc")
     large = members.where(F.col("n") > SMALL_NODE)
