@@ -1,7 +1,7 @@
 """Licence scan by canonical digest lookup, in DataFrame functions only.
 
 Whole texts, and each line as a text of its own, are brought to a canonical
-form (case, punctuation, copyright lines, equivalent spellings) and hashed; the
+form (case, punctuation, copyright lines, titles, equivalent spellings) and hashed; the
 digests are joined with those of the known licences. The known table has a
 fixed number of rows (the lists below), so it is broadcast.
 """
@@ -31,6 +31,7 @@ NOTICES = (
     ("BSD-2-Clause", "Released under the BSD 2-Clause License"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
+BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 TEXTS = (
     ("MIT", """MIT License
 Copyright (c) year holder
@@ -48,6 +49,15 @@ Permission is granted to anyone to use this software for any purpose, including
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+""" + BSD_DISCLAIMER),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+""" + BSD_DISCLAIMER),
 )
 # Spellings that licence matching treats alike, first to second.
 SPELLINGS = (
@@ -55,12 +65,19 @@ SPELLINGS = (
     ("acknowledgement", "acknowledgment"), ("authorisation", "authorization"), ("organisation", "organization"),
     ("favour", "favor"), ("whilst", "while"), ("copyright owner", "copyright holder"), ("merchantibility", "merchantability"),
 )
-COPYRIGHT_LINE = r"^\s*(copyright\b|\(c\)|©|all rights reserved)"
+MARKS = r"^[^\p{L}\p{N}(©]*"  # indents and comment marks
+COPYRIGHT_LINE = MARKS + r"(copyright\b|\(c\)|©|all rights reserved)"
+# a wrapped line of a licence may begin with the word, too
+RUNNING_LINE = MARKS + r"copyright (notice|holder|owner|law|interest|license)"
+TITLE_LINE = MARKS + r"(the )?(mit|isc|zlib|bsd [023][ -]clause) licen[cs]e( \(?(mit|isc|zlib)\)?)?[^\p{L}\p{N}]*$"
+
+
 
 
 def _cleaned(text: Column) -> Column:
-    """Each line in lower case with its words parted by single blanks; copyright lines are empty."""
-    clean = lambda x: F.when(F.rlike(x, F.lit(COPYRIGHT_LINE)), F.lit("")).otherwise(
+    """Each line in lower case with its words parted by single blanks; copyright lines and bare titles are empty."""
+    mine = lambda x: F.rlike(x, F.lit(COPYRIGHT_LINE)) & ~F.rlike(x, F.lit(RUNNING_LINE))
+    clean = lambda x: F.when(mine(x) | F.rlike(x, F.lit(TITLE_LINE)), F.lit("")).otherwise(
         F.trim(F.regexp_replace(x, r"[^\p{L}\p{N}]+", " "))
     )
     return F.transform(F.split(F.lower(text), "\n"), clean)
@@ -114,7 +131,8 @@ def licenses_sql() -> str:
         return x
 
     def canon(x: str) -> str:
-        lines = f"list_filter(string_split(lower({x}), chr(10)), lambda y: NOT regexp_matches(y, '{COPYRIGHT_LINE}'))"
+        gone = f"(regexp_matches(y, '{COPYRIGHT_LINE}') AND NOT regexp_matches(y, '{RUNNING_LINE}')) OR regexp_matches(y, '{TITLE_LINE}')"
+        lines = f"list_filter(string_split(lower({x}), chr(10)), lambda y: NOT ({gone}))"
         return spelled(words(f"array_to_string({lines}, ' ')"))
 
     quote = lambda s: s.replace("'", "''")

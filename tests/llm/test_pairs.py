@@ -176,6 +176,25 @@ def test_licenses(spark, edge, nothing):
     assert licenses.scan_licenses(edge, known).collect() == [] == licenses.scan_licenses(nothing, known).collect()
 
 
+def test_license_forms(spark):
+    """Comment marks, titles and wrapped lines do not matter; a text that merely looks alike is none."""
+    texts = dict(licenses.TEXTS)
+    body = texts["MIT"].split("\n", 2)[2]
+    commented = "\n".join("# " + x for x in ["The MIT License (MIT)", "Copyright (c) 2011 Someone", *body.split("\n")])
+    slashes = "/*\n * MIT License\n *\n * Copyright 2020 X\n" + "\n".join(" * " + x for x in body.split("\n")) + "\n */"
+    words = texts["BSD-3-Clause"].split(" ")
+    # each word that says copyright begins a line
+    wrapped = " ".join(("\n" if w.lower() == "copyright" else "") + w for w in words)
+    rows = [
+        (1, commented), (2, slashes), (3, "BSD 3-Clause License\n\nCopyright (c) 2019, Y\nAll rights reserved.\n\n" + wrapped),
+        (4, texts["BSD-2-Clause"]), (5, texts["BSD-2-Clause"].replace("binary", "printed")), (6, "MIT License"), (7, "# Copyright 1999"),
+    ]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), licenses.known_licenses(spark)).collect()
+    assert {(r["doc_id"], r["license_id"]) for r in got if r["scope"] == "document"} == {
+        (1, "MIT"), (2, "MIT"), (3, "BSD-3-Clause"), (4, "BSD-2-Clause")
+    }
+
+
 def test_pipeline_against_brute_force(spark):
     """Lines, near-duplicates, leaks and round trip by plain Python, after the language stage."""
     docs = read_table(spark, SMALL, "documents")
