@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from alloy.llm.common import byte_slices, constants, map_arrow, mix
 
 BLANK = "▁"
-STRETCH = 1 << 19  # bytes of text segmented at a time
+STRETCH = 1 << 19  # bytes of text (characters of a long one) segmented at a time
+LOOK = 4096  # characters searched at a time for a place to part a long text
 BUCKET_BITS = 20  # of the prefix table's index by leading hash bits
 BYTE_PENALTY = 2.0  # a byte weighs exp(-2) of the rarest piece
 SEED = 17
@@ -185,17 +186,61 @@ def _utf8_length(points: np.ndarray) -> np.ndarray:
     return 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
 
 
+def _joined(v: Vocabulary, points: np.ndarray) -> np.ndarray:
+    """Which neighbouring characters stand together in some piece; all others part the lattice."""
+    letters = v.letter[points].astype(np.int64)
+    pair = letters[:-1] * v.size + letters[1:]
+    found = v.spanned[np.minimum(np.searchsorted(v.spanned, pair), len(v.spanned) - 1)] == pair
+    return found & (letters[:-1] > 0) & (letters[1:] > 0)
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def stretches(v: Vocabulary, text: str, size: int) -> Iterator[tuple[int, str]]:
+    """``(place, part)``: the text in parts of ``size`` characters, each lengthened to where the lattice parts.
+
+    A run whose neighbours all stand together in pieces stays in one part.
+    """
+    start = 0
+    while len(text) - start > size:
+        at, end = start + size, len(text)
+        while at < len(text):
+            free = np.flatnonzero(~_joined(v, _points(text[at - 1 : at + LOOK])))
+            if len(free):
+                end = at + int(free[0])
+                break
+            at += LOOK
+        yield start, text[start:end]
+        start = end
+    if start < len(text):
+        yield start, text[start:]
+
+
 def sample_batch(v: Vocabulary, texts: list[str], keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, offsets): one drawn segmentation per text; an empty text has no pieces."""
-    filled = [" " + t if t else "" for t in texts]  # the model's blank before the first word
-    points = np.frombuffer("".join(filled).encode("utf-32-le", "surrogatepass"), np.uint32)
+    # the model's blank stands before the first word
+    return _sample(v, [" " + t if t else "" for t in texts], np.zeros(len(texts), np.int64), keys, seed)
+
+
+def sample_long(v: Vocabulary, text: str, key: np.ndarray, seed: int, size: int = STRETCH) -> np.ndarray:
+    """The ids that ``sample_batch`` draws for one text, a stretch of the text at a time.
+
+    Draws are named by the place in the text, and stretches meet where no piece
+    spans them, so the result does not depend on ``size``.
+    """
+    parts = [_sample(v, [part], np.array([place]), key, seed)[0] for place, part in stretches(v, " " + text, size)]
+    return np.concatenate(parts)
+
+
+def _sample(v: Vocabulary, filled: list[str], places_of: np.ndarray, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segmentations of texts, or of stretches that begin at ``places_of`` in their texts."""
+    points = _points("".join(filled))
     offsets = np.r_[0, np.cumsum([len(t) for t in filled])]
     if not len(points):
-        return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-    letters = v.letter[points].astype(np.int64)
-    pair = letters[:-1] * v.size + letters[1:]
-    spans = v.spanned[np.minimum(np.searchsorted(v.spanned, pair), len(v.spanned) - 1)] == pair
-    spans &= (letters[:-1] > 0) & (letters[1:] > 0)
+        return np.zeros(0, np.int32), np.zeros(len(filled) + 1, np.int64)
+    spans = _joined(v, points)
     border = np.ones(len(points) + 1, bool)
     border[1:-1] = ~spans
     border[offsets] = True
@@ -211,7 +256,7 @@ def sample_batch(v: Vocabulary, texts: list[str], keys: np.ndarray, seed: int) -
     first_arc, arc_start, arc_id, upto = _lattice(v, points[own], base)
 
     # backwards from the end of every part at once
-    text = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    text = np.repeat(np.arange(len(filled)), np.diff(offsets))
     with np.errstate(over="ignore"):
         key = mix(keys.astype(np.int64).view(np.uint64) * _STEP + np.uint64(seed))
     part, left = np.arange(len(which)), sizes[which]  # characters not yet segmented
@@ -220,7 +265,7 @@ def sample_batch(v: Vocabulary, texts: list[str], keys: np.ndarray, seed: int) -
         place = bounds[part] + left  # where the piece ends in the batch
         row = text[place - 1]
         with np.errstate(over="ignore"):
-            draw = mix(key[row] ^ ((place - offsets[row]).astype(np.uint64) * _STEP))
+            draw = mix(key[row] ^ ((place - offsets[row] + places_of[row]).astype(np.uint64) * _STEP))
         chance = (draw >> np.uint64(11)).astype(np.float64) / 9007199254740992.0
         arc = first_arc[base[which[part]] + left - 1]
         behind = np.flatnonzero(upto[arc] <= chance)
@@ -273,7 +318,11 @@ def _encoder(path: str, sharpness: float, seed: int):
             for batch in byte_slices(whole, "text", STRETCH):
                 texts = batch.column(1).fill_null("").to_pylist()
                 keys = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-                ids, offsets = sample_batch(v, texts, keys, seed)
+                if len(texts) == 1 and len(texts[0]) > STRETCH:
+                    ids = sample_long(v, texts[0], keys, seed)
+                    offsets = np.array([0, len(ids)])
+                else:
+                    ids, offsets = sample_batch(v, texts, keys, seed)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))],
                     names=["doc", "ids"],

@@ -203,6 +203,34 @@ def test_sampled_pieces_follow_the_lattice():
         assert abs(drawn[way] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-4
 
 
+@pytest.mark.parametrize("size", [1, 7, 100, 5000])
+def test_a_long_text_is_drawn_the_same_in_stretches(small, size, monkeypatch):
+    monkeypatch.setattr(pieces, "LOOK", 3)
+    v = pieces.vocabulary(pieces.model_path(), 1.0)
+    longest = max((r["text"] or "" for r in small.select("text").collect()), key=len)[:20_000]
+    for text in (longest, "ab" * 400 + "\u4e2d \U0001f600\n" * 50, "x", " ", "\n\n"):
+        key = np.array([12])
+        parts = list(pieces.stretches(v, " " + text, size))
+        assert "".join(t for _, t in parts) == " " + text
+        assert [p for p, _ in parts] == np.cumsum([0, *(len(t) for _, t in parts)])[:-1].tolist()
+        assert pieces.sample_long(v, text, key, 17, size).tolist() == pieces.sample_batch(v, [text], key, 17)[0].tolist()
+
+
+def test_memory_does_not_grow_with_the_longest_text():
+    import tracemalloc
+
+    v = pieces.vocabulary(pieces.model_path(), 1.0)
+    text = " ".join(f"word{i % 9973} and some more of it," for i in range(280_000))
+    tracemalloc.start()
+    ids = pieces.sample_long(v, text, np.array([5]), 17)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text) > 8_000_000 and len(ids) > 1_000_000
+    assert peak < 150 << 20  # segmented as one, it takes some 80 bytes a character
+    decoded = pieces.decode_batch(v, ids, np.array([0, len(ids)]))
+    assert decoded == [text.encode()]
+
+
 def test_registered_row_queries_cover_their_tables(spark):
     from alloy.llm.queries import QUERIES
 
