@@ -511,9 +511,21 @@ def q_uniform_bronze(spark, sf_dir):
 
 
 def q_uniform_bronze_seeded(spark, sf_dir):
-    """Another seed, and keys up to both ends of a bigint."""
-    wide = F.col("sample_id") * F.lit(15_000_000_000_000) * F.when(F.col("sample_id") % 2 == 0, -1).otherwise(1)
-    return measurements_uniform_for(_lab_keys(spark, sf_dir).select(wide.alias("sample_id")), seed=SECOND_SEED)
+    """Another seed, and keys up to both ends of a bigint: a product beyond them goes on at the other end."""
+    return measurements_uniform_for(_lab_keys(spark, sf_dir).select(_wide_key("sample_id").alias("sample_id")), seed=SECOND_SEED)
+
+
+def _wide_key(key: str) -> F.Column:
+    """15e12 times ``key``, negated for even keys, in 64-bit arithmetic that wraps instead of raising an error.
+
+    15e12 is 3,662,109,375 * 2**12, so the low 52 bits of the key decide; they
+    are multiplied in two halves, and the shift drops what is beyond 64 bits.
+    """
+    factor, half, low = 3_662_109_375, F.lit((1 << 26) - 1), F.lit((1 << 52) - 1)
+    bits = F.col(key).cast("bigint").bitwiseAND(low)
+    bits = F.when(F.col(key) % 2 == 0, (F.lit(1 << 52) - bits).bitwiseAND(low)).otherwise(bits)
+    upper = F.shiftleft((F.shiftright(bits, 26) * F.lit(factor)).bitwiseAND(half), 26)
+    return F.shiftleft(upper + bits.bitwiseAND(half) * F.lit(factor), 12)
 
 
 def q_uniform_identities(spark, sf_dir):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from alloy.operators import rules as R
 from alloy.operators import stats as S
+from alloy.plans import catalog
 from alloy.sources.generate import LAB_RULES, UNIFORM_RANGES
 from alloy.sources.layers import BRONZE_SCHEMA
 from alloy.sources.uniform import measurements_uniform_for
@@ -65,3 +66,16 @@ def test_null_keys_and_empty_tables(spark):
     assert len(nulls) == 1 and all(x is None for x in nulls[0])
     assert len({tuple(r) for r in got if r["sample_id"] == 5}) == 1
     assert measurements_uniform_for(spark.createDataFrame([], "k long"), "k").count() == 0
+
+
+def test_wide_keys_beyond_a_bigint_wrap(spark, tmp_dir):
+    keys = [(0, 1), (0, 2), (76_861, 3), (76_861, 4), (149_999, 6), (149_999, 7), (9_000_000, 1), (10**15, 2), (None, 1)]
+    spark.createDataFrame(keys, "l_orderkey long, l_linenumber int").write.parquet(f"{tmp_dir}/wide/lineitem.parquet")
+    got = catalog.QUERIES["uniform_bronze_seeded"](spark, f"{tmp_dir}/wide").collect()
+    samples = [None if o is None else o * 8 + n for o, n in keys]
+    exact = [None if k is None else k * 15 * 10**12 * (1 if k % 2 else -1) for k in samples]
+    wrapped = [None if x is None else (x + 2**63) % 2**64 - 2**63 for x in exact]
+    assert sum(x is not None and x != w for x, w in zip(exact, wrapped)) == 5
+    assert sorted(map(str, (r["sample_id"] for r in got))) == sorted(map(str, wrapped))
+    direct = measurements_uniform_for(spark.createDataFrame([(w,) for w in wrapped], "k long"), "k", seed=catalog.SECOND_SEED)
+    assert sorted(map(str, direct.collect())) == sorted(map(str, got))
