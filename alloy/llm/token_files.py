@@ -30,7 +30,8 @@ import struct
 import uuid
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -58,11 +59,13 @@ _DOCUMENT = np.dtype([("id", "<i8"), ("has_id", "u1"), ("end", "<u8")])
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _WORD = re.compile(r"[ \n]?[^ \n]+")
 _LATIN = re.compile(r"[ \n]?[!-~\u00A1-\u024F]+")  # a plain word of characters whose kind no Unicode version changes
+_NOT_LATIN = re.compile(r"[^ \n!-~\u00A1-\u024F]")
 # fixed values of byte-level BPE: the pre-tokenizer's pattern for such words, and the character that stands for each byte
 _LETTER, _NUMBER = r"A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F", r"0-9\u00B2\u00B3\u00B9\u00BC-\u00BE"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\n")
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # stand for themselves, the others for U+0100 on
-_ALPHABET = {b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+_ALPHABET = np.arange(256, dtype="<u4")
+_ALPHABET[sorted(set(range(256)) - set(_SHOWN))] = 0x100 + np.arange(256 - len(_SHOWN))
 
 _MANIFEST = "part int, file string, n_docs long, n_ids long, first_id long, last_id long"
 
@@ -103,11 +106,9 @@ class IdEncoder:
         if len(pieces) > KNOWN:
             pieces.clear()
         new = list(set(chain.from_iterable(split)).difference(pieces))
-        plain = [p for p in new if p.isascii()]
-        other = [p for p in new if not p.isascii()]
-        shown = "\0".join(plain).translate(_ALPHABET).split(_ALPHABET[0]) if plain else []
-        shown += "\0".join(other).encode().decode("latin-1").translate(_ALPHABET).split(_ALPHABET[0]) if other else []
-        for piece, tokens in zip(plain + other, map(self.tokenizer.model.tokenize, shown)):
+        data = np.frombuffer("\0".join(new).encode(), np.uint8)  # no piece holds a zero byte
+        shown = _ALPHABET[data].tobytes().decode("utf-32-le").split(chr(_ALPHABET[0]))
+        for piece, tokens in zip(new, map(self.tokenizer.model.tokenize, shown)):
             pieces[piece] = array("I", [t.id for t in tokens]).tobytes()
         known = self.known
         for word, parts in zip(words, split):
@@ -120,10 +121,11 @@ class IdEncoder:
         words = [_WORD.findall(t) for t in texts]
         flat = list(chain.from_iterable(words))
         found = list(map(known.get, flat))
-        missing = [i for i, ids in enumerate(found) if ids is None]
+        missing = list(compress(range(len(found)), map(is_, found, repeat(None))))
         new = {flat[i] for i in missing}
-        odd = {w for w in new if not _LATIN.fullmatch(w) and not _plain(w)}
-        self._learn(new - odd)
+        latin = _latin(new)
+        odd = {w for w in new.difference(latin) if not _plain(w)}
+        self._learn(new - odd, latin)
         for i in missing:
             found[i] = known.get(flat[i])
         out, at = [], 0
@@ -136,8 +138,7 @@ class IdEncoder:
             at = end
         return out
 
-    def _learn(self, words: set[str]) -> None:
-        latin = [w for w in words if _LATIN.fullmatch(w)]
+    def _learn(self, words: set[str], latin: list[str]) -> None:
         if self.special and self.special.search("\0".join(latin)):
             latin = [w for w in latin if not self.special.search(w)]
         self._pieced(latin)
@@ -148,11 +149,16 @@ class IdEncoder:
         parts = _CUT.split(text)
         new = set(parts).difference(self.known)
         plain = {p for p in new if _plain(p)}
-        self._learn(plain)
+        self._learn(plain, [p for p in plain if _LATIN.fullmatch(p)])
         rest = self._apart(list(new - plain))
         return b"".join([rest[p] if p in rest else self.known[p] for p in parts])
 
 
+def _latin(words: set[str]) -> list[str]:
+    """Those of ``words``, matches of ``_WORD``, that are Latin."""
+    return list(words) if not _NOT_LATIN.search("".join(words)) else [w for w in words if _LATIN.fullmatch(w)]
+
+
 def _plain(word: str) -> bool:
     return word.split() == [word.lstrip(" \n")]
 

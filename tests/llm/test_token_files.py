@@ -122,3 +122,13 @@ def test_many_rows_under_one_id(spark):
     got = tf.id_digest(tf.read_ids(manifest))
     assert sorted(map(tuple, got.collect()), key=str) == _expected(df)
     assert tf.read_ids(manifest, spark.createDataFrame([(7,)], "doc_id long")).count() == 2001
+
+
+def test_new_words_of_one_bundle_equal_the_library():
+    # a plain word may follow several blanks: it is not Latin then, whatever its characters are
+    texts = ["a  bc  d", "é\n\nbc 12", "  x's\n  y", "漢 bc\x01 d\x00e", "ä­b ½²  c", "bc  bc", *(chr(b) + " q" + chr(b) for b in range(256))]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encode = tf.IdEncoder(PATH)
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == want
