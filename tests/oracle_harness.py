@@ -33,6 +33,14 @@ _FAMILY = {
 }
 
 
+def _spark_type(t) -> str:
+    return f"{_spark_type(t.elementType)}[]" if type(t).__name__ == "ArrayType" else type(t).__name__
+
+
+def _family(t: str) -> str:
+    return f"{_family(t[:-2])}[]" if t.endswith("[]") else _FAMILY.get(t, t)
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -65,7 +73,7 @@ def compare(spark, sf_dir: str, name: str, con=None) -> dict:
     t0 = time.time()
     sdf = entry.queries()[name](spark, sf_dir)
     s_cols = sdf.columns
-    s_types = [type(f.dataType).__name__ for f in sdf.schema.fields]
+    s_types = [_spark_type(f.dataType) for f in sdf.schema.fields]
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = {"name": name, "spark_rows": len(s_rows), "spark_sec": round(t1 - t0, 2)}
@@ -79,8 +87,8 @@ def compare(spark, sf_dir: str, name: str, con=None) -> dict:
     d_rows = rel.fetchall()
     res["oracle_rows"] = len(d_rows)
     res["cols_match"] = sorted(s_cols) == sorted(d_cols)
-    sf = dict(zip(s_cols, (_FAMILY.get(t, t) for t in s_types)))
-    df_ = dict(zip(d_cols, (_FAMILY.get(t, t) for t in d_types)))
+    sf = dict(zip(s_cols, map(_family, s_types)))
+    df_ = dict(zip(d_cols, map(_family, d_types)))
     res["types_match"] = sf == df_
     if not res["types_match"]:
         res["types"] = {"spark": sf, "duckdb": df_}
