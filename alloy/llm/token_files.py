@@ -30,8 +30,8 @@ import struct
 import uuid
 from array import array
 from collections.abc import Iterator
-from itertools import chain, compress, repeat
-from operator import is_
+from itertools import accumulate, chain, compress
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +48,10 @@ from alloy.session import scratch_path
 END_ID = 0
 FRAME_BYTES = 1 << 20
 LEVEL = 3
-KNOWN = 1_000_000  # words whose ids a worker remembers, about 200 bytes each
+KNOWN = 1_000_000  # pieces whose ids a worker remembers, about 200 bytes each
 LONGEST_KNOWN = 64
+AT_ONCE = 1_000  # pieces given to the model at a time
+_ID = attrgetter("id")
 # fixed values of the seekable zstandard format
 DOCUMENT_MAGIC, SEEK_MAGIC, END_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 FLAGS = 0x80  # entries have checksums
@@ -57,12 +59,18 @@ _HEADER, _ENTRY, _FOOTER = struct.Struct("<II"), struct.Struct("<III"), struct.S
 _DOCUMENT = np.dtype([("id", "<i8"), ("has_id", "u1"), ("end", "<u8")])
 # a space or line feed between two visible characters: no token of a byte-level BPE crosses it from the left
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_WORD = re.compile(r"[ \n]?[^ \n]+")
-_LATIN = re.compile(r"[ \n]?[!-~\u00A1-\u024F]+")  # a plain word of characters whose kind no Unicode version changes
-_NOT_LATIN = re.compile(r"[^ \n!-~\u00A1-\u024F]")
-# fixed values of byte-level BPE: the pre-tokenizer's pattern for such words, and the character that stands for each byte
-_LETTER, _NUMBER = r"A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F", r"0-9\u00B2\u00B3\u00B9\u00BC-\u00BE"
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\n")
+# fixed values of byte-level BPE: the kinds of characters in the pre-tokenizer's pattern, as far as no Unicode version
+# changes them, and the character that stands for each byte
+_ODD, _LETTER, _NUMBER, _OTHER, _BLANK, _ODD_BLANK, _BREAK = range(7)
+_KIND = np.full(0x3002, _ODD, np.uint8)  # the last entry is for all characters beyond
+_KIND[[*range(0x21, 0x7F), *range(0xA1, 0x250)]] = _OTHER
+for first, last in ("AZ", "az", "\u00AA\u00AA", "\u00B5\u00B5", "\u00BA\u00BA", "\u00C0\u00D6", "\u00D8\u00F6", "\u00F8\u024F"):
+    _KIND[ord(first) : ord(last) + 1] = _LETTER
+_KIND[[*range(0x30, 0x3A), 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE]] = _NUMBER
+_KIND[[0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = _ODD_BLANK
+_KIND[[0x20, *range(0x09, 0x0E)]] = _BLANK
+_UNSURE = re.compile(r"[^ \t-\r!-~\u00A1-\u024F]")  # a character of an odd kind
+_ENDINGS = [(tuple(map(ord, e)), 1 + len(e)) for e in ("s", "t", "re", "ve", "m", "ll", "d")]  # pieces behind an apostrophe
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # stand for themselves, the others for U+0100 on
 _ALPHABET = np.arange(256, dtype="<u4")
 _ALPHABET[sorted(set(range(256)) - set(_SHOWN))] = 0x100 + np.arange(256 - len(_SHOWN))
@@ -71,12 +79,13 @@ _MANIFEST = "part int, file string, n_docs long, n_ids long, first_id long, last
 
 
 class IdEncoder:
-    """Ids of texts as bytes; equal stretches, words mostly, are given to the library once.
+    """Ids of texts as bytes; equal pieces of texts, words mostly, are encoded once.
 
-    A plain word is a run of visible characters with at most one space or line
-    feed before it. A text that consists of plain words is cut between them,
-    any other wherever ``_CUT`` allows it; either way the parts have the same
-    ids together as apart.
+    A text is cut into the pieces that the pre-tokenizer's pattern finds, as
+    long as it is plain what a letter, a number or a blank is. A stretch from
+    one place that ``_CUT`` allows to the next is left whole if it holds an
+    odd character or a special string, and given to the library. The parts
+    have the same ids together as apart.
     """
 
     def __init__(self, path: str):
@@ -88,79 +97,121 @@ class IdEncoder:
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(added)) if added else None
-        self.pieces: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}  # plain words only
-
-    def _apart(self, parts: list[str]) -> dict[str, bytes]:
-        found = self.encode(parts, add_special_tokens=False) if parts else []
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(parts, found)}
-
-    def _pieced(self, words: list[str]) -> None:
-        """Remember Latin words that start with a blank; the model sees each of their distinct pieces once.
-
-        The pre-tokenizer's pattern is applied here, to characters for which it
-        is plain what a letter or a number is.
-        """
-        split = list(map(_PIECES.findall, words))
-        pieces = self.pieces
-        if len(pieces) > KNOWN:
-            pieces.clear()
-        new = list(set(chain.from_iterable(split)).difference(pieces))
-        data = np.frombuffer("\0".join(new).encode(), np.uint8)  # no piece holds a zero byte
-        shown = _ALPHABET[data].tobytes().decode("utf-32-le").split(chr(_ALPHABET[0]))
-        for piece, tokens in zip(new, map(self.tokenizer.model.tokenize, shown)):
-            pieces[piece] = array("I", [t.id for t in tokens]).tobytes()
-        known = self.known
-        for word, parts in zip(words, split):
-            known[word] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KNOWN:
-            self.known.clear()
+        if not texts:
+            return []
+        joined = "\n".join(texts) + "\n"
+        breaks = np.cumsum([len(t) + 1 for t in texts]) - 1
+        starts = self._starts(joined, breaks)
+        names, which = _distinct(joined, starts)
+        found = self._ids(names)
+        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = (np.cumsum(count) - count)[which]
+        count = count[which]
+        at_break = np.searchsorted(starts, breaks)
+        count[at_break] = 0
+        after = np.cumsum(count)
+        flat = np.frombuffer(b"".join(found), "<u4")
+        ids = flat[np.repeat(first - (after - count), count) + np.arange(after[-1])].tobytes()
+        ends = [0, *(4 * after[at_break]).tolist()]
+        return [ids[i:j] for i, j in zip(ends, ends[1:])]
+
+    def _starts(self, joined: str, breaks: np.ndarray) -> np.ndarray:
+        """Where the pieces of ``joined`` start; the characters at ``breaks`` lie between texts and are pieces of their own."""
+        code = _codes(joined)
+        kind = _KIND.take(code, mode="clip")
+        for m in self.special.finditer(joined) if self.special else ():
+            kind[m.start() : m.end()] = _ODD
+        kind[breaks] = _BREAK
+        before = np.r_[np.uint8(_BREAK), kind[:-1]]
+        after = np.r_[kind[1:], np.uint8(_BREAK)]
+        blank = kind == _BLANK
+        spaced = np.r_[False, (code == 0x20)[:-1] & blank[:-1]]  # a space goes with what follows
+        start = (kind != before) & ~(spaced & ~blank)
+        start |= blank & (after <= _OTHER)  # a run of blanks leaves its last one to a visible character
+        start[breaks] = True
+        self._endings(start, kind, code)
+        odd = np.flatnonzero((kind == _ODD) | (kind == _ODD_BLANK))
+        if len(odd):
+            cut = ((code == 0x20) | (code == 0x0A)) & blank & (before <= _OTHER) & (after <= _OTHER)
+            cut |= (kind == _BREAK) | (before == _BREAK)
+            stretch = np.cumsum(cut)
+            whole = np.zeros(stretch[-1] + 1, bool)
+            whole[stretch[odd]] = True
+            start = cut | start & ~whole[stretch]
+        return np.flatnonzero(start)
+
+    @staticmethod
+    def _endings(start: np.ndarray, kind: np.ndarray, code: np.ndarray) -> None:
+        """Apostrophe and ending are one piece where a piece starts with the apostrophe."""
+        at = np.flatnonzero((code == 0x27) & start)
+        end = np.zeros(len(at), np.int64)
+        for letters, n in _ENDINGS:
+            fits = at + n < len(code)  # a break follows the last text
+            for k, letter in enumerate(letters, 1):
+                fits &= code[np.minimum(at + k, len(code) - 1)] == letter
+            end[fits & (end == 0)] = n
+        at, end = at[end > 0], end[end > 0]
+        start[at + 1] = False
+        start[at + end] = True
+
+    def _ids(self, names: list[str]) -> list[bytes]:
+        """Ids of each distinct piece or stretch."""
         known = self.known
-        words = [_WORD.findall(t) for t in texts]
-        flat = list(chain.from_iterable(words))
-        found = list(map(known.get, flat))
-        missing = list(compress(range(len(found)), map(is_, found, repeat(None))))
-        new = {flat[i] for i in missing}
-        latin = _latin(new)
-        odd = {w for w in new.difference(latin) if not _plain(w)}
-        self._learn(new - odd, latin)
-        for i in missing:
-            found[i] = known.get(flat[i])
-        out, at = [], 0
-        for text, its in zip(texts, words):
-            end = at + len(its)
-            if len("".join(its)) != len(text) or odd and not odd.isdisjoint(its):
-                out.append(self._other(text))
-            else:
-                out.append(b"".join(found[at:end]))
-            at = end
+        if len(known) > KNOWN:
+            known.clear()
+        found = list(map(known.get, names))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = [names[i] for i in missing]
+        text = "\0".join(new)
+        plain = [True] * len(new)
+        if _UNSURE.search(text.replace("\0", "")) or self.special and self.special.search(text):
+            plain = [not (_UNSURE.search(w) or self.special and self.special.search(w)) for w in new]
+        pieces = list(compress(new, plain))
+        ids = dict(zip(pieces, self._pieces(pieces)))
+        whole = [w for w, p in zip(new, plain) if not p]
+        if whole:
+            for word, e in zip(whole, self.encode(whole, add_special_tokens=False)):
+                ids[word] = np.array(e.ids, "<u4").tobytes()
+        for i, word in zip(missing, new):
+            found[i] = ids[word]
+        known.update((w, i) for w, i in ids.items() if len(w) <= LONGEST_KNOWN)
+        return found
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of the pre-tokenizer's pattern, from the model alone."""
+        if not pieces:
+            return []
+        data = np.frombuffer("\0".join(pieces).encode(), np.uint8)  # no piece holds a zero byte
+        shown = _ALPHABET[data].tobytes().decode("utf-32-le").split(chr(_ALPHABET[0]))
+        out = []
+        for i in range(0, len(shown), AT_ONCE):
+            tokens = list(map(self.tokenizer.model.tokenize, shown[i : i + AT_ONCE]))
+            ids = array("I", map(_ID, chain.from_iterable(tokens))).tobytes()
+            ends = [0, *accumulate(map(len, tokens))]
+            out += [ids[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
         return out
 
-    def _learn(self, words: set[str], latin: list[str]) -> None:
-        if self.special and self.special.search("\0".join(latin)):
-            latin = [w for w in latin if not self.special.search(w)]
-        self._pieced(latin)
-        self.known.update(self._apart([w for w in words if w not in self.known]))
-
-    def _other(self, text: str) -> bytes:
-        """Ids of a text that does not consist of plain words."""
-        parts = _CUT.split(text)
-        new = set(parts).difference(self.known)
-        plain = {p for p in new if _plain(p)}
-        self._learn(plain, [p for p in plain if _LATIN.fullmatch(p)])
-        rest = self._apart(list(new - plain))
-        return b"".join([rest[p] if p in rest else self.known[p] for p in parts])
-
 
-def _latin(words: set[str]) -> list[str]:
-    """Those of ``words``, matches of ``_WORD``, that are Latin."""
-    return list(words) if not _NOT_LATIN.search("".join(words)) else [w for w in words if _LATIN.fullmatch(w)]
+def _codes(text: str) -> np.ndarray:
+    """Code points of ``text``."""
+    if text.isascii():
+        return np.frombuffer(text.encode(), np.uint8)
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
 
 
-def _plain(word: str) -> bool:
-    return word.split() == [word.lstrip(" \n")]
+def _distinct(joined: str, starts: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The distinct pieces of ``joined`` that start at ``starts``, and which of them each piece is."""
+    raw, bounds = joined.encode(), np.r_[starts, len(joined)]
+    if len(raw) > len(joined):
+        code = _codes(joined)
+        width = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+        bounds = np.r_[0, np.cumsum(width)][bounds]
+    pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(raw))
+    pieces = pieces.dictionary_encode()
+    return pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
 
 
 def stretches(text: str) -> Iterator[str]:

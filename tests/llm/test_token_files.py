@@ -132,3 +132,24 @@ def test_new_words_of_one_bundle_equal_the_library():
     encode = tf.IdEncoder(PATH)
     for _ in range(2):
         assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == want
+
+
+def test_pieces_once_seen_need_no_library_in_any_arrangement(monkeypatch):
+    texts = ["ab  cd", "\n\nef, ab it's  it", "ef\t cd's.\n  ab"]
+    encode = tf.IdEncoder(PATH)
+    tokenizer = encode.tokenizer
+    encode(["ab cd ef", "ab, cd. cd's it it's", "it  it\n\nab\t ef\nef.\n  ab"])
+    monkeypatch.setattr(encode, "tokenizer", None)
+    monkeypatch.setattr(encode, "encode", None)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == want
+
+
+def test_random_texts_equal_the_library():
+    parts = "a b s t re ve m ll d ' ' '' 1 23 ² é ª · - , \xad \x1c \x85 \xa0 \u2009 \u3000 漢 и \U0001f600 \u0301 \0 \u2019 <|endoftext|>".split(" ")
+    blanks = [" ", " ", "  ", "\n", "\t", "\r\n", "\x0b"]
+    rng = np.random.default_rng(3)
+    plain = [p for p in parts if p and ord(p[0]) < 0x180 and p[0] not in "\0<\x1c\x85\xa0"]
+    texts = ["".join(rng.choice(a + blanks, rng.integers(0, 25))) for a in (parts, plain) for _ in range(3000)]
+    want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in tf.IdEncoder(PATH)(texts)] == want
